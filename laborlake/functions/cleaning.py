@@ -1,9 +1,10 @@
-"""Column expressions that turn dirty source text into typed values; bad text becomes NULL, never an error."""
+"""Rules that turn dirty source text into typed values; bad text becomes NULL, never an error.
 
-from __future__ import annotations
+Each rule takes and returns SQL text, to be used in ``selectExpr`` or ``expr``. A fifty-column projection is
+then one call into the engine, where building it from column objects would take thousands.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Text a source file uses for "missing", matched before trimming.
 NA_TOKENS = [
@@ -21,113 +22,111 @@ BLANKS = (
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def na_to_null(c: Column) -> Column:
-    return F.when(~c.isin(NA_TOKENS), c)
+def quoted(text: str) -> str:
+    """SQL string literal; anything but printable ASCII is written by code point."""
+    escaped = "".join(
+        ch if " " <= ch <= "~" and ch not in "'\\" else f"\\u{ord(ch):04x}" for ch in text
+    )
+    return f"'{escaped}'"
+
+
+_NA_LIST = ", ".join(quoted(t) for t in NA_TOKENS)
+_BLANKS = quoted(BLANKS)
+# Wide beyond Latin-1, so that the test stays two look-ups per character; a false alarm only costs time.
+_RARE_BLANKS = quoted("[" + "".join(b for b in BLANKS if b != " " and b < "\u0100") + "\u1680-\u3000]")
+
 
+def na_to_null(c: str, value: str | None = None) -> str:
+    """``value``, by default the text itself, unless the text ``c`` stands for "missing"."""
+    return f"CASE WHEN {c} NOT IN ({_NA_LIST}) THEN {value or c} END"
 
-def strip(c: Column, spaces_only: Column | None = None) -> Column:
-    """Trim every kind of blank. Where ``spaces_only`` holds, the value can only carry plain spaces."""
-    full = F.btrim(c, F.lit(BLANKS))
-    return full if spaces_only is None else F.when(spaces_only, F.trim(c)).otherwise(full)
 
+def strip(c: str) -> str:
+    """Trim every kind of blank."""
+    return f"btrim({c}, {_BLANKS})"
 
-def no_rare_blanks(cols: list[Column]) -> Column:
+
+def only_plain_blanks(columns: list[str]) -> str:
     """Whether a row's values hold no blank other than the space.
 
-    One scan over the row lets ``strip`` take the cheap trim for each of its columns.
+    One look at the row saves the full trim, character by character, for each of its columns.
     """
-    rare = BLANKS.replace(" ", "")
-    return ~F.concat_ws("", *cols).rlike(f"[{rare}]")
+    return f"NOT concat_ws('', {', '.join(columns)}) RLIKE {_RARE_BLANKS}"
+
+
+def strip_rest(plain: str, t: str) -> str:
+    """Finish trimming a value freed of plain spaces."""
+    return f"IF({plain}, {t}, {strip(t)})"
 
 
-def text_to_number(t: Column) -> Column:
-    """Number with a decimal point, or NULL.
+def _number(t: str, value: str) -> str:
+    """``value``, a number cast from the text ``t``, if ``t`` is written as a plain number.
 
     The engine's own parser also takes type suffixes, hexadecimal and spelled-out values; numbers in the
-    sources end in a digit or the point and hold no "x".
+    sources end in a digit or a separator and hold no "x". What is too large for a double is missing too.
     """
-    number = t.try_cast("double")
-    plain = (F.right(t, F.lit(1)) < ":") & ~t.contains("x") & ~t.contains("X")
-    may_overflow = t.contains("e") | t.contains("E") | (F.length(t) > 300)
-    finite = (number > float("-inf")) & (number < float("inf"))
-    return F.when(plain & ~may_overflow, number).when(plain & finite, number)
+    plain = f"right({t}, 1) < ':' AND NOT contains({t}, 'x') AND NOT contains({t}, 'X')"
+    may_overflow = f"contains({t}, 'e') OR contains({t}, 'E') OR length({t}) > 300"
+    finite = f"abs({value}) < DOUBLE('Infinity')"
+    return f"CASE WHEN {plain} AND NOT ({may_overflow}) THEN {value} WHEN {plain} AND {finite} THEN {value} END"
 
 
-def text_to_double(t: Column) -> Column:
-    """Number with a decimal comma or point. ``t`` is stripped text."""
-    return text_to_number(F.replace(t, F.lit(","), F.lit(".")))
+def text_to_double(t: str) -> str:
+    """Number with a decimal comma or point, from stripped text."""
+    return _number(t, f"try_cast(replace({t}, ',', '.') AS DOUBLE)")
 
 
-def text_to_int(t: Column) -> Column:
-    """Whole number that fits 32 bits, however it is written ("044", "3.0", "1e3"); else NULL."""
-    number = text_to_number(t)
-    whole = number.between(INT_MIN, INT_MAX) & (number == F.rint(number))
-    return F.coalesce(t.try_cast("int"), F.when(whole, number.cast("int")))
+def text_to_int(t: str) -> str:
+    """Whole number that fits 32 bits, however it is written ("044", "3.0", "1e3"), from stripped text."""
+    number = _number(t, f"try_cast({t} AS DOUBLE)")
+    whole = f"{number} BETWEEN {INT_MIN} AND {INT_MAX} AND {number} = rint({number})"
+    return f"coalesce(try_cast({t} AS INT), CASE WHEN {whole} THEN CAST({number} AS INT) END)"
 
 
-def text_to_date(t: Column) -> Column:
-    """``ddMMyyyy`` or ``d/M/yyyy``; zeros, impossible days and anything else become NULL.
+def text_to_date(t: str) -> str:
+    """Date from stripped ``ddMMyyyy`` or ``d/M/yyyy``; zeros, impossible days and other text are missing.
 
-    The parts are checked as numbers before the date is made, so no value raises and none is parsed by a
-    date formatter.
+    The parts are put in ISO order and cast, which is several times faster than a date pattern. Only digits
+    get that far, and year 0 is no year.
     """
-    part = [F.split_part(t, F.lit("/"), F.lit(i)) for i in (1, 2, 3)]
-    slashed = F.when(
-        t.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"),
-        F.concat(F.lpad(part[0], 2, "0"), F.lpad(part[1], 2, "0"), part[2]),
+    digits = f"length({t}) = 8 AND {t} >= '0' AND {t} < ':' AND try_cast({t} AS INT) IS NOT NULL"
+    slashes = f"{t} RLIKE '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$'"
+    from_digits = f"concat(substring({t}, 5, 4), '-', substring({t}, 3, 2), '-', substring({t}, 1, 2))"
+    from_parts = f"concat_ws('-', split_part({t}, '/', 3), split_part({t}, '/', 2), split_part({t}, '/', 1))"
+    return (
+        f"CASE WHEN endswith({t}, '0000') THEN NULL WHEN {digits} THEN try_cast({from_digits} AS DATE) "
+        f"WHEN {slashes} THEN try_cast({from_parts} AS DATE) END"
     )
-    eight = F.when(t.contains("/"), slashed).when((F.length(t) == 8) & (t >= "0") & (t < ":"), t)
-    return digits_to_date(eight.try_cast("int"))
-
-
-def digits_to_date(n: Column) -> Column:
-    """Date from the number ``ddMMyyyy``."""
-    year = n % 10000
-    month = F.floor(n / 10000).cast("int") % 100
-    day = F.floor(n / 1000000).cast("int")
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    last = (
-        F.when(month.isin(4, 6, 9, 11), 30)
-        .when(month != 2, 31)
-        .when(leap, 29)
-        .otherwise(28)
-    )
-    valid = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= last)
-    return F.when(valid, F.make_date(year, month, day))
 
 
 PARSERS = {"int": text_to_int, "double": text_to_double, "date": text_to_date}
 
 
-def parse_stripped(t: Column, dtype: str) -> Column:
-    """Typed value of stripped text; an unknown type leaves it as it is."""
-    return PARSERS[dtype](t) if dtype in PARSERS else t
-
-
-def cast_text(c: Column, dtype: str) -> Column:
-    """Typed value of source text."""
-    return parse_stripped(strip(c), dtype) if dtype in ("str", *PARSERS) else c
+def cast_text(c: str, dtype: str) -> str:
+    """Typed value of source text; an unknown type leaves it as it is."""
+    if dtype == "str":
+        return strip(c)
+    return PARSERS[dtype](strip(c)) if dtype in PARSERS else c
 
 
-def state_code(municipality: Column) -> Column:
-    """First two characters of the municipality code; "00" when it is missing, too short or all zeros."""
-    code = strip(F.coalesce(municipality, F.lit("")))
-    return state_of_stripped(code)
+def state_of(t: str) -> str:
+    """First two characters of a stripped municipality code; "00" when missing, too short or all zeros."""
+    return f"CASE WHEN length({t}) >= 2 AND translate({t}, '0', '') <> '' THEN substring({t}, 1, 2) ELSE '00' END"
 
 
-def state_of_stripped(code: Column) -> Column:
-    unknown = code.isNull() | (F.length(code) < 2) | (F.translate(code, "0", "") == "")
-    return F.when(unknown, "00").otherwise(F.substring(code, 1, 2))
+def state_code(c: str) -> str:
+    """State of a municipality code as the source writes it."""
+    return state_of(strip(c))
 
 
-def round_cents(x: Column) -> Column:
+def round_cents(x: str) -> str:
     """Two decimals of the binary value, halves away from zero (1.005 is stored below the half: 1.00)."""
-    return F.signum(x) * F.floor(F.abs(x) * 100 + 0.5) / 100
+    return f"signum({x}) * floor(abs({x}) * 100 + 0.5D) / 100"
 
 
-def file_stem(name: Column) -> Column:
-    return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+def file_stem(name: str) -> str:
+    return f"regexp_replace({name}, '(?<=.)[.][^.]*$', '')"
 
 
-def gigabytes(size: Column, digits: int) -> Column:
-    return F.round(size / F.lit(1e9), digits)
+def gigabytes(size: str, digits: int) -> str:
+    return f"round({size} / 1e9D, {digits})"

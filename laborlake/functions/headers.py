@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from laborlake.functions.cleaning import strip
+from laborlake.functions.cleaning import BLANKS
 
 
 def delimiter(line: Column) -> Column:
@@ -31,4 +31,4 @@ def header_names(line: Column) -> Column:
 
 
 def trimmed_names(names: Column) -> Column:
-    return F.transform(names, lambda h: strip(h))
+    return F.transform(names, lambda h: F.btrim(h, F.lit(BLANKS)))

@@ -2,59 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laborlake.functions.cleaning import na_to_null, no_rare_blanks, parse_stripped, state_of_stripped, strip
+from laborlake.functions import cleaning
 from laborlake.functions.headers import trimmed_names
 from laborlake.model import Dataset
 
 
-def canonicalize(raw: DataFrame, target: Dataset, headers: list[str], ano: int | Column, keep: list[str] = ()) -> DataFrame:
-    """Select, rename, clean and type the columns of one layout; add the year and the state.
+def bind(raw: DataFrame, target: Dataset, headers: list[str], ano: int | str, keep: list[str] = ()) -> DataFrame:
+    """Give the fields of one layout their canonical names, still as text, and add the year.
 
-    ``raw`` holds the file's fields by position (``_c0``, ``_c1``, …), all text. Columns the file does not
-    have become typed NULLs, unknown ones are dropped. ``keep`` names columns of ``raw`` to carry along.
-
-    Three projections, so that each source value is tested for missing tokens, trimmed and parsed once.
+    ``raw`` holds the file's fields by position (``_c0``, ``_c1``, …). Columns the file does not have become
+    NULL, unknown ones are dropped. ``ano`` is a year or SQL text for it, ``keep`` names columns to carry along.
     """
     positions = target.positions(headers)
-    present = {f.name: f"_c{positions[f.name]}" for f in target.fields if positions[f.name] is not None}
-    kept = [F.col(k) for k in keep]
-    year = F.lit(ano).cast("int") if isinstance(ano, int) else ano.cast("int")
-
-    values = raw.select(
-        year.alias("ano"),
-        *[na_to_null(F.col(source)).alias(name) for name, source in present.items()],
-        *kept,
+    return raw.selectExpr(
+        f"CAST({ano} AS INT) AS ano",
+        *[
+            f"{'CAST(NULL AS STRING)' if positions[f.name] is None else f'_c{positions[f.name]}'} AS {f.name}"
+            for f in target.fields
+        ],
+        *keep,
     )
-    flagged = values.withColumn("_plain", no_rare_blanks([F.col(n) for n in present]) if present else F.lit(True))
-    stripped = flagged.select(
-        "ano", *[strip(F.col(name), F.col("_plain")).alias(name) for name in present], *kept
+
+
+def clean(text: DataFrame, target: Dataset, keep: list[str] = ()) -> DataFrame:
+    """Clean and type bound columns and add the state.
+
+    Two projections: the first drops missing tokens and plain spaces and looks once at the row for rarer
+    blanks, the second finishes and types each value from that short text.
+    """
+    names = [f.name for f in target.fields]
+    short = text.selectExpr(
+        "ano",
+        *[f"{cleaning.na_to_null(n, f'trim({n})')} AS {n}" for n in names],
+        f"{cleaning.only_plain_blanks(names)} AS _plain",
+        *keep,
     )
+    stripped = {n: cleaning.strip_rest("_plain", n) for n in names}
     typed = [
-        (parse_stripped(F.col(f.name), f.dtype) if f.name in present else F.lit(None).cast(f.spark_type)).alias(f.name)
+        f"{cleaning.PARSERS[f.dtype](stripped[f.name]) if f.dtype in cleaning.PARSERS else stripped[f.name]} AS {f.name}"
         for f in target.fields
     ]
-    state = state_of_stripped(F.col("municipio")) if "municipio" in present else F.lit("00")
-    return stripped.select("ano", *typed, state.alias("uf"), *kept)
+    return short.selectExpr("ano", *typed, f"{cleaning.state_of(stripped['municipio'])} AS uf", *keep)
+
 
+def canonicalize(raw: DataFrame, target: Dataset, headers: list[str], ano: int | str, keep: list[str] = ()) -> DataFrame:
+    """Select, rename, clean and type the columns of one layout; add the year and the state."""
+    return clean(bind(raw, target, headers, ano, keep), target, keep)
 
-def canonicalize_named(raw: DataFrame, target: Dataset, ano: int | Column, keep: list[str] = ()) -> DataFrame:
+
+def canonicalize_named(raw: DataFrame, target: Dataset, ano: int | str, keep: list[str] = ()) -> DataFrame:
     """The same for a frame whose columns carry the source headers as names."""
     headers = [c for c in raw.columns if c not in keep]
-    by_position = raw.toDF(
-        *[c if c in keep else f"_c{headers.index(c)}" for c in raw.columns]
-    )
+    by_position = raw.toDF(*[c if c in keep else f"_c{headers.index(c)}" for c in raw.columns])
     return canonicalize(by_position, target, headers, ano, keep)
 
 
 def conform(df: DataFrame, target: Dataset) -> DataFrame:
     """Exactly the dataset's columns in order: cast the ones there are, typed NULLs for the rest."""
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(field.name) if field.name in have else F.lit(None)).cast(field.dataType).alias(field.name)
+            f"CAST({field.name if field.name in have else 'NULL'} AS {field.dataType.simpleString()}) AS {field.name}"
             for field in target.struct
         ]
     )
@@ -66,28 +77,21 @@ def resolve_aliases(files: DataFrame, target: Dataset) -> DataFrame:
     ``files`` carries an array column ``headers``; its other columns are kept. No join and no shuffle: the
     canonical columns are a constant array of at most fifty entries.
     """
-    columns = F.array(
-        *[
-            F.struct(F.lit(f.name).alias("name"), F.array(*[F.lit(a) for a in f.aliases]).alias("aliases"))
-            for f in target.fields
-        ]
-    )
-    names = trimmed_names(F.col("headers"))
-    chosen = F.transform(
-        columns,
-        lambda c: F.struct(
-            c["name"].alias("name"),
-            F.get(F.filter(c["aliases"], lambda a: F.array_contains(F.col("_names"), a)), F.lit(0)).alias("alias"),
-        ),
+    columns = ", ".join(
+        f"struct({cleaning.quoted(f.name)} AS name, array({', '.join(map(cleaning.quoted, f.aliases))}) AS aliases)"
+        for f in target.fields
     )
+    chosen = f"""filter(
+        transform(array({columns}), c -> struct(
+            c.name AS name, get(filter(c.aliases, a -> array_contains(_names, a)), 0) AS alias)),
+        c -> c.alias IS NOT NULL)"""
     return (
-        files.withColumn("_names", names)
-        .withColumn("_chosen", F.filter(chosen, lambda c: c["alias"].isNotNull()))
-        .select(*files.columns, "_names", F.explode("_chosen").alias("_c"))
-        .select(
+        files.withColumn("_names", trimmed_names(F.col("headers")))
+        .selectExpr("*", f"explode({chosen}) AS _c")
+        .selectExpr(
             *files.columns,
-            F.col("_c.name").alias("name"),
-            F.col("_c.alias").alias("alias"),
-            (F.array_position("_names", F.col("_c.alias")) - 1).cast("int").alias("position"),
+            "_c.name AS name",
+            "_c.alias AS alias",
+            "CAST(array_position(_names, _c.alias) - 1 AS INT) AS position",
         )
     )

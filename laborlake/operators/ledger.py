@@ -70,7 +70,7 @@ def status(done: DataFrame) -> DataFrame:
     return (
         done.groupBy("dataset", "ano")
         .agg(*_totals())
-        .withColumn("source_gb", gigabytes(F.col("size_bytes"), 1))
+        .withColumn("source_gb", F.expr(gigabytes("size_bytes", 1)))
         .orderBy("dataset", "ano")
     )
 
@@ -80,7 +80,7 @@ def status_with_total(done: DataFrame) -> DataFrame:
     return (
         done.groupingSets([["dataset", "ano"], []], "dataset", "ano")
         .agg(*_totals())
-        .withColumn("source_gb", gigabytes(F.col("size_bytes"), 1))
+        .withColumn("source_gb", F.expr(gigabytes("size_bytes", 1)))
         .orderBy(F.col("dataset").asc_nulls_last(), F.col("ano").asc_nulls_last())
     )
 
@@ -90,15 +90,14 @@ def compression(done: DataFrame, stored: DataFrame) -> DataFrame:
     both = done.select(F.col("size_bytes").alias("source"), F.lit(0).cast("long").alias("parquet")).unionByName(
         stored.select(F.lit(0).cast("long").alias("source"), F.col("length").alias("parquet"))
     )
-    source, parquet = F.col("source_bytes"), F.col("parquet_bytes")
     return (
         both.agg(
             F.coalesce(F.sum("source"), F.lit(0)).alias("source_bytes"),
             F.coalesce(F.sum("parquet"), F.lit(0)).alias("parquet_bytes"),
         )
-        .withColumn("source_gb", gigabytes(source, 1))
-        .withColumn("parquet_gb", gigabytes(parquet, 2))
-        .withColumn("ratio", F.try_divide(parquet, source))
+        .withColumn("source_gb", F.expr(gigabytes("source_bytes", 1)))
+        .withColumn("parquet_gb", F.expr(gigabytes("parquet_bytes", 2)))
+        .withColumn("ratio", F.try_divide("parquet_bytes", "source_bytes"))
         .withColumn("percent", F.concat(F.format_number(F.col("ratio") * 100, 1), F.lit("%")))
     )
 

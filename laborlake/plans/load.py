@@ -5,23 +5,28 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.model import Dataset, dataset
-from laborlake.operators.canonical import canonicalize
+from laborlake.operators.canonical import bind, clean
 from laborlake.operators.conformance import check_headers
 from laborlake.operators.ledger import KEY, Ledger, pending
 from laborlake.sources import store as tables
 from laborlake.sources.delimited import FILE, TOO_LONG, Layout, scan
 from laborlake.sources.files import discover, filter_files
-from laborlake.sources.headers import read_headers
+from laborlake.sources.headers import read_headers, session_conf
 
 LOADED = "dataset string, ano int, filename string, rows bigint, size_bytes bigint"
 ERRORS = "dataset string, ano int, filename string, error string"
 BATCH_BYTES = 4 * 2**40
 
+# Fifty cleaned columns make one generated method too long for the JVM to compile, and interpreted it runs
+# at a third of the speed. Without whole-stage generation the projection is split into short methods.
+SPLIT_METHODS = {"spark.sql.codegen.wholeStage": "false"}
+
 
 @dataclass(frozen=True)
 class Source:
@@ -211,10 +216,10 @@ def layouts_of(
     return layouts
 
 
-def canonical_rows(
+def text_rows(
     spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, multiline: bool = False
 ) -> DataFrame:
-    """All rows of the files in canonical form, with file name and over-long mark.
+    """All rows of the files under canonical names, still as text, with file name and over-long mark.
 
     One scan per layout and year: fields are bound to headers by position, and the year is then a literal.
     """
@@ -225,11 +230,8 @@ def canonical_rows(
     for (ano, layout), members in groups.items():
         plain = all(is_plain(s.filename) for s in members)
         raw = scan(spark, [s.path for s in members], layout, multiline=multiline, plain_names=plain)
-        frames.append(canonicalize(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG]))
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    return union
+        frames.append(bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG]))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def is_plain(name: str) -> bool:
@@ -253,11 +255,13 @@ def write_group(
         # Also when a retry follows a failure after the write.
         tables.remove(spark, store, target, [(s.ano, s.filename) for s in some])
         seen = Observation()
-        marked = canonical_rows(spark, some, layouts, target, opts.multiline).observe(
+        # The observation also keeps the cleaning above the union, to be compiled once and not per scan.
+        text = text_rows(spark, some, layouts, target, opts.multiline).observe(
             seen, F.count_if(F.col(TOO_LONG)).alias("too_long")
         )
-        rows = marked.where(~F.col(TOO_LONG))
-        tables.write(tables.spread(rows) if spread else rows, store, target)
+        rows = clean(text.where(~F.col(TOO_LONG)), target, keep=[FILE])
+        with session_conf(spark, SPLIT_METHODS):
+            tables.write(tables.spread(rows) if spread else rows, store, target)
         stored = rows_stored(spark, some, target, store)
         # Nothing stored: the plan may have been emptied, and the count with it.
         dropped = seen.get["too_long"] if any(stored.values()) else None
@@ -291,7 +295,7 @@ def count_too_long(
         return {}
     # The year and a data column stay in the aggregate: the reader refuses to be asked for broken rows alone.
     counts = (
-        canonical_rows(spark, suspects, layouts, target, opts.multiline)
+        text_rows(spark, suspects, layouts, target, opts.multiline)
         .groupBy("ano", FILE)
         .agg(F.count_if(F.col(TOO_LONG)).alias("n"))
     )

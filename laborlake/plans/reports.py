@@ -64,8 +64,9 @@ def sector_summary(
         .agg(
             F.count(F.lit(1)).alias("vinculos"),
             F.sum(active).alias("ativos_31dez"),
-            round_cents(F.avg(F.col("vl_remun_media_nom").try_cast("double"))).alias("remun_media"),
+            F.avg(F.col("vl_remun_media_nom").try_cast("double")).alias("remun_media"),
         )
+        .withColumn("remun_media", F.expr(round_cents("remun_media")))
         .orderBy("ano", F.desc("vinculos"), "setor")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +41,14 @@ class Layout:
         }
 
 
-def too_long(layout: Layout) -> Column:
+def too_long(layout: Layout) -> str:
     """Whether a row has more fields than the header. Short rows are fine: their missing tail is NULL.
 
     The reader reports both kinds; separators outside quotes tell them apart.
     """
-    bare = F.regexp_replace(F.col(BROKEN), '"[^"]*"', "")
-    fields = F.length(bare) - F.length(F.replace(bare, F.lit(layout.sep), F.lit(""))) + 1
-    return F.col(BROKEN).isNotNull() & (fields > len(layout.headers))
+    bare = f"""regexp_replace({BROKEN}, '"[^"]*"', '')"""
+    separators = f"length({bare}) - length(replace({bare}, '{layout.sep}', ''))"
+    return f"CASE WHEN {BROKEN} IS NULL THEN false ELSE {separators} >= {len(layout.headers)} END"
 
 
 def scan(
@@ -63,11 +63,12 @@ def scan(
 
 
 def marked(df: DataFrame, layout: Layout, plain_names: bool) -> DataFrame:
-    name = F.col("_metadata.file_name")
-    return df.select(
+    # The scan's metadata column would carry the same name, but copies every row once more to add it.
+    name = "substring_index(input_file_name(), '/', -1)"
+    return df.selectExpr(
         *[f"_c{i}" for i in range(len(layout.headers))],
-        (name if plain_names else decoded_uri(name)).alias(FILE),
-        too_long(layout).alias(TOO_LONG),
+        f"{name if plain_names else decoded_uri(name)} AS {FILE}",
+        f"{too_long(layout)} AS {TOO_LONG}",
     )
 
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.functions.headers import delimiter, header_names
@@ -16,9 +14,9 @@ ENCODING = "ISO-8859-1"
 WHOLE_FILE = str(2**40)
 
 
-def decoded_uri(c: Column) -> Column:
+def decoded_uri(c: str) -> str:
     """Plain text of a percent-encoded path or file name, as the file metadata columns carry it."""
-    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return f"url_decode(replace({c}, '+', '%2B'))"
 
 
 @contextmanager
@@ -36,13 +34,6 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(key, value)
 
 
-def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
-
-
 def describe_headers(lines: DataFrame) -> DataFrame:
     """Add the separator and the header names to rows that carry a file's first ``line``."""
     text = F.coalesce(F.regexp_replace("line", r"[\r\n]+$", ""), F.lit(""))
@@ -57,6 +48,14 @@ def read_headers(spark: SparkSession, paths: list[str]) -> list[Row]:
     """
     if not paths:
         return []
+
+    # Local, so that it travels by value: executors need not have this package.
+    def first_row(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
     one_file_per_task = {
         "spark.sql.files.maxPartitionBytes": WHOLE_FILE,
         "spark.sql.files.openCostInBytes": WHOLE_FILE,
@@ -65,8 +64,8 @@ def read_headers(spark: SparkSession, paths: list[str]) -> list[Row]:
         lines = spark.read.text([escape_glob(p) for p in paths]).select(
             F.col("_metadata.file_path").alias("uri"), F.col("value").cast("binary").alias("raw")
         )
-        first = lines.mapInArrow(_first_row, "uri string, raw binary").select(
-            decoded_uri(F.col("uri")).alias("path"), F.decode("raw", ENCODING).alias("line")
+        first = lines.mapInArrow(first_row, "uri string, raw binary").select(
+            F.expr(decoded_uri("uri")).alias("path"), F.decode("raw", ENCODING).alias("line")
         )
         return describe_headers(first).collect()
 
