@@ -80,7 +80,7 @@ def sectors(where: str = "true") -> str:
     return f"""
 SELECT ano, {SECTOR} AS setor, count(*) AS vinculos,
   CAST(sum(CASE WHEN vinculo_ativo_3112 = '1' THEN 1 ELSE 0 END) AS BIGINT) AS ativos_31dez,
-  round(avg(vl_remun_media_nom), 2) AS remun_media
+  round(favg(vl_remun_media_nom), 2) AS remun_media
 FROM ruled WHERE {where} GROUP BY ALL"""
 
 
@@ -310,7 +310,7 @@ FROM lineitem GROUP BY ALL""",
             "SELECT ano, uf, pis, municipio, vl_remun_media_nom FROM ruled WHERE uf = '13' AND ano IN (1996, 1997)"
         ),
         "count_by_year": with_ruled("SELECT ano, count(*) AS vinculos FROM ruled WHERE uf = '13' GROUP BY ano ORDER BY ano"),
-        "global_count_avg": with_ruled("SELECT count(*) AS n, round(avg(vl_remun_media_nom), 2) AS remun_media FROM ruled"),
+        "global_count_avg": with_ruled("SELECT count(*) AS n, round(favg(vl_remun_media_nom), 2) AS remun_media FROM ruled"),
         "sector_summary": with_ruled(f"{sectors()} ORDER BY ano, vinculos DESC, setor"),
         "sector_summary_filtered": with_ruled(
             f"{sectors("uf = '13' AND municipio = '130074' AND ano IN (1996, 1997, 1998)")} ORDER BY ano, vinculos DESC, setor"
