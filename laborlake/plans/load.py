@@ -216,21 +216,26 @@ def layouts_of(
     return layouts
 
 
-def text_rows(
-    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, multiline: bool = False
-) -> DataFrame:
-    """All rows of the files under canonical names, still as text, with file name and over-long mark.
-
-    One scan per layout and year: fields are bound to headers by position, and the year is then a literal.
-    """
+def scans(
+    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], multiline: bool
+) -> Iterable[tuple[int, Layout, DataFrame]]:
+    """One scan per layout and year: fields are bound to headers by position, and the year is then a literal."""
     groups: dict[tuple[int, Layout], list[Source]] = defaultdict(list)
     for s in sources:
         groups[s.ano, layouts[s]].append(s)
-    frames = []
     for (ano, layout), members in groups.items():
         plain = all(is_plain(s.filename) for s in members)
-        raw = scan(spark, [s.path for s in members], layout, multiline=multiline, plain_names=plain)
-        frames.append(bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG]))
+        yield ano, layout, scan(spark, [s.path for s in members], layout, multiline=multiline, plain_names=plain)
+
+
+def text_rows(
+    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, multiline: bool = False
+) -> DataFrame:
+    """All rows of the files under canonical names, still as text, with file name and over-long mark."""
+    frames = [
+        bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG])
+        for ano, layout, raw in scans(spark, sources, layouts, multiline)
+    ]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -266,7 +271,7 @@ def write_group(
         # Nothing stored: the plan may have been emptied, and the count with it.
         dropped = seen.get["too_long"] if any(stored.values()) else None
         suspects = [s for s, n in stored.items() if dropped is None or n < dropped]
-        for s, n_long in count_too_long(spark, suspects, layouts, target, opts).items():
+        for s, n_long in count_too_long(spark, suspects, layouts, opts).items():
             if n_long > stored[s]:
                 tables.remove(spark, store, target, [(s.ano, s.filename)])
                 failed[s] = f"layout: {n_long} of {n_long + stored[s]} rows have more fields than the header"
@@ -284,7 +289,7 @@ def rows_stored(spark: SparkSession, sources: list[Source], target: Dataset, sto
 
 
 def count_too_long(
-    spark: SparkSession, suspects: list[Source], layouts: dict[Source, Layout], target: Dataset, opts: Options
+    spark: SparkSession, suspects: list[Source], layouts: dict[Source, Layout], opts: Options
 ) -> dict[Source, int]:
     """Over-long rows per file, by a second scan.
 
@@ -293,11 +298,15 @@ def count_too_long(
     """
     if not suspects:
         return {}
-    # The year and a data column stay in the aggregate: the reader refuses to be asked for broken rows alone.
+    # A data column takes part because the reader refuses to be asked for broken rows alone.
+    marks = [
+        raw.selectExpr(f"{ano} AS ano", FILE, TOO_LONG, "_c0")
+        for ano, _, raw in scans(spark, suspects, layouts, opts.multiline)
+    ]
     counts = (
-        text_rows(spark, suspects, layouts, target, opts.multiline)
+        reduce(DataFrame.unionByName, marks)
         .groupBy("ano", FILE)
-        .agg(F.count_if(F.col(TOO_LONG)).alias("n"))
+        .agg(F.count_if(F.col(TOO_LONG)).alias("n"), F.count("_c0").alias("first_fields"))
     )
     found = {(r.ano, r[FILE]): r.n for r in counts.collect()}
     return {s: found.get((s.ano, s.filename), 0) for s in suspects}
