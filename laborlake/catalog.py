@@ -20,6 +20,7 @@ from laborlake.operators.conformance import check_headers, verdict_counts, verdi
 from laborlake.operators.ledger import Ledger
 from laborlake.plans import reports
 from laborlake.plans.load import load, load_files
+from laborlake.plans.verify import verify
 from laborlake.session import new_folder
 from laborlake.sources import store as tables
 from laborlake.sources.files import classify, discover, filter_files
@@ -214,6 +215,16 @@ def header_files_on_disk(spark, sf_dir):
     )
 
 
+def verify_files(spark, sf_dir):
+    """Verdicts on the files of a source tree."""
+    return (
+        verify(spark, tree("mixed")(spark, sf_dir))
+        .selectExpr("dataset", "ano", "regexp_extract(filename, 'ID_([A-Z]+)_', 1) AS region", "verdict", "n_columns",
+                    "array_join(missing_optional, '|') AS missing_optional", "array_join(new_columns, '|') AS new_columns")
+        .distinct()
+    )
+
+
 def alias_resolve(spark, sf_dir):
     files = described(spark, sf_dir)
     parts = [
@@ -517,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "canonicalize_mixed": canonicalize_mixed,
     "header_sniff": header_sniff,
     "header_files_on_disk": header_files_on_disk,
+    "verify_files": verify_files,
     "alias_resolve": alias_resolve,
     "schema_check": schema_check,
     "schema_verdict": schema_verdict,

@@ -245,6 +245,13 @@ SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS ano,
   CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region,
   CASE WHEN l_returnflag = 'R' THEN ',' ELSE ';' END AS sep, 52 AS n_columns,
   CASE WHEN l_returnflag = 'R' THEN 'Data Nascimento' ELSE 'Data de Nascimento' END AS fourth
+FROM lineitem""",
+        "verify_files": """
+SELECT DISTINCT 'vinculos' AS dataset, CAST(year(l_shipdate) AS INTEGER) AS ano,
+  CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region,
+  CASE WHEN l_returnflag = 'R' THEN 'OK' ELSE 'AVISO' END AS verdict, 52 AS n_columns,
+  CASE WHEN l_returnflag = 'R' THEN '' ELSE 'Razão Social' END AS missing_optional,
+  CASE WHEN l_returnflag = 'R' THEN 'Município Trab - Código|Ano Chegada Brasil' ELSE '' END AS new_columns
 FROM lineitem""",
         "alias_resolve": ALIAS_RESOLVE,
         "schema_check": f"""WITH {CHECKED.strip()}

@@ -25,7 +25,11 @@ BATCH_BYTES = 4 * 2**40
 
 # Fifty cleaned columns make one generated method too long for the JVM to compile, and interpreted it runs
 # at a third of the speed. Without whole-stage generation the projection is split into short methods.
-SPLIT_METHODS = {"spark.sql.codegen.wholeStage": "false"}
+# Rebalanced rows are cut into pieces of the second size, so that files come out neither tiny nor huge.
+WRITE_SETTINGS = {
+    "spark.sql.codegen.wholeStage": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
 
 
 @dataclass(frozen=True)
@@ -265,7 +269,7 @@ def write_group(
             seen, F.count_if(F.col(TOO_LONG)).alias("too_long")
         )
         rows = clean(text.where(~F.col(TOO_LONG)), target, keep=[FILE])
-        with session_conf(spark, SPLIT_METHODS):
+        with session_conf(spark, WRITE_SETTINGS):
             tables.write(tables.spread(rows) if spread else rows, store, target)
         stored = rows_stored(spark, some, target, store)
         # Nothing stored: the plan may have been emptied, and the count with it.

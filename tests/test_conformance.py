@@ -1,8 +1,9 @@
-from conftest import HISTORIC
+from conftest import HISTORIC, job_link_file, put, quote
 
 from laborlake.model import DATASETS
 from laborlake.operators.canonical import resolve_aliases
 from laborlake.operators.conformance import check_headers, verdict_counts, verdicts
+from laborlake.plans.verify import summary, verify
 
 LINKS = DATASETS["vinculos"]
 FULL_2014 = [f.aliases[0] for f in LINKS.fields if not f.optional] + ["CNAE 95 Classe", "Número CTPS"]
@@ -51,3 +52,15 @@ def test_aliases_as_rows(spark):
     rows = resolve_aliases(files(spark, HISTORIC), LINKS).collect()
     assert len(rows) == 11
     assert {(r.name, r.alias, r.position) for r in rows} >= {("municipio", "Município", 0), ("idade", "Idade", 5)}
+
+
+def test_files_on_disk(spark, tmp_path):
+    put(job_link_file(tmp_path, 2014, "AC2014ID.txt"), [";".join(FULL_2014), "x"])
+    put(job_link_file(tmp_path, 2014, "SP2014ID.txt"), [])
+    put(job_link_file(tmp_path, 2024, "RAIS_VINC_ID_SUL.txt"), [quote(FULL_2024), "x"])
+    report = verify(spark, str(tmp_path))
+    assert [(r.filename, r.verdict, r.n_columns) for r in report.collect()] == [
+        ("AC2014ID.txt", "AVISO", 51), ("SP2014ID.txt", "ERRO", 0), ("RAIS_VINC_ID_SUL.txt", "OK", 50),
+    ]
+    assert summary(report).count() == 3
+    assert verify(spark, str(tmp_path), year=2014, state="ac").count() == 1
