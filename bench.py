@@ -53,7 +53,7 @@ def main() -> None:
         shapes = ("auto", "direct") if layouts == "mixed" else ("auto",)
         for shape in shapes:
             name = f"ingest_{layouts}" + ("" if shape == "auto" else f"_{shape}")
-            queries[name] = timed(lambda ingest=ingest, shape=shape: ingest(shape=shape))
+            queries[name] = timed(lambda ingest=ingest, shape=shape: ingest(shape=shape), runs=2)
             extra[f"{name}_rows_per_sec"] = round(last["rows"] / queries[name])
             extra[f"{name}_mb_per_sec"] = round(size / 1e6 / queries[name], 1)
         stores[layouts] = (source, last["store"])

@@ -39,6 +39,17 @@ def current(entries: DataFrame) -> DataFrame:
     )
 
 
+def read_json(spark: SparkSession, path: str) -> DataFrame:
+    """Ledger rows from a JSON array of entries, as other tools over the same sources keep them."""
+    fields = [f for f in STRUCT if f.name != "deleted"]
+    return (
+        spark.read.schema(T.StructType(fields))
+        .option("multiLine", True)
+        .json(path)
+        .withColumn("deleted", F.lit(False))
+    )
+
+
 def pending(files: DataFrame, done: DataFrame) -> DataFrame:
     """Files that are not in the ledger. The engine picks the join: it broadcasts the ledger while small."""
     return files.join(done.select(*KEY), KEY, "left_anti")
@@ -140,12 +151,15 @@ class Ledger:
         nothing = F.lit(None).cast("long")
         self._append(files.select(*KEY, nothing.alias("rows"), nothing.alias("size_bytes")), deleted=True)
 
+    def adopt(self, entries: DataFrame) -> None:
+        """Take over entries with the time they carry."""
+        self._write(entries)
+
     def _append(self, rows: DataFrame, deleted: bool) -> None:
+        self._write(rows.select("*", F.current_timestamp().alias("processed_at"), F.lit(deleted).alias("deleted")))
+
+    def _write(self, entries: DataFrame) -> None:
         """One small file per call: a row per source file of a batch."""
-        (
-            rows.select("*", F.current_timestamp().alias("processed_at"), F.lit(deleted).alias("deleted"))
-            .select(*[F.col(f.name).cast(f.dataType) for f in STRUCT])
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self.path)
+        entries.select(*[F.col(f.name).cast(f.dataType) for f in STRUCT]).coalesce(1).write.mode("append").parquet(
+            self.path
         )

@@ -286,9 +286,9 @@ def write_group(
 
 
 def rows_stored(spark: SparkSession, sources: list[Source], target: Dataset, store: str) -> dict[Source, int]:
-    years = sorted({s.ano for s in sources})
-    counts = tables.rows_per_file(spark, store, target, years).where(F.col(FILE).isin([s.filename for s in sources]))
-    found = {(r.ano, r[FILE]): r.rows for r in counts.collect()}
+    counts = tables.rows_per_file(spark, store, target, sorted({s.ano for s in sources}))
+    wanted = spark.createDataFrame([(s.ano, s.filename) for s in sources], f"ano int, {FILE} string")
+    found = {(r.ano, r[FILE]): r.rows for r in counts.join(wanted, ["ano", FILE], "left_semi").collect()}
     return {s: found.get((s.ano, s.filename), 0) for s in sources}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,13 +60,15 @@ def remove(spark: SparkSession, store: str, target: Dataset, files: Iterable[tup
         by_year.setdefault(ano, set()).add(name)
     fs, root = hadoop_fs(spark, table_path(store, target))
     path_of = spark._jvm.org.apache.hadoop.fs.Path
-    removed = 0
-    for ano, names in by_year.items():
-        for status in fs.globStatus(path_of(root, f"ano={ano}/uf=*/{FILE}=*")) or []:
-            if _folder_value(status.getPath().getName()) in names:
-                fs.delete(status.getPath(), True)
-                removed += 1
-    return removed
+    old = [
+        status.getPath()
+        for ano, names in by_year.items()
+        for status in fs.globStatus(path_of(root, f"ano={ano}/uf=*/{FILE}=*")) or []
+        if _folder_value(status.getPath().getName()) in names
+    ]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda path: fs.delete(path, True), old))
+    return len(old)
 
 
 def read(
@@ -79,7 +82,8 @@ def read(
 ) -> DataFrame:
     """The table, with its declared types; the source file only with ``lineage``.
 
-    Filters on ``ano`` and ``uf`` prune partitions anyway. Naming them here also saves listing the folders
+    Tables without file folders, one Parquet file per source file right below the state, read as well; their
+    source file is then NULL. Filters on ``ano`` and ``uf`` prune partitions anyway. Naming them here also saves listing the folders
     of other years and states, which counts on a store with very many partitions.
     """
     base = table_path(store, target)

@@ -1,3 +1,4 @@
+import json
 import time
 
 import pytest
@@ -93,3 +94,14 @@ def test_versions_are_reduced_before_the_shuffle(spark, table):
     table.mark_done(frame(spark, AC14))
     plan = table.current()._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_a_json_ledger_can_be_adopted(spark, table, tmp_path):
+    entry = {"dataset": "vinculos", "ano": 2014, "filename": "AC2014ID.txt", "rows": 1000, "size_bytes": 72000000,
+             "processed_at": "2026-01-02T03:04:05.678901+00:00"}
+    path = tmp_path / "ledger.json"
+    path.write_text(json.dumps([entry, {**entry, "ano": 2015}], indent=2), encoding="utf-8")
+    table.adopt(ledger.read_json(spark, str(path)))
+    row = table.entry("vinculos", 2014, "AC2014ID.txt").first()
+    assert row[:5] == AC14 and str(row.processed_at)[-15:] == "03:04:05.678901"
+    assert table.count() == 2

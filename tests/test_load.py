@@ -238,3 +238,19 @@ def test_reading_part_of_a_store(spark, base, store):
     assert stored(spark, store, years=[2014, 2015], states=["35"]).count() == 1
     assert stored(spark, store, years=[1999]).count() == 0
     assert stored(spark, store).where("uf = '12' AND ano = 2015").count() == 1
+
+
+def test_tables_without_file_folders_read_the_same(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for state in ("00", "12"):
+        path = tmp_path / "vinculos" / "ano=2014" / f"uf={state}" / "AC2014ID.parquet"
+        path.parent.mkdir(parents=True)
+        pq.write_table(pa.table({"ano": pa.array([2014], pa.int32()), "pis": [state], "uf": [state]}), path)
+    rows = stored(spark, str(tmp_path), lineage=True).collect()
+    assert sorted((r.ano, r.uf, r.pis, r.cpf, r.arquivo) for r in rows) == [
+        (2014, "00", "00", None, None),
+        (2014, "12", "12", None, None),
+    ]
+    assert stored(spark, str(tmp_path), states=["00"]).count() == 1
