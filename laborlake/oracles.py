@@ -52,6 +52,13 @@ ruled AS (
 )"""
 
 
+# Mean pay from whole cents: a sum of fractions would depend on the order of the rows in the last digit.
+MEAN_PAY = (
+    "round(CAST(sum(CAST(round(vl_remun_media_nom * 100) AS BIGINT)) AS DOUBLE)"
+    " / (CAST(100 AS DOUBLE) * count(vl_remun_media_nom)), 2)"
+)
+
+
 def links(new: str) -> str:
     """All shown columns; ``new`` is the condition under which a row is in the newer layout."""
     return f"""
@@ -80,7 +87,7 @@ def sectors(where: str = "true") -> str:
     return f"""
 SELECT ano, {SECTOR} AS setor, count(*) AS vinculos,
   CAST(sum(CASE WHEN vinculo_ativo_3112 = '1' THEN 1 ELSE 0 END) AS BIGINT) AS ativos_31dez,
-  round(favg(vl_remun_media_nom), 2) AS remun_media
+  {MEAN_PAY} AS remun_media
 FROM ruled WHERE {where} GROUP BY ALL"""
 
 
@@ -317,7 +324,7 @@ FROM lineitem GROUP BY ALL""",
             "SELECT ano, uf, pis, municipio, vl_remun_media_nom FROM ruled WHERE uf = '13' AND ano IN (1996, 1997)"
         ),
         "count_by_year": with_ruled("SELECT ano, count(*) AS vinculos FROM ruled WHERE uf = '13' GROUP BY ano ORDER BY ano"),
-        "global_count_avg": with_ruled("SELECT count(*) AS n, round(favg(vl_remun_media_nom), 2) AS remun_media FROM ruled"),
+        "global_count_avg": with_ruled(f"SELECT count(*) AS n, {MEAN_PAY} AS remun_media FROM ruled"),
         "sector_summary": with_ruled(f"{sectors()} ORDER BY ano, vinculos DESC, setor"),
         "sector_summary_filtered": with_ruled(
             f"{sectors("uf = '13' AND municipio = '130074' AND ano IN (1996, 1997, 1998)")} ORDER BY ano, vinculos DESC, setor"
