@@ -46,16 +46,14 @@ def main() -> None:
         size = sum(r.size_bytes for r in list_files(spark, source).collect())
         last = {}
 
-        def ingest(source=source, last=last, **options):
+        def ingest(source=source, last=last):
             last["store"] = new_folder(spark, "bench-store")
-            last["rows"] = load(spark, source, last["store"], **options).total_rows
+            last["rows"] = load(spark, source, last["store"]).total_rows
 
-        shapes = ("auto", "direct") if layouts == "mixed" else ("auto",)
-        for shape in shapes:
-            name = f"ingest_{layouts}" + ("" if shape == "auto" else f"_{shape}")
-            queries[name] = timed(lambda ingest=ingest, shape=shape: ingest(shape=shape), runs=2)
-            extra[f"{name}_rows_per_sec"] = round(last["rows"] / queries[name])
-            extra[f"{name}_mb_per_sec"] = round(size / 1e6 / queries[name], 1)
+        name = f"ingest_{layouts}"
+        queries[name] = timed(ingest, runs=2)
+        extra[f"{name}_rows_per_sec"] = round(last["rows"] / queries[name])
+        extra[f"{name}_mb_per_sec"] = round(size / 1e6 / queries[name], 1)
         stores[layouts] = (source, last["store"])
 
     source, store = stores["mixed"]

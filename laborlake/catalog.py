@@ -141,7 +141,9 @@ def derive_state(spark, sf_dir):
 def canonical_schema(spark, sf_dir):
     """Parts of establishments brought to the full canonical schema: one row per column and order status."""
     rows = tb.read_table(spark, sf_dir, "orders").selectExpr(
-        "year(o_orderdate) AS ano", "CAST(o_orderkey AS STRING) AS cnpj_cei", "CAST(o_custkey AS STRING) AS qtd_vinculos_ativos",
+        "year(o_orderdate) AS ano",
+        "CAST(o_orderkey AS STRING) AS cnpj_cei",
+        "CAST(o_custkey AS STRING) AS qtd_vinculos_ativos",
         "o_orderstatus AS uf",
     )
     full = conform(rows, ESTABLISHMENTS)

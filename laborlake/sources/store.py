@@ -83,8 +83,8 @@ def read(
     """The table, with its declared types; the source file only with ``lineage``.
 
     Tables without file folders, one Parquet file per source file right below the state, read as well; their
-    source file is then NULL. Filters on ``ano`` and ``uf`` prune partitions anyway. Naming them here also saves listing the folders
-    of other years and states, which counts on a store with very many partitions.
+    source file is then NULL. Filters on ``ano`` and ``uf`` prune partitions anyway. Naming them here also saves
+    listing the folders of other years and states, which counts on a store with very many partitions.
     """
     base = table_path(store, target)
     fs, root = hadoop_fs(spark, base)

@@ -4,10 +4,12 @@ from conftest import job_link_file, put
 from pyspark.sql import functions as F
 
 from laborlake.model import DATASETS
+from laborlake.operators.canonical import conform
 from laborlake.plans import reports
 from laborlake.plans.load import load
 from laborlake.sources import store as tables
 from laborlake.sources.delimited import Layout, scan
+from laborlake.sources.headers import session_conf
 
 LINKS = DATASETS["vinculos"]
 
@@ -65,6 +67,18 @@ def test_spread_is_a_rebalance_that_can_be_cut(spark, store):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(tables.spread(rows))
 
 
+def test_a_hot_state_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 16).selectExpr(
+        "2020 AS ano", "CAST(id AS STRING) AS pis", "IF(id % 10 < 8, '35', '12') AS uf", "'F.txt' AS arquivo"
+    )
+    full = conform(rows, LINKS).withColumn("arquivo", F.lit("F.txt"))
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}):
+        tables.write(tables.spread(full), str(tmp_path), LINKS)
+    files = tables.stored_files(spark, str(tmp_path))
+    assert files.where("path LIKE '%uf=35%'").count() > 1
+    assert tables.read(spark, str(tmp_path), LINKS).selectExpr("count(DISTINCT pis)", "count(*)").first() == (200_000, 200_000)
+
+
 def test_money_means_do_not_depend_on_order(spark):
     cents = [0.1, 0.2, 0.3, 1e9 + 0.01, 7.77]
     df = spark.createDataFrame([(i, v) for i in range(2) for v in (cents if i else cents[::-1])], "g int, v double")
