@@ -29,9 +29,9 @@ named AS (
   SELECT u.doc_id, u.first_n, u.last_n, string_agg(k.line, chr(10) ORDER BY k.i) AS name
   FROM u JOIN k ON k.doc_id = u.doc_id AND k.i BETWEEN u.i AND u.j GROUP BY ALL),
 later AS (
-  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, first_n) AS at FROM named),
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, first_n) AS nth FROM named),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(generate_series(first_n, last_n)) AS n FROM later WHERE at > 1),
+  SELECT DISTINCT doc_id, unnest(generate_series(first_n, last_n)) AS n FROM later WHERE nth > 1),
 marked AS (
   SELECT l.doc_id, l.n, l.line, g.n IS NOT NULL AS removed,
     g.n IS NOT NULL AND lag(g.n) OVER (PARTITION BY l.doc_id ORDER BY l.n) IS NULL AS begins
