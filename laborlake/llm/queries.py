@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm import line_dedup, quality_rules, sharding, warc
+from laborlake.llm import line_dedup, packing, quality_classifier, quality_rules, sharding, warc
 from laborlake.llm.common import table
 from laborlake.session import new_folder
 
@@ -35,6 +35,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -42,5 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_line_dedup,
         op5_sharding,
         op8_quality_rules,
+        op9_quality_classifier,
+        op10_packing,
     )
 }
