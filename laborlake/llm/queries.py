@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm import line_dedup, packing, quality_classifier, quality_rules, sharding, warc
+from laborlake.llm import decontaminate, line_dedup, packing, quality_classifier, quality_rules, sharding, warc
 from laborlake.llm.common import table
 from laborlake.session import new_folder
 
@@ -31,6 +31,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.with_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("_matches", lambda m: m["item_id"])))
+    return found.select(
+        "doc_id",
+        (F.size("_matches") > 0).alias("contaminated"),
+        items.alias("item_ids"),
+        F.array_min(F.transform("_matches", lambda m: m["edits"])).alias("fewest_edits"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -55,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_warc,
         op4_line_dedup,
         op5_sharding,
+        op7_decontamination,
         op8_quality_rules,
         op9_quality_classifier,
         op10_packing,
