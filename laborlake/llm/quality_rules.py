@@ -1,7 +1,7 @@
 """Quality rules: plain counts, and how far a document's characters and common words are from its language's.
 
 Two histograms of each document are compared with those of its whole language by Jensen-Shannon distance: classes of
-characters, and the COMMON most frequent words of the language beside all others. The references are sums over all
+characters, and the COMMON most frequent short words of the language beside all others. The references are sums over all
 documents. A document with fewer than MIN_WORDS words fails the base rules anyway, and a reference of fewer than
 MIN_REFERENCE words judges nobody.
 
@@ -16,9 +16,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from laborlake.llm.common import written
+
 MIN_WORDS = 50
+#: References are broadcast for so many languages at most, under a kilobyte each.
+BROADCAST_LANGUAGES = 10_000
 MIN_REFERENCE = 1000
 COMMON = 24
+#: Only words of so few characters, signs included, can be common ones: the words that hold a language together are
+#: short, and there are not too many short words to count in every task.
+SHORT = 5
 #: Largest Jensen-Shannon distance (base 2, so 0 to 1) from the language that is kept. That of words has a share that
 #: falls with the root of their number, as a short text is far from any histogram by chance.
 MAX_CLASS_DISTANCE = 0.30
@@ -71,13 +78,17 @@ def repeated_windows(words: str, width: int = 3) -> Column:
         each = F.transform(at, lambda p, i: F.least(F.lit(width), F.coalesce(F.get(at, i + 1) - p, F.lit(width))))
         return F.aggregate(each, F.lit(0), lambda a, b: a + b)
 
-    distinct = F.size(F.array_distinct(F.transform(windows, lambda x: x["h"])))
-    sorted_once = F.transform(F.array(F.array_sort(windows)), places)
-    return F.when(distinct < last + 1, F.get(F.transform(sorted_once, covered), 0)).otherwise(0)
+    def count(found: Column) -> Column:
+        distinct = F.size(F.array_distinct(F.transform(found, lambda x: x["h"])))
+        at = F.transform(F.array(F.sort_array(found)), places)
+        return F.when(distinct < F.size(found), F.get(F.transform(at, covered), 0)).otherwise(0)
+
+    # An array of one, so that what is made of it is made once.
+    return F.get(F.transform(F.array(windows), count), 0)
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts, the class histogram (_h_...), and the words in `_words`, for each row of `docs`."""
+    """doc_id, lang, the base counts, the class histogram (_h_...), and the short words in `_short`, for each row of `docs`."""
     rows = docs.select(
         "doc_id",
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
@@ -101,7 +112,9 @@ def measures(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("_rest", rest).withColumn("_less", F.regexp_replace("_rest", pattern, ""))
         rows = rows.withColumn(_pick(cls), (F.char_length("_rest") - F.char_length("_less")).cast("double"))
         rest = F.col("_less")
-    return rows.withColumn(_pick("other"), F.char_length("_less").cast("double")).drop("_rest", "_less", "_text")
+    short = F.filter("_words", lambda w: F.char_length(w) <= SHORT)
+    rows = rows.withColumn(_pick("other"), F.char_length("_less").cast("double")).withColumn("_short", short)
+    return rows.drop("_rest", "_less", "_text", "_words")
 
 
 def _plain(word: Column) -> Column:
@@ -110,12 +123,17 @@ def _plain(word: Column) -> Column:
 
 def word_references(docs: DataFrame) -> DataFrame:
     """lang, _common (words), _share (their shares of all words, then the rest's), _total: one row per language."""
-    words = docs.select(
-        F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.explode(_words(F.coalesce(F.col("text"), F.lit("")))).alias("_word")
+    words = _words(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), words.alias("_words"))
+    short = F.filter("_words", lambda w: F.char_length(w) <= SHORT)
+    # All words of a row count at its first one, so that one pass gives the total as well.
+    each = rows.select("lang", F.size("_words").alias("_all"), F.posexplode_outer(short).alias("_at", "_word"))
+    counts = each.groupBy("lang", "_word").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("_all")).otherwise(0)).alias("_of")
     )
-    counts = words.groupBy("lang", "_word").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.groupBy("lang", _plain(F.col("_word")).alias("_word")).agg(F.sum("_n").alias("_n")).filter("_word != ''")
-    totals = counts.groupBy("lang").agg(F.sum("_n").alias("_total"), F.max_by(F.struct("_n"), "_n").alias("_most"))
+    totals = counts.groupBy("lang").agg(F.sum("_of").alias("_total"))
+    plain = _plain(F.col("_word"))
+    counts = counts.groupBy("lang", plain.alias("_word")).agg(F.sum("_n").alias("_n")).filter("_word != ''")
     # Only words that could be among the common ones are ranked: a word's share of its language bounds its rank.
     many = counts.join(totals, "lang").filter(F.col("_n") * 2000 >= F.col("_total"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("_n"), "_word"))
@@ -126,10 +144,6 @@ def word_references(docs: DataFrame) -> DataFrame:
     return top.select("lang", "_total", F.transform("_top", lambda x: x["_word"]).alias("_common"), F.concat(shares, F.array(rest)).alias("_share"))
 
 
-def class_references(measured: DataFrame) -> DataFrame:
-    return measured.groupBy("lang").agg(*[F.sum(_pick(c)).alias(f"_r_{c}") for c in [*CLASSES, "other"]])
-
-
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance, base 2, of two arrays of shares."""
 
@@ -145,6 +159,28 @@ def _shares(columns: list[str]) -> Column:
     return F.array(*[F.coalesce(F.try_divide(F.col(c), total), F.lit(0.0)) for c in columns])
 
 
+def _found(words: str, common: str, n_words: str) -> Column:
+    """Shares of the common words in an array of words: each is taken out of the joined text, and what is gone is counted."""
+    text = F.concat(F.lit(" "), F.array_join(F.transform(words, _plain), "  "), F.lit(" "))
+
+    def shares(spaced: Column) -> Column:
+        def share(word: Column) -> Column:
+            gone = F.replace(spaced, F.concat(F.lit(" "), word, F.lit(" ")), F.lit(""))
+            return (F.char_length(spaced) - F.char_length(gone)) / (F.char_length(word) + 2) / F.col(n_words)
+
+        return F.transform(common, share)
+
+    return F.get(F.transform(F.array(text), shares), 0)
+
+
+def _joined(rows: DataFrame, references: DataFrame) -> DataFrame:
+    """Each row with its language's reference, which is broadcast if there are few enough languages."""
+    references = references.withColumnRenamed("lang", "_lang")
+    few = references.count() <= BROADCAST_LANGUAGES
+    references = F.broadcast(references) if few else references
+    return rows.join(references, F.col("lang") == F.col("_lang"), "left").drop("_lang")
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, the base counts, base_failed, class_distance, word_distance, kept.
 
@@ -153,26 +189,18 @@ def judge(docs: DataFrame) -> DataFrame:
     all gets null distances and is kept if the base rules keep it. Other columns are ignored.
     """
     plain = docs.select("doc_id", "lang", "text")
-    rows = measures(plain)
-    words = word_references(plain).withColumnRenamed("lang", "_w_lang")
-    classes = class_references(measures_of_classes(plain)).withColumnRenamed("lang", "_c_lang")
-    # One row per language, few against the documents; Spark broadcasts them if they are small enough.
-    rows = rows.join(classes, F.col("lang") == F.col("_c_lang"), "left").join(words, F.col("lang") == F.col("_w_lang"), "left")
-    text = F.concat(F.lit(" "), F.array_join(F.transform("_words", _plain), "  "), F.lit(" "))
-    rows = rows.withColumn("_spaced", text)
-
-    def count(word: Column) -> Column:
-        gone = F.char_length("_spaced") - F.char_length(F.replace(F.col("_spaced"), F.concat(F.lit(" "), word, F.lit(" ")), F.lit("")))
-        return gone / (F.char_length(word) + 2)
-
-    rows = rows.withColumn("_found", F.transform("_common", lambda w: count(w) / F.col("n_words")))
+    rows = _joined(measures(plain), written(word_references(plain), "words"))
     others = F.greatest(F.lit(0.0), 1 - F.aggregate("_found", F.lit(0.0), lambda a, b: a + b))
-    known = (F.col("_total") >= MIN_REFERENCE) & (F.col("n_words") > 0)
+    rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_short", "_common", "n_words")))
+    rows = rows.withColumn("_word_distance", js_distance(F.concat("_found", F.array(others)), F.col("_share")))
+    rows = written(rows.drop("_short", "_found", "_common", "_share"), "measures")
     names = [*CLASSES, "other"]
+    rows = _joined(rows, written(rows.groupBy("lang").agg(*[F.sum(_pick(c)).alias(f"_r_{c}") for c in names]), "classes"))
+    known = (F.col("_total") >= MIN_REFERENCE) & (F.col("n_words") > 0)
     rows = rows.withColumns(
         {
             "class_distance": F.when(known, js_distance(_shares([_pick(c) for c in names]), _shares([f"_r_{c}" for c in names]))),
-            "word_distance": F.when(known, js_distance(F.concat("_found", F.array(others)), F.col("_share"))),
+            "word_distance": F.when(known, F.col("_word_distance")),
             "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         }
     )
@@ -191,8 +219,3 @@ def judge(docs: DataFrame) -> DataFrame:
         "word_distance",
         (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"),
     )
-
-
-def measures_of_classes(docs: DataFrame) -> DataFrame:
-    """lang and the class histogram alone, for the references."""
-    return measures(docs).select("lang", *[_pick(c) for c in [*CLASSES, "other"]])
