@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, warc
+from laborlake.llm import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, suffix_dedup, warc
 from laborlake.llm.common import table
 from laborlake.session import new_folder
 
 SHARDS = 40
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.group_documents(table(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -67,6 +71,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op2_jaccard_join,
         op3_warc,
         op4_line_dedup,
