@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm import decontaminate, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, suffix_dedup, warc
+from laborlake.llm import decontaminate, html_extract, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, suffix_dedup, warc
 from laborlake.llm.common import table
 from laborlake.session import new_folder
 
@@ -39,6 +39,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.with_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.transform("_matches", lambda m: m["item_id"])))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_warc,
         op4_line_dedup,
         op5_sharding,
+        op6_html_extraction,
         op7_decontamination,
         op8_quality_rules,
         op9_quality_classifier,
