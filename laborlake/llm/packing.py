@@ -43,6 +43,31 @@ def _byte_signs() -> dict[int, str]:
 BYTE_SIGNS = _byte_signs()
 
 
+class Words(dict):
+    """The ids of words, each with a space before it unless it begins with a line end; worked out when first met.
+
+    None for what is no single word: where white space is adjacent, or other than spaces and line ends.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def ids(self, word: str) -> bytes:
+        if m := PLAIN.fullmatch(word):
+            merge = self.tokenizer.model.tokenize
+            parts = [x.encode().decode("latin-1").translate(BYTE_SIGNS) for x in m.groups() if x]
+            return np.array([t.id for x in parts for t in merge(x)], "<u4").tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes | None:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        bare = word.removeprefix("\n")
+        whole = len(bare.split()) == 1 and not bare[0].isspace() and not bare[-1].isspace()
+        found = self[word] = self.ids(word if bare is not word else " " + word) if whole else None
+        return found
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit numbers, remembering words.
 
@@ -57,56 +82,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.words = Words(self.tokenizer)
 
-    def _ids(self, word: str) -> bytes | None:
-        """The ids of a plain word, by the merges alone."""
-        if m := PLAIN.fullmatch(word):
-            merge = self.tokenizer.model.tokenize
-            parts = [x.encode().decode("latin-1").translate(BYTE_SIGNS) for x in m.groups() if x]
-            return np.array([t.id for x in parts for t in merge(x)], "<u4").tobytes()
-        return None
-
-    def learn(self, words: set[str]) -> None:
-        """Words by what follows the space before them; one with a line end has that before it instead."""
-        known = self.words
-        if len(known) + len(words) > REMEMBERED:
-            known.clear()
-        odd = []
-        for word in words:
-            if word not in known:
-                spaced = word if word[0] == "\n" else " " + word
-                ids = self._ids(spaced)
-                if ids is None:
-                    odd.append(word)
-                else:
-                    known[word] = ids
-        known.update(zip(odd, self.whole([w if w[0] == "\n" else " " + w for w in odd]), strict=True))
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        split = [self._split(t) for t in texts]
-        rest = iter(self.whole([t for t, words in zip(texts, split, strict=True) if words is None]))
-        later = [words[1:] if words else [] for words in split]
-        self.learn(set().union(*later))
-        known = self.words.__getitem__
-        out = []
-        for words, more in zip(split, later, strict=True):
-            if words is None:
-                out.append(next(rest))
-                continue
-            first = self._ids(words[0])
-            out.append((self.whole(words[:1])[0] if first is None else first) + b"".join(map(known, more)))
-        return out
-
-    @staticmethod
-    def _split(text: str) -> list[str] | None:
-        """The text cut at its spaces and before its line ends, or None if it has other white space than described."""
-        words = text.replace("\n", " \n").split(" ")
-        return words if len(text.split()) == len(words) else None
+    def encode(self, text: str) -> bytes:
+        first, *more = text.replace("\n", " \n").split(" ")
+        if first and len(first.split()) == 1:
+            try:
+                return self.words.ids(first) + b"".join(map(self.words.__getitem__, more))
+            except TypeError:  # a None among them
+                pass
+        return self.words.ids(text)
 
 
 @lru_cache(1)
@@ -126,8 +111,8 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) ->
             for low, high in _slices(batch["text"], 1 << 22):
                 rows = []
                 part = batch.iloc[low:high]
-                for doc_id, text, ids in zip(part["doc_id"], part["text"], encoder.batch(part["text"].tolist()), strict=True):
-                    ids += end
+                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
+                    ids = encoder.encode(text) + end
                     n, salt = len(ids) // 4, zlib.crc32(text.encode("utf-8", "surrogatepass")) & 0xFFFF
                     for start in range(0, n, sequence):
                         piece = ids[4 * start : 4 * (start + sequence)]
