@@ -20,8 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without later copies of line runs; n_chars is counted anew."""
-    done = line_dedup.dedup_lines(docs).drop("n_lines", "n_removed_lines", "n_runs")
-    return done.selectExpr(*["cast(char_length(text) as bigint) as n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
+    return line_dedup.without_copies(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
