@@ -256,7 +256,8 @@ def _cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 CUT = "lead binary, gram long, salt long, text_id long, low long, inner int, windows int, data binary"
-FOUND = "h1 long, h2 long, times int, text_id long, low long, high long"
+FOUND = "bucket long, h1 binary, h2 binary, times binary, texts binary, lows binary, highs binary"
+_EDGE_TYPES = {"h1": np.int64, "h2": np.int64, "times": np.uint8, "texts": np.int64, "lows": np.int64, "highs": np.int64}
 
 
 def equal_windows(blocks: pd.DataFrame) -> tuple[np.ndarray, ...]:
@@ -296,48 +297,106 @@ def equal_windows(blocks: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return block, inside, group, size, h1.view(np.int64), h2.view(np.int64)
 
 
-def _sort_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A bucket's repeats; what may go on in the buckets beside it with hashes, to be compared there."""
-    held: list[pd.DataFrame] = []
-    windows, edge = 0, True
-    for batch in batches:
-        if not len(batch):
-            continue
-        new = batch["gram"].to_numpy()
-        if held and windows > SORTED:
-            # The last gram may go on; all before it are complete.
-            whole = pd.concat(held, ignore_index=True)
-            gram = whole["gram"].to_numpy()
-            cut = len(gram) if new[0] != gram[-1] else int(_runs(gram)[0][-1])
-            if cut:
-                yield from _sorted(whole.iloc[:cut], edge, False)
-                edge = False
-                held = [whole.iloc[cut:]] if cut < len(gram) else []
-                windows = int(sum(h["windows"].sum() for h in held))
-        held.append(batch)
-        windows += int(batch["windows"].sum())
-    if held:
-        yield from _sorted(pd.concat(held, ignore_index=True), edge, True)
+def _pack(found: dict[str, np.ndarray], bucket: np.ndarray) -> pd.DataFrame:
+    """A row for each bucket, with what belongs there as arrays."""
+    order = np.argsort(bucket, kind="stable")
+    first, last = _runs(bucket[order])
+    out = {"bucket": bucket[order][first]}
+    for name, kind in _EDGE_TYPES.items():
+        values = found[name].astype(kind)[order]
+        out[name] = [values[a : b + 1].tobytes() for a, b in zip(first, last, strict=True)]
+    return pd.DataFrame(out)
+
+
+def _sort_bucket(buckets: int):
+    """A range's repeats; and what may go on in the ranges beside it with hashes, to be compared there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        windows, edge = 0, True
+        for batch in batches:
+            if not len(batch):
+                continue
+            new = batch["gram"].to_numpy()
+            if held and windows > SORTED:
+                # The last gram may go on; all before it are complete.
+                whole = pd.concat(held, ignore_index=True)
+                gram = whole["gram"].to_numpy()
+                cut = len(gram) if new[0] != gram[-1] else int(_runs(gram)[0][-1])
+                if cut:
+                    yield _sorted(whole.iloc[:cut], edge, False, buckets)
+                    edge = False
+                    held = [whole.iloc[cut:]] if cut < len(gram) else []
+                    windows = int(sum(h["windows"].sum() for h in held))
+            held.append(batch)
+            windows += int(batch["windows"].sum())
+        if held:
+            yield _sorted(pd.concat(held, ignore_index=True), edge, True, buckets)
+
+    return run
 
 
-def _sorted(blocks: pd.DataFrame, from_edge: bool, to_edge: bool) -> Iterator[pd.DataFrame]:
+def _sorted(blocks: pd.DataFrame, from_edge: bool, to_edge: bool, buckets: int) -> pd.DataFrame:
     blocks = blocks.reset_index(drop=True)
     gram = blocks["gram"].to_numpy()
     block, inside, group, size, h1, h2 = equal_windows(blocks)
     text, low = blocks["text_id"].to_numpy(), blocks["low"].to_numpy()
     twice = np.flatnonzero(size > 1)
     first, last = _runs(block[twice], inside[twice] - np.arange(len(twice)))
-    a, b = twice[first] if len(twice) else first, twice[last] if len(twice) else last
-    ids, starts = text[block[a]], low[block[a]] + inside[a]
-    mark = textscan.mix(ids.astype(np.uint64) + starts.astype(np.uint64)).view(np.int64)
-    yield pd.DataFrame({"h1": mark, "h2": starts, "times": np.full(len(a), 2, np.int32), "text_id": ids, "low": starts, "high": low[block[b]] + inside[b] + LENGTH})
+    a, b = (twice[first], twice[last]) if len(twice) else (first, last)
     at_edge = (from_edge & (gram == gram[0])) | (to_edge & (gram == gram[-1]))
     edge = np.flatnonzero(at_edge[block])
-    if len(edge):
-        _, chosen = np.unique(group[edge], return_index=True)
-        e = edge[chosen]
-        starts = low[block[e]] + inside[e]
-        yield pd.DataFrame({"h1": h1[e], "h2": h2[e], "times": np.minimum(size[e], 2).astype(np.int32), "text_id": text[block[e]], "low": starts, "high": starts + LENGTH})
+    e = edge[np.unique(group[edge], return_index=True)[1]]
+    starts = low[block[e]] + inside[e]
+    zeros = np.zeros(len(a), np.int64)
+    found = {
+        "h1": np.concatenate([zeros, h1[e]]),
+        "h2": np.concatenate([zeros, h2[e]]),
+        # None for what is settled; at an edge one of each kind of window, with how many there are here.
+        "times": np.concatenate([zeros, np.minimum(size[e], 2)]),
+        "texts": np.concatenate([text[block[a]], text[block[e]]]),
+        "lows": np.concatenate([low[block[a]] + inside[a], starts]),
+        "highs": np.concatenate([low[block[b]] + inside[b] + LENGTH, starts + LENGTH]),
+    }
+    # Windows of one gram that start near each other meet in one bucket, so that what repeats there joins again.
+    offset = (blocks["inner"].to_numpy()[block[e]] - inside[e]) >> 4
+    key = np.concatenate([text[block[a]].astype(np.uint64), gram[block[e]].astype(np.uint64) + offset.astype(np.uint64)])
+    return _pack(found, (textscan.mix(key) % np.uint64(buckets)).astype(np.int64))
+
+
+def _merge_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans of texts: what was settled, and windows at edges that another range has as well."""
+
+    def merged(rows: list) -> pd.DataFrame:
+        got = {n: np.concatenate([np.frombuffer(getattr(r, n), t) for r in rows]) for n, t in _EDGE_TYPES.items()}
+        order = np.lexsort((got["h2"], got["h1"]))
+        got = {n: v[order] for n, v in got.items()}
+        first, last = _runs(got["h1"], got["h2"])
+        total = np.add.reduceat(got["times"].astype(np.int64), first)
+        # Of windows with a like beside them the range has told itself.
+        take = (got["times"] == 0) | ((np.repeat(total, last - first + 1) > 1) & (got["times"] == 1))
+        text, low, high = (got[n][take] for n in ("texts", "lows", "highs"))
+        order = np.lexsort((low, text))
+        text, low, high = text[order], low[order], high[order]
+        if len(text):
+            first, last = _runs(text)
+            # Within each text, the end so far: texts are kept apart by an offset larger than any text.
+            lift = np.repeat(np.arange(len(first)), last - first + 1) * (int(high.max()) + 1)
+            ends = np.maximum.accumulate(high + lift)
+            new = np.concatenate([[True], (low + lift)[1:] > ends[:-1]])
+            starts = np.flatnonzero(new)
+            text, low, high = text[starts], low[starts], np.maximum.reduceat(high, starts)
+        return pd.DataFrame({"text_id": text, "low": low, "high": high})
+
+    held: list = []
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if held and row.bucket != held[-1].bucket:
+                yield merged(held)
+                held = []
+            held.append(row)
+    if held:
+        yield merged(held)
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -377,12 +436,10 @@ def _spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = max(tasks(spark), -(-windows // BUCKET))
     cut = texts.join(lists, "text_id").mapInPandas(_cut_out, CUT)
     order = ["lead", "gram", "salt"]
-    sorted_buckets = cut.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(_sort_bucket, FOUND)
-    # Settled rows have hashes of their own; of a window at an edge each bucket has sent one.
-    merged = sorted_buckets.groupBy("h1", "h2").agg(
-        F.sum("times").alias("times"), F.collect_list(F.struct("text_id", "low", "high")).alias("at")
-    )
-    across = merged.filter("times > 1").select(F.explode("at").alias("s")).select("s.*")
+    buckets = 4 * parts
+    ranges = cut.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(_sort_bucket(buckets), FOUND)
+    across = ranges.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    across = across.mapInPandas(_merge_edges, "text_id long, low long, high long")
     return texts, across.unionByName(found.filter("settled").select("text_id", "low", "high"))
 
 
