@@ -17,7 +17,7 @@ from laborlake.plans.load import load
 from laborlake.session import local_session, new_folder
 from laborlake.sources import store as tables
 from laborlake.sources.files import discover, list_files
-from laborlake.sources.headers import read_headers
+from laborlake.sources.headers import with_headers
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
@@ -58,11 +58,11 @@ def main() -> None:
 
     source, store = stores["mixed"]
     links = lambda **options: tables.read(spark, store, target, **options)
-    paths = [r.path for r in discover(spark, source).collect()]
+    files = discover(spark, source).select("path", "size_bytes")
     actions = {
         "load_nothing_new": lambda: load(spark, source, store),
         "discover_files": lambda: discover(spark, source).collect(),
-        "read_headers": lambda: read_headers(spark, paths),
+        "read_headers": lambda: with_headers(files).collect(),
         "sector_summary": lambda: reports.sector_summary(links()).collect(),
         "sector_summary_one_state": lambda: reports.sector_summary(links(), state="13").collect(),
         "count_by_year": lambda: reports.count_by_year(links()).collect(),

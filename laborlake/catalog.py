@@ -19,13 +19,14 @@ from laborlake.operators.canonical import canonicalize, conform, resolve_aliases
 from laborlake.operators.conformance import check_headers, verdict_counts, verdicts
 from laborlake.operators.ledger import Ledger
 from laborlake.plans import reports
-from laborlake.plans.load import load, load_files
+from laborlake.plans.load import LoadResult, load, load_files
 from laborlake.plans.verify import verify
 from laborlake.session import new_folder
 from laborlake.sources import store as tables
-from laborlake.sources.files import classify, discover, filter_files
+from laborlake.sources.delimited import Layout
+from laborlake.sources.files import JOB_LINK_FOLDER, classify, discover, filter_files, hadoop_fs, list_files
 from laborlake.sources.headers import describe_headers, with_headers
-from laborlake.streaming.arrivals import load_arrivals
+from laborlake.streaming.arrivals import follow_rows, load_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,7 +177,9 @@ def header_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = f"""CASE o_orderkey % 4
         WHEN 0 THEN {names('vinculos', False)} WHEN 1 THEN {names('vinculos', True)}
         WHEN 2 THEN {names('estabelecimentos', False)} ELSE {names('estabelecimentos', True)} END"""
-    extra = """CASE WHEN o_orderkey % 3 = 0 THEN array('CNAE 95 Classe', 'Coluna Nova', 'Coluna Nova')
+    many = "transform(sequence(1, 14), i -> concat('Coluna ', i))"
+    extra = f"""CASE WHEN o_orderkey % 3 = 0 THEN array('CNAE 95 Classe', 'Coluna Nova', 'Coluna Nova')
+        WHEN o_orderkey % 7 = 0 THEN {many}
         ELSE CAST(array() AS ARRAY<STRING>) END"""
     return (
         tb.read_table(spark, sf_dir, "orders")
@@ -206,25 +209,35 @@ def header_sniff(spark, sf_dir):
     )
 
 
+REGION = "regexp_extract(filename, 'ID_([A-Z]+)_', 1) AS region"
+
+
+def with_all_listed(spark: SparkSession, found: DataFrame, source: str) -> DataFrame:
+    """Rows of (ano, region, ...) that files agree in, and whether these are all files listed there."""
+    keys = found.columns
+    listed = list_files(spark, source).selectExpr("regexp_extract(path, 'RAIS (\\\\d{4})/', 1) AS y", "regexp_extract(path, '([^/]+)$', 1) AS filename")
+    listed = listed.selectExpr("CAST(y AS INT) AS ano", REGION).groupBy("ano", "region").agg(F.count(F.lit(1)).alias("listed"))
+    counted = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"))
+    return counted.join(listed, ["ano", "region"], "full_outer").selectExpr(*keys, "files <=> listed AS complete")
+
+
 def header_files_on_disk(spark, sf_dir):
-    """Headers read back from the first line of the files of a source tree."""
-    files = discover(spark, tree("mixed")(spark, sf_dir))
-    return (
-        with_headers(spark, files)
-        .selectExpr("ano", "regexp_extract(filename, 'ID_([A-Z]+)_', 1) AS region", "sep", "size(headers) AS n_columns",
-                    "headers[3] AS fourth")
-        .distinct()
+    """Headers read back from the first line of every file of a source tree."""
+    source = tree("mixed")(spark, sf_dir)
+    headers = with_headers(discover(spark, source)).selectExpr(
+        "ano", REGION, "sep", "size(headers) AS n_columns", "headers[3] AS fourth"
     )
+    return with_all_listed(spark, headers, source)
 
 
 def verify_files(spark, sf_dir):
-    """Verdicts on the files of a source tree."""
-    return (
-        verify(spark, tree("mixed")(spark, sf_dir))
-        .selectExpr("dataset", "ano", "regexp_extract(filename, 'ID_([A-Z]+)_', 1) AS region", "verdict", "n_columns",
-                    "array_join(missing_optional, '|') AS missing_optional", "array_join(new_columns, '|') AS new_columns")
-        .distinct()
-    )
+    """Verdicts on every file of a source tree."""
+    source = tree("mixed")(spark, sf_dir)
+    judged = verify(spark, source).selectExpr(
+        "dataset", "ano", REGION, "verdict", "n_columns", "array_join(missing_optional, '|') AS missing_optional",
+        "array_join(new_columns, '|') AS new_columns",
+    )
+    return with_all_listed(spark, judged, source)
 
 
 def alias_resolve(spark, sf_dir):
@@ -248,7 +261,8 @@ def schema_check(spark, sf_dir):
 
 def schema_verdict(spark, sf_dir):
     return verdicts(check_headers(described(spark, sf_dir))).selectExpr(
-        "o_orderkey", "dataset", "verdict", "n_columns", "array_join(new_columns, '|') AS new_columns"
+        "o_orderkey", "dataset", "verdict", "n_columns", "array_join(new_columns, '|') AS new_columns",
+        "array_join(shown_columns, '|') AS shown_columns",
     )
 
 
@@ -328,15 +342,17 @@ def stored_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
 
 
 def manifest_upsert(spark, sf_dir):
-    return ledger.current(ledger_entries(spark, sf_dir)).select("dataset", "ano", "filename", "rows", "size_bytes")
+    newest = ledger.current(ledger_entries(spark, sf_dir))
+    return newest.select("dataset", "ano", "filename", "rows", "size_bytes", F.unix_seconds("processed_at").alias("processed_at"))
 
 
 def manifest_remove(spark, sf_dir):
-    """Newest rows win, removals included; then every file of 1997 is removed through the table."""
+    """Newest rows win, removals included; then every file of 1997 is removed through the table, which is compacted."""
     store = new_folder(spark, "ledger")
     table = Ledger(spark, store)
     table.mark_done(ledger.current(ledger_entries(spark, sf_dir, removals=True)))
     table.remove(table.list_done(year=1997))
+    table.compact()
     return table.current().select("dataset", "ano", "filename", "rows", "size_bytes")
 
 
@@ -376,18 +392,17 @@ ESTABLISHMENT_SHOWN = [
 
 
 def ingest_establishments(spark, sf_dir):
+    """Both layouts, from a real folder."""
     store = new_folder(spark, "store-establishments")
-    load_files(spark, tb.establishment_files(spark, sf_dir, new=True), store)
+    load(spark, tb.establishment_tree(spark, sf_dir), store)
     return shown(tables.read(spark, store, ESTABLISHMENTS), ESTABLISHMENT_SHOWN)
 
 
 def lineage_counts(spark, sf_dir):
-    """Rows per year and region of the file they came from."""
-    store = mixed_store(spark, sf_dir)
-    return (
-        tables.rows_per_file(spark, store, JOB_LINKS)
-        .groupBy("ano", F.regexp_extract("arquivo", "ID_([A-Z]+)_", 1).alias("region"))
-        .agg(F.sum("rows").alias("rows"))
+    """Rows per year and region of the file they came from, and whether all are in files of the codec."""
+    rows = job_links(spark, sf_dir, lineage=True).withColumn("zstd", F.input_file_name().endswith(".zstd.parquet"))
+    return rows.groupBy("ano", F.regexp_extract("arquivo", "ID_([A-Z]+)_", 1).alias("region")).agg(
+        F.count(F.lit(1)).alias("rows"), F.every("zstd").alias("zstd")
     )
 
 
@@ -404,78 +419,121 @@ def distinct_states(spark, sf_dir):
 SHAPE_HEADER = ["PIS", "Município", "Qtd Hora Contr", "Tempo Emprego"]
 
 
-def skip_long_rows(spark, sf_dir):
-    """Rows cut short, rows with a field too many (empty or not) and rows of the right length."""
-    fields = "concat_ws(';', lpad(cast(l_orderkey as string), 11, '0'), '120040', cast(l_linenumber as string), '0005,9')"
-    text = f"""CASE WHEN l_orderkey % 7 = 0 THEN concat({fields}, ';x') WHEN l_orderkey % 11 = 0 THEN concat({fields}, ';')
-        WHEN l_orderkey % 5 = 0 THEN substring_index({fields}, ';', 2) ELSE {fields} END"""
+SHAPE_FIELDS = "concat_ws(';', lpad(cast(l_orderkey as string), 11, '0'), '120040', cast(l_linenumber as string), '0005,9')"
+# None, three, six and all ten of ten rows, by year.
+IS_LONG = "l_orderkey % 10 < element_at(array(0, 3, 6, 10), 1 + year(l_shipdate) % 4)"
+
+
+def load_shapes(spark: SparkSession, sf_dir: str) -> tuple[LoadResult, str]:
+    """Blank lines, rows cut short, rows with a field too many (empty or not) and rows of the right length."""
+    text = f"""CASE WHEN l_orderkey % 17 = 0 THEN ''
+        WHEN {IS_LONG} THEN concat({SHAPE_FIELDS}, IF(l_linenumber % 2 = 0, ';x', ';'))
+        WHEN l_orderkey % 3 = 0 THEN substring_index({SHAPE_FIELDS}, ';', 2) ELSE {SHAPE_FIELDS} END"""
     rows = tb.read_table(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").alias("ano"), F.lit("BR").alias("regiao"), F.expr(text).alias("line")
     )
     staged, store = new_folder(spark, "shapes"), new_folder(spark, "store-shapes")
     tb.write_lines(rows, tb.header_line(SHAPE_HEADER, False), staged)
-    load_files(spark, tb.staged_files(spark, staged, JOB_LINKS), store)
+    return load_files(spark, tb.staged_files(spark, staged, JOB_LINKS), store), store
+
+
+def skip_long_rows(spark, sf_dir):
+    """Every row of a length that fits is kept, however many others its file has."""
+    _, store = load_shapes(spark, sf_dir)
     stored = tables.read(spark, store, JOB_LINKS)
     return stored.select("ano", "uf", "pis", "municipio", "qtd_hora_contr", "tempo_emprego")
 
 
+def dropped_rows(spark, sf_dir):
+    result, _ = load_shapes(spark, sf_dir)
+    return result.dropped.groupBy("ano").agg(F.sum("dropped_rows").alias("dropped_rows"))
+
+
 def outcome(spark: SparkSession, store: str) -> DataFrame:
-    """Rows stored and rows in the ledger, per year."""
+    """Rows stored and rows in the ledger, per year, and how often a file was loaded at most."""
     stored = tables.rows_per_file(spark, store, JOB_LINKS).groupBy("ano").agg(F.sum("rows").alias("stored_rows"))
-    listed = Ledger(spark, store).current().groupBy("ano").agg(F.sum("rows").alias("listed_rows"))
-    return stored.join(listed, "ano", "full_outer")
+    table = Ledger(spark, store)
+    listed = table.current().groupBy("ano").agg(F.sum("rows").alias("listed_rows"))
+    loads = table.entries().where("NOT deleted").groupBy("ano", "filename").agg(F.count(F.lit(1)).alias("n"))
+    loads = loads.groupBy("ano").agg(F.max("n").alias("loads"))
+    return stored.join(listed, "ano", "full_outer").join(loads, "ano", "full_outer")
 
 
 def incremental_run(spark, sf_dir):
-    """Years up to 1997 first, then all, then all again: every file is loaded exactly once."""
+    """Years up to 1997 first, then all, then all again: every file is loaded exactly once, empty ones as well."""
     base, store = new_folder(spark, "source-growing"), new_folder(spark, "store-growing")
     rows = tb.read_table(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
     tb.write_job_links(spark, rows.where(early), base, new=False)
     load(spark, base, store)
     tb.write_job_links(spark, rows.where(~early), base, new=False)
+    tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/SP2003ID.txt", [])
+    tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/AC2003ID.txt", [tb.header_line(SHAPE_HEADER, False)])
     load(spark, base, store)
     load(spark, base, store)
     return outcome(spark, store)
 
 
 def force_run(spark, sf_dir):
-    """Everything loaded, then one region loaded again by force: nothing doubled, every row still listed."""
-    base, store = tree("mixed")(spark, sf_dir), new_folder(spark, "store-forced")
+    """A source file changes and one of its states goes. Loading again does nothing, loading by force replaces it."""
+    base, store = new_folder(spark, "source-changing"), new_folder(spark, "store-forced")
+    rows = tb.read_table(spark, sf_dir, "lineitem")
+    changing = rows.where(F.year("l_shipdate") == 1996).coalesce(1)  # file names that stay the same
+    tb.write_job_links(spark, rows.where(F.year("l_shipdate") != 1996), base, new=False)
+    tb.write_job_links(spark, changing, base, new=False)
+    load(spark, base, store)
+    fs, folder = hadoop_fs(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 1996")
+    fs.delete(folder, True)
+    tb.write_job_links(spark, changing.where("l_suppkey % 8 <> 2 AND l_linenumber <= 3"), base, new=False)
     load(spark, base, store)
     load(spark, base, store, dataset="vinculos", year=1996, force=True)
-    return outcome(spark, store)
+    states = tables.read(spark, store, JOB_LINKS).groupBy("ano").agg(F.count_if(F.col("uf") == "13").alias("of_state_13"))
+    return outcome(spark, store).join(states, "ano")
 
 
 def failure_isolation(spark, sf_dir):
-    """Files of 1998 have rows longer than their header; they fail, the other years load."""
-    fields = "concat_ws(';', lpad(cast(l_orderkey as string), 11, '0'), '120040', cast(l_linenumber as string), '0005,9')"
+    """A file that is not there and one without a header fail, in a year whose other files load."""
     rows = tb.read_table(spark, sf_dir, "lineitem").select(
-        F.year("l_shipdate").alias("ano"),
-        F.lit("BR").alias("regiao"),
-        F.expr(f"IF(year(l_shipdate) = 1998, concat({fields}, ';x'), {fields})").alias("line"),
+        F.year("l_shipdate").alias("ano"), F.lit("BR").alias("regiao"), F.expr(SHAPE_FIELDS).alias("line")
     )
     staged, store = new_folder(spark, "broken"), new_folder(spark, "store-broken")
     tb.write_lines(rows, tb.header_line(SHAPE_HEADER, False), staged)
-    result = load_files(spark, tb.staged_files(spark, staged, JOB_LINKS), store)
-    failed = result.errors.select("ano", F.lit("failed").alias("outcome"), F.lit(0).cast("long").alias("rows"))
+    tb.put_text(spark, f"{staged}/ano=1998/regiao=BR/part-headerless", ["", "1;120040;3;4"])
+    tb.put_text(spark, f"{staged}/ano=1998/regiao=BR/part-gone", ["1;120040;3;4"])
+    files = tb.staged_files(spark, staged, JOB_LINKS)
+    files = spark.createDataFrame(files.collect(), files.schema)
+    fs, gone = hadoop_fs(spark, f"{staged}/ano=1998/regiao=BR/part-gone")
+    fs.delete(gone, False)
+    result = load_files(spark, files, store)
+    failed = result.errors.select("ano", F.col("filename").alias("outcome"), F.lit(0).cast("long").alias("rows"))
     stored = tables.read(spark, store, JOB_LINKS).groupBy("ano").agg(F.count(F.lit(1)).alias("rows"))
-    return (
-        stored.select("ano", F.lit("loaded").alias("outcome"), "rows")
-        .unionByName(failed)
-        .groupBy("ano", "outcome")
-        .agg(F.sum("rows").alias("rows"))
-    )
+    return stored.select("ano", F.lit("loaded").alias("outcome"), "rows").unionByName(failed)
+
+
+def stream_rows(spark, sf_dir):
+    """The rows of one year's files as a stream into a table."""
+    names = tb.header(JOB_LINKS, False)
+    part = tb.read_table(spark, sf_dir, "lineitem").where(F.year("l_shipdate") == 1996)
+    raw = tb.raw_rows(part, JOB_LINKS, False, [F.lit(1996).alias("ano"), tb.region()])
+    staged, out = new_folder(spark, "staged-stream"), new_folder(spark, "streamed")
+    lines = raw.select("ano", "regiao", tb.line([f"_c{i}" for i in range(len(names))], False).alias("line"))
+    tb.write_lines(lines, tb.header_line(names, False), staged)
+    rows = follow_rows(spark, staged, Layout(";", tuple(names)), JOB_LINKS, 1996, pattern="part-*")
+    query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}_checkpoint")
+    query.trigger(availableNow=True).start().awaitTermination()
+    return shown(spark.read.schema(rows.schema).parquet(out), SHOWN)
 
 
 def incremental_stream(spark, sf_dir):
-    """The same as ``incremental_run`` with files picked up by a stream."""
+    """The same with files picked up by a stream; one is older than those seen and has an extension in odd case."""
     base, store = new_folder(spark, "source-stream"), new_folder(spark, "store-stream")
     rows = tb.read_table(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
     tb.write_job_links(spark, rows.where(early), base, new=True)
     load_arrivals(spark, base, store)
     tb.write_job_links(spark, rows.where(~early), base, new=True)
+    lines = [tb.header_line(SHAPE_HEADER, False), "A;120040;1;0005,9", "B;120040;2;0005,9"]
+    tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/AC2003ID.tXt", lines, age_days=400)
     load_arrivals(spark, base, store)
     load_arrivals(spark, base, store)
     return outcome(spark, store)
@@ -515,8 +573,11 @@ def sector_one_year(spark, sf_dir):
 
 
 def compression_ratio(spark, sf_dir):
-    store = mixed_store(spark, sf_dir)
-    return ledger.compression(Ledger(spark, store).current(), tables.stored_files(spark, store))
+    """Ledger rows of the orders against files of given lengths."""
+    files = tb.read_table(spark, sf_dir, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS path", "l_orderkey + l_linenumber AS length"
+    )
+    return ledger.compression(stored_ledger(spark, sf_dir).current(), files)
 
 
 QUERIES: dict[str, Query] = {
@@ -550,10 +611,12 @@ QUERIES: dict[str, Query] = {
     "reconcile_counts": reconcile_counts,
     "distinct_states": distinct_states,
     "skip_long_rows": skip_long_rows,
+    "dropped_rows": dropped_rows,
     "incremental_run": incremental_run,
     "force_run": force_run,
     "failure_isolation": failure_isolation,
     "incremental_stream": incremental_stream,
+    "stream_rows": stream_rows,
     "partition_scan": partition_scan,
     "count_by_year": count_by_year,
     "global_count_avg": global_count_avg,

@@ -124,9 +124,5 @@ def round_cents(x: str) -> str:
     return f"signum({x}) * floor(abs({x}) * 100 + 0.5D) / 100"
 
 
-def file_stem(name: str) -> str:
-    return f"regexp_replace({name}, '(?<=.)[.][^.]*$', '')"
-
-
 def gigabytes(size: str, digits: int) -> str:
     return f"round({size} / 1e9D, {digits})"

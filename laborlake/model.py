@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 SPARK_TYPES = {
@@ -162,17 +161,3 @@ def dataset(name: str) -> Dataset:
         return DATASETS[name]
     except KeyError:
         raise ValueError(f"unknown dataset {name!r}; expected one of {sorted(DATASETS)}") from None
-
-
-def alias_table(spark: SparkSession) -> DataFrame:
-    """Every known header as a row; 123 rows, whatever the size of the data."""
-    rows = [
-        (d.name, position, f.name, f.dtype, f.optional, priority, alias)
-        for d in DATASETS.values()
-        for position, f in enumerate(d.fields)
-        for priority, alias in enumerate(f.aliases)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "dataset string, position int, name string, dtype string, optional boolean, priority int, alias string",
-    )

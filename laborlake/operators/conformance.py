@@ -15,7 +15,8 @@ KNOWN_LEGACY = [
     "Ind Estab Participa PAT", "Ind Atividade Ano",
 ]
 
-REPORTED_UNKNOWN = 10
+#: So many new columns are shown beside the whole list.
+SHOWN = 10
 
 
 def _missing(names: Column, target: Dataset, optional: bool) -> Column:
@@ -62,7 +63,7 @@ def check_headers(files: DataFrame, target: Dataset | None = None) -> DataFrame:
 
 
 def verdicts(checked: DataFrame) -> DataFrame:
-    """Add the verdict on each file and the first new columns worth reporting."""
+    """Add the verdict on each file, the new columns worth reporting, and the first of them for display."""
     verdict = (
         F.when(~F.col("is_ok"), "ERRO").when(F.size("missing_optional") > 0, "AVISO").otherwise("OK")
     )
@@ -70,7 +71,8 @@ def verdicts(checked: DataFrame) -> DataFrame:
     return (
         checked.withColumn("verdict", verdict)
         .withColumn("n_columns", F.size("headers"))
-        .withColumn("new_columns", F.slice(new, 1, REPORTED_UNKNOWN))
+        .withColumn("new_columns", new)
+        .withColumn("shown_columns", F.slice("new_columns", 1, SHOWN))
     )
 
 

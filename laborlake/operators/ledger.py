@@ -158,8 +158,22 @@ class Ledger:
     def _append(self, rows: DataFrame, deleted: bool) -> None:
         self._write(rows.select("*", F.current_timestamp().alias("processed_at"), F.lit(deleted).alias("deleted")))
 
+    def compact(self) -> None:
+        """Put the newest row per file in place of all rows so far.
+
+        The new files are added before the old ones go. In between, and after an interruption, files are listed twice,
+        which changes nothing.
+        """
+        fs, root = hadoop_fs(self.spark, self.path)
+        if not fs.exists(root):
+            return
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
+        old = [status.getPath() for status in fs.globStatus(path_of(root, "*.parquet")) or []]
+        self._write(self.current().withColumn("deleted", F.lit(False)))
+        for path in old:
+            fs.delete(path, False)
+
     def _write(self, entries: DataFrame) -> None:
-        """One small file per call: a row per source file of a batch."""
-        entries.select(*[F.col(f.name).cast(f.dataType) for f in STRUCT]).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        """Few files per call: small parts are joined at run time, many rows stay in many tasks."""
+        rows = entries.select(*[F.col(f.name).cast(f.dataType) for f in STRUCT])
+        rows.hint("rebalance").write.mode("append").parquet(self.path)

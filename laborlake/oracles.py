@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from laborlake.model import DATASETS
-from laborlake.operators.conformance import KNOWN_LEGACY
-from laborlake.plans.reports import OTHER_SECTOR, SECTORS
 
 
 def text(s: str) -> str:
@@ -52,18 +50,19 @@ ruled AS (
 )"""
 
 
-# Mean pay from whole cents: a sum of fractions would depend on the order of the rows in the last digit.
-MEAN_PAY = (
-    "round(CAST(sum(CAST(round(vl_remun_media_nom * 100) AS BIGINT)) AS DOUBLE)"
-    " / (CAST(100 AS DOUBLE) * count(vl_remun_media_nom)), 2)"
-)
+MEAN_PAY = "round(avg(vl_remun_media_nom), 2)"
+
+
+def company(key: str) -> str:
+    return f"""CASE {key} % 4 WHEN 0 THEN 'BAR "DO ZÉ" LTDA ' || {key} WHEN 1 THEN '"' || {key} || '", S/A'
+    WHEN 2 THEN 'EMPRESA ' || {key} || ' \\' ELSE 'EMPRESA ' || {key} || ', LTDA' END"""
 
 
 def links(new: str) -> str:
     """All shown columns; ``new`` is the condition under which a row is in the newer layout."""
     return f"""
 SELECT ano, uf, pis, 'PESSOA JOSÉ ' || CAST(l_orderkey AS VARCHAR) AS nome_trabalhador,
-  CASE WHEN {new} THEN 'EMPRESA ' || CAST(l_suppkey AS VARCHAR) || ', LTDA' END AS razao_social,
+  CASE WHEN {new} THEN {company("l_suppkey")} END AS razao_social,
   municipio, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS data_nascimento, data_admissao,
   CAST(18 + l_orderkey % 50 AS INTEGER) AS idade, qtd_hora_contr, CAST(l_linenumber AS INTEGER) AS qtd_dias_afast,
   CAST(CAST(l_quantity AS DECIMAL(6,1)) AS DOUBLE) AS tempo_emprego, vl_remun_media_nom,
@@ -74,13 +73,27 @@ SELECT ano, uf, pis, 'PESSOA JOSÉ ' || CAST(l_orderkey AS VARCHAR) AS nome_trab
 FROM ruled"""
 
 
-SECTOR = (
-    "CASE "
-    + " ".join(
-        f"WHEN cnae20_subclasse[1:2] BETWEEN '{low}' AND '{high}' THEN '{name}'" for low, high, name in SECTORS
-    )
-    + f" ELSE '{OTHER_SECTOR}' END"
-)
+# The sectors as published, not as the library holds them.
+SECTOR = """CASE
+    WHEN cnae20_subclasse[1:2] BETWEEN '01' AND '03' THEN 'Agropecuaria'
+    WHEN cnae20_subclasse[1:2] BETWEEN '05' AND '09' THEN 'Ind. Extrativa'
+    WHEN cnae20_subclasse[1:2] BETWEEN '10' AND '33' THEN 'Ind. Transformacao'
+    WHEN cnae20_subclasse[1:2] BETWEEN '35' AND '39' THEN 'Energia/Saneamento'
+    WHEN cnae20_subclasse[1:2] BETWEEN '41' AND '43' THEN 'Construcao'
+    WHEN cnae20_subclasse[1:2] BETWEEN '45' AND '47' THEN 'Comercio'
+    WHEN cnae20_subclasse[1:2] BETWEEN '49' AND '53' THEN 'Transporte'
+    WHEN cnae20_subclasse[1:2] BETWEEN '55' AND '56' THEN 'Alojamento/Alimentacao'
+    WHEN cnae20_subclasse[1:2] BETWEEN '58' AND '63' THEN 'Info/Comunicacao'
+    WHEN cnae20_subclasse[1:2] BETWEEN '64' AND '66' THEN 'Financeiro'
+    WHEN cnae20_subclasse[1:2] = '68' THEN 'Imobiliario'
+    WHEN cnae20_subclasse[1:2] BETWEEN '69' AND '75' THEN 'Prof/Tecnico/Cientifico'
+    WHEN cnae20_subclasse[1:2] BETWEEN '77' AND '82' THEN 'Adm. e Servicos'
+    WHEN cnae20_subclasse[1:2] = '84' THEN 'Adm. Publica'
+    WHEN cnae20_subclasse[1:2] = '85' THEN 'Educacao'
+    WHEN cnae20_subclasse[1:2] BETWEEN '86' AND '88' THEN 'Saude'
+    WHEN cnae20_subclasse[1:2] BETWEEN '90' AND '93' THEN 'Arte/Cultura/Esporte'
+    WHEN cnae20_subclasse[1:2] BETWEEN '94' AND '96' THEN 'Outros Servicos'
+    ELSE 'Outros' END"""
 
 
 def sectors(where: str = "true") -> str:
@@ -111,7 +124,9 @@ heads AS (
                WHEN 2 THEN {_columns('estabelecimentos', False)} ELSE {_columns('estabelecimentos', True)} END,
           lambda h, i: i - 1 <> o_orderkey % 70),
         lambda h: CASE WHEN o_orderkey % 5 = 0 THEN ' ' || h || ' ' ELSE h END),
-      CASE WHEN o_orderkey % 3 = 0 THEN ['CNAE 95 Classe', 'Coluna Nova', 'Coluna Nova'] ELSE CAST([] AS VARCHAR[]) END
+      CASE WHEN o_orderkey % 3 = 0 THEN ['CNAE 95 Classe', 'Coluna Nova', 'Coluna Nova']
+        WHEN o_orderkey % 7 = 0 THEN list_transform(generate_series(1, 14), lambda i: 'Coluna ' || i)
+        ELSE CAST([] AS VARCHAR[]) END
     ) AS headers
   FROM orders
 ),
@@ -146,6 +161,11 @@ judged AS (
   FROM checked
 )"""
 
+# Columns that are known to be dropped, as published.
+LEGACY = """['CNAE 95 Classe', 'CBO 94 Ocupação', 'Número CTPS', 'PIS', 'Vl Remun Média (SM)', 'Vl Remun Dezembro Nom',
+  'Vl Remun Dezembro (SM)', 'Ind Vínculo Alvará', 'Tipo Salário', 'Ind CEI Vinculado', 'Ind Estab Participa PAT',
+  'Ind Atividade Ano']"""
+
 _ALIAS_ROWS = ", ".join(
     f"({text(d.name)}, {text(f.name)}, {texts(list(f.aliases))})" for d in DATASETS.values() for f in d.fields
 )
@@ -189,7 +209,7 @@ entries AS (
   FROM orders
 ),
 live AS (
-  SELECT dataset, ano, filename, rows, size_bytes FROM entries
+  SELECT dataset, ano, filename, rows, size_bytes, o_orderkey FROM entries
   QUALIFY row_number() OVER (PARTITION BY dataset, ano, filename ORDER BY o_orderkey DESC) = 1 AND NOT deleted
 )"""
 
@@ -207,9 +227,11 @@ _TOTALS = """count(*) AS files, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(size
   round(CAST(sum(size_bytes) AS DOUBLE) / 1e9, 1) AS source_gb"""
 
 _PER_YEAR = """
-SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS stored_rows, count(*) AS listed_rows
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS stored_rows, count(*) AS listed_rows, CAST(1 AS BIGINT) AS loads
 FROM lineitem GROUP BY ALL"""
 
+_LONG = "l_orderkey % 10 < ([0, 3, 6, 10])[1 + year(l_shipdate) % 4]"
+
 NA = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null", " NA", "NaN ", "nil", "N/a", "-", "0",
@@ -248,13 +270,13 @@ SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_type
         "header_sniff": f"""WITH {HEADERS.strip()}
 SELECT o_orderkey, sep, CAST(len(headers) AS INTEGER) AS n_columns, array_to_string(headers, '|') AS names FROM heads""",
         "header_files_on_disk": """
-SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS ano,
+SELECT DISTINCT true AS complete, CAST(year(l_shipdate) AS INTEGER) AS ano,
   CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region,
   CASE WHEN l_returnflag = 'R' THEN ',' ELSE ';' END AS sep, 52 AS n_columns,
   CASE WHEN l_returnflag = 'R' THEN 'Data Nascimento' ELSE 'Data de Nascimento' END AS fourth
 FROM lineitem""",
         "verify_files": """
-SELECT DISTINCT 'vinculos' AS dataset, CAST(year(l_shipdate) AS INTEGER) AS ano,
+SELECT DISTINCT true AS complete, 'vinculos' AS dataset, CAST(year(l_shipdate) AS INTEGER) AS ano,
   CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region,
   CASE WHEN l_returnflag = 'R' THEN 'OK' ELSE 'AVISO' END AS verdict, 52 AS n_columns,
   CASE WHEN l_returnflag = 'R' THEN '' ELSE 'Razão Social' END AS missing_optional,
@@ -267,13 +289,13 @@ SELECT o_orderkey, array_to_string(missing_required, '|') AS missing_required,
   len(missing_required) = 0 AS is_ok FROM judged""",
         "schema_verdict": f"""WITH {CHECKED.strip()}
 SELECT o_orderkey, dataset, verdict, CAST(len(headers) AS INTEGER) AS n_columns,
-  array_to_string(list_filter(unknown, lambda x: NOT list_contains({texts(KNOWN_LEGACY)}, x))[1:10], '|') AS new_columns
-FROM judged""",
+  array_to_string(new, '|') AS new_columns, array_to_string(new[1:10], '|') AS shown_columns
+FROM (SELECT *, list_filter(unknown, lambda x: NOT list_contains({LEGACY}, x)) AS new FROM judged)""",
         "schema_verdict_counts": f"WITH {CHECKED.strip()}\nSELECT verdict, count(*) AS files FROM judged GROUP BY ALL",
         "discover_files": f"WITH {LISTING.strip()}\nSELECT o_orderkey, dataset, ano, filename, uf_hint, size_bytes FROM found",
         "filter_files": f"""WITH {LISTING.strip()}
 SELECT o_orderkey, ano, filename, uf_hint FROM found WHERE dataset = 'vinculos' AND ano = 1999 AND uf_hint = 'SP'""",
-        "manifest_upsert": f"WITH {entries(False).strip()}\nSELECT dataset, ano, filename, rows, size_bytes FROM live",
+        "manifest_upsert": f"WITH {entries(False).strip()}\nSELECT dataset, ano, filename, rows, size_bytes, CAST(1577836800 + o_orderkey AS BIGINT) AS processed_at FROM live",
         "manifest_remove": f"""WITH {entries(True).strip()}
 SELECT dataset, ano, filename, rows, size_bytes FROM live WHERE ano <> 1997""",
         "pending_files": f"""WITH {entries(True).strip()}, {FILES_OF_CUSTOMERS.strip()}
@@ -286,11 +308,10 @@ SELECT dataset, ano, {_TOTALS} FROM live WHERE dataset = 'vinculos' GROUP BY dat
 SELECT dataset, ano, {_TOTALS} FROM live GROUP BY GROUPING SETS ((dataset, ano), ())""",
         "ingest_historic": with_ruled(links("false")),
         "ingest_2024": with_ruled(links("true")),
-        "ingest_establishments": """
+        "ingest_establishments": f"""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
   CASE WHEN o_orderkey % 9 = 0 THEN '00' ELSE CAST(11 + o_custkey % 17 AS VARCHAR) END AS uf,
-  lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS cnpj_cei,
-  'EMPRESA ' || CAST(o_custkey AS VARCHAR) || ', LTDA' AS razao_social,
+  lpad(CAST(o_orderkey AS VARCHAR), 14, '0') AS cnpj_cei, {company("o_custkey")} AS razao_social,
   CASE WHEN o_orderkey % 9 = 0 THEN '0'
     ELSE lpad(CAST((11 + o_custkey % 17) * 10000 + o_orderkey % 997 AS VARCHAR), 6, '0') END AS municipio,
   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 4000 AS INTEGER) END AS numero_logradouro,
@@ -302,24 +323,39 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
 FROM orders""",
         "lineage_counts": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ano,
-  CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region, count(*) AS rows
+  CASE l_returnflag WHEN 'A' THEN 'NORTE' WHEN 'N' THEN 'SUL' ELSE 'SP' END AS region, count(*) AS rows, true AS zstd
 FROM lineitem GROUP BY ALL""",
         "reconcile_counts": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS source_rows, count(*) AS stored_rows, true AS agree
 FROM lineitem GROUP BY ALL""",
         "distinct_states": with_ruled("SELECT DISTINCT uf FROM ruled"),
-        "skip_long_rows": """
+        "skip_long_rows": f"""
 SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, '12' AS uf, lpad(CAST(l_orderkey AS VARCHAR), 11, '0') AS pis,
-  '120040' AS municipio, CASE WHEN l_orderkey % 5 <> 0 THEN CAST(l_linenumber AS INTEGER) END AS qtd_hora_contr,
-  CASE WHEN l_orderkey % 5 <> 0 THEN CAST(5.9 AS DOUBLE) END AS tempo_emprego
-FROM lineitem WHERE l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0""",
-        "incremental_run": _PER_YEAR,
-        "force_run": _PER_YEAR,
+  '120040' AS municipio, CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_linenumber AS INTEGER) END AS qtd_hora_contr,
+  CASE WHEN l_orderkey % 3 <> 0 THEN CAST(5.9 AS DOUBLE) END AS tempo_emprego
+FROM lineitem WHERE l_orderkey % 17 <> 0 AND NOT {_LONG}""",
+        "dropped_rows": f"""
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS dropped_rows
+FROM lineitem WHERE l_orderkey % 17 <> 0 AND {_LONG} GROUP BY ALL""",
+        "incremental_run": f"{_PER_YEAR} UNION ALL SELECT 2003, NULL, 0, 1",
+        "force_run": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, count(*) AS stored_rows, count(*) AS listed_rows,
+  CAST(CASE WHEN year(l_shipdate) = 1996 THEN 2 ELSE 1 END AS BIGINT) AS loads,
+  count(*) FILTER (l_suppkey % 8 = 2 AND l_orderkey % 11 <> 0 AND l_orderkey % 13 <> 0) AS of_state_13
+FROM lineitem WHERE year(l_shipdate) <> 1996 OR l_suppkey % 8 <> 2 AND l_linenumber <= 3 GROUP BY ALL""",
         "failure_isolation": """
-SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, CASE WHEN year(l_shipdate) = 1998 THEN 'failed' ELSE 'loaded' END AS outcome,
-  CAST(sum(CASE WHEN year(l_shipdate) = 1998 THEN 0 ELSE 1 END) AS BIGINT) AS rows
-FROM lineitem GROUP BY ALL""",
-        "incremental_stream": _PER_YEAR,
+SELECT CAST(year(l_shipdate) AS INTEGER) AS ano, 'loaded' AS outcome, count(*) AS rows FROM lineitem GROUP BY ALL
+UNION ALL SELECT 1998, 'part-headerless', 0 UNION ALL SELECT 1998, 'part-gone', 0""",
+        "incremental_stream": f"{_PER_YEAR} UNION ALL SELECT 2003, 2, 2, 1",
+        "stream_rows": with_ruled(links("false") + " WHERE ano = 1996"),
+        "compression_ratio": f"""WITH {entries(False).strip()},
+sums AS (
+  SELECT (SELECT CAST(sum(size_bytes) AS BIGINT) FROM live) AS source_bytes,
+    (SELECT CAST(sum(l_orderkey + l_linenumber) AS BIGINT) FROM lineitem) AS parquet_bytes)
+SELECT source_bytes, parquet_bytes, round(CAST(source_bytes AS DOUBLE) / 1e9, 1) AS source_gb,
+  round(CAST(parquet_bytes AS DOUBLE) / 1e9, 2) AS parquet_gb,
+  CAST(parquet_bytes AS DOUBLE) / CAST(source_bytes AS DOUBLE) AS ratio,
+  format('{{:.1f}}%', CAST(parquet_bytes AS DOUBLE) / CAST(source_bytes AS DOUBLE) * 100) AS percent FROM sums""",
         "partition_scan": with_ruled(
             "SELECT ano, uf, pis, municipio, vl_remun_media_nom FROM ruled WHERE uf = '13' AND ano IN (1996, 1997)"
         ),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,13 @@ from laborlake.operators.canonical import bind, clean
 from laborlake.operators.conformance import check_headers
 from laborlake.operators.ledger import KEY, Ledger, pending
 from laborlake.sources import store as tables
-from laborlake.sources.delimited import FILE, TOO_LONG, Layout, scan
+from laborlake.sources.delimited import CUT, FILE, TOO_LONG, Layout, scan
 from laborlake.sources.files import discover, filter_files
-from laborlake.sources.headers import read_headers, session_conf
+from laborlake.sources.headers import own_session, with_headers
 
 LOADED = "dataset string, ano int, filename string, rows bigint, size_bytes bigint"
 ERRORS = "dataset string, ano int, filename string, error string"
+DROPPED = "dataset string, ano int, filename string, dropped_rows bigint"
 BATCH_BYTES = 4 * 2**40
 
 # Fifty cleaned columns make one generated method too long for the JVM to compile, and interpreted it runs
@@ -56,6 +58,7 @@ class LoadResult:
     found: int = 0
     rows: dict[Source, int] = field(default_factory=dict)
     failed: dict[Source, str] = field(default_factory=dict)
+    long_rows: dict[Source, int] = field(default_factory=dict)
 
     @property
     def total_rows(self) -> int:
@@ -69,6 +72,11 @@ class LoadResult:
     def errors(self) -> DataFrame:
         return self.spark.createDataFrame([(*s.key, e) for s, e in self.failed.items()], ERRORS)
 
+    @property
+    def dropped(self) -> DataFrame:
+        """Rows with more fields than their header, which are not stored, by file."""
+        return self.spark.createDataFrame([(*s.key, n) for s, n in self.long_rows.items()], DROPPED)
+
 
 @dataclass(frozen=True)
 class Options:
@@ -96,7 +104,7 @@ def load(
     """Load the files below ``source`` that the store's ledger does not list yet.
 
     ``force`` loads listed files again and replaces their rows. ``strict`` refuses files that lack a required
-    column instead of filling it with NULL. ``multiline`` accepts quoted line breaks, at the price of one
+    column instead of filling it with NULL, and files with rows longer than the header instead of dropping these. ``multiline`` accepts quoted line breaks, at the price of one
     task per file. ``shape`` says how rows are brought together before the write: "direct" not at all,
     "spread" by year, state and file, "auto" only for files that hold many states.
     """
@@ -168,7 +176,7 @@ def load_batch(
         many_states = [s for s in layouts if opts.shape == "spread" or (opts.shape == "auto" and not s.uf_hint)]
         one_state = [s for s in layouts if s not in set(many_states)]
         for group, spread in ((one_state, False), (many_states, True)):
-            done.update(write_group(spark, group, layouts, target, store, spread, opts, result.failed))
+            done.update(write_group(spark, group, layouts, target, store, spread, opts, result))
 
     if done:
         result.rows.update(done)
@@ -176,20 +184,10 @@ def load_batch(
         ledger.mark_done(spark.createDataFrame(rows, LOADED))
 
 
-def isolate(sources: list[Source], attempt: Callable[[list[Source]], dict], failed: dict[Source, str]) -> dict:
-    """Results of ``attempt`` over the files. When it fails, each half is tried alone, so that a few bad
-    files among many cost a few more tries, not one per file."""
-    if not sources:
-        return {}
-    try:
-        return attempt(sources)
-    except Exception as error:  # noqa: BLE001 - whatever a file does to its scan must not stop the others
-        if len(sources) == 1:
-            failed[sources[0]] = message(error)
-            return {}
-        middle = len(sources) // 2
-        first = isolate(sources[:middle], attempt, failed)
-        return {**first, **isolate(sources[middle:], attempt, failed)}
+def named_in(error: Exception, sources: list[Source]) -> list[Source]:
+    """The files that an error of the engine names. None for one that has nothing to do with a file."""
+    text = unquote(str(error))
+    return [s for s in sources if s.path.partition(":")[2].lstrip("/") in text or s.path in text]
 
 
 def message(error: Exception) -> str:
@@ -202,11 +200,20 @@ def layouts_of(
 ) -> dict[Source, Layout]:
     """The layout of each file, from its header; files without a usable header fail here."""
 
-    def sniff(some: list[Source]) -> dict[Source, Layout]:
-        lines = {r.path: r for r in read_headers(spark, [s.path for s in some])}
-        return {s: Layout(lines[s.path].sep, tuple(lines[s.path].headers)) for s in some}
-
-    layouts = isolate(sources, sniff, failed)
+    by_path = {s.path: s for s in sources}
+    if not by_path:
+        return {}
+    paths = spark.createDataFrame([(s.path, s.size_bytes) for s in sources], "path string, size_bytes bigint")
+    found = with_headers(paths).select("path", "error", "sep", "headers", F.xxhash64("sep", "headers").alias("layout")).cache()
+    # Layouts are few, however many files share them; of a file only its layout's number comes here.
+    known = {r.layout: Layout(r.sep, tuple(r.headers)) for r in found.select("layout", "sep", "headers").distinct().collect()}
+    layouts: dict[Source, Layout] = {}
+    for r in found.select("path", "error", "layout").collect():
+        if r.error is None:
+            layouts[by_path[r.path]] = known[r.layout]
+        else:
+            failed[by_path[r.path]] = r.error
+    found.unpersist()
     for s in [s for s, layout in layouts.items() if not layout.headers]:
         failed[s] = "no header"
         del layouts[s]
@@ -235,9 +242,9 @@ def scans(
 def text_rows(
     spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, multiline: bool = False
 ) -> DataFrame:
-    """All rows of the files under canonical names, still as text, with file name and over-long mark."""
+    """All rows of the files under canonical names, still as text, with file name and marks."""
     frames = [
-        bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG])
+        bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG, CUT])
         for ano, layout, raw in scans(spark, sources, layouts, multiline)
     ]
     return reduce(DataFrame.unionByName, frames)
@@ -256,61 +263,87 @@ def write_group(
     store: str,
     spread: bool,
     opts: Options,
-    failed: dict[Source, str],
+    result: LoadResult,
+) -> dict[Source, int]:
+    """Write files in one job; returns rows stored per file.
+
+    A file that the engine cannot read is set aside, and the others are tried again. Any other error says nothing about a
+    file and ends the load; what it has left is unlisted, and the next run removes it.
+    """
+    left = sources
+    while left:
+        try:
+            return write_files(spark, left, layouts, target, store, spread, opts, result)
+        except Exception as error:
+            bad = named_in(error, left)
+            if not bad:
+                raise
+            result.failed.update({s: message(error) for s in bad})
+            tables.remove(spark, store, target, [(s.ano, s.filename) for s in bad])
+            left = [s for s in left if s not in set(bad)]
+    return {}
+
+
+def write_files(
+    spark: SparkSession,
+    sources: list[Source],
+    layouts: dict[Source, Layout],
+    target: Dataset,
+    store: str,
+    spread: bool,
+    opts: Options,
+    result: LoadResult,
 ) -> dict[Source, int]:
-    """Write files in one job; returns rows stored per file."""
-
-    def attempt(some: list[Source]) -> dict[Source, int]:
-        # Also when a retry follows a failure after the write.
-        tables.remove(spark, store, target, [(s.ano, s.filename) for s in some])
-        seen = Observation()
-        # The observation also keeps the cleaning above the union, to be compiled once and not per scan.
-        text = text_rows(spark, some, layouts, target, opts.multiline).observe(
-            seen, F.count_if(F.col(TOO_LONG)).alias("too_long")
-        )
-        rows = clean(text.where(~F.col(TOO_LONG)), target, keep=[FILE])
-        with session_conf(spark, WRITE_SETTINGS):
-            tables.write(tables.spread(rows) if spread else rows, store, target)
-        stored = rows_stored(spark, some, target, store)
-        # Nothing stored: the plan may have been emptied, and the count with it.
-        dropped = seen.get["too_long"] if any(stored.values()) else None
-        suspects = [s for s, n in stored.items() if dropped is None or n < dropped]
-        for s, n_long in count_too_long(spark, suspects, layouts, opts).items():
-            if n_long > stored[s]:
-                tables.remove(spark, store, target, [(s.ano, s.filename)])
-                failed[s] = f"layout: {n_long} of {n_long + stored[s]} rows have more fields than the header"
-                del stored[s]
-        return stored
-
-    return isolate(sources, attempt, failed)
+    # Also when a retry follows a failure after the write.
+    tables.remove(spark, store, target, [(s.ano, s.filename) for s in sources])
+    own = own_session(spark, WRITE_SETTINGS)
+    seen = Observation()
+    # The observation also keeps the cleaning above the union, to be compiled once and not per scan.
+    # Names of files with marked rows: as a rule none.
+    odd = F.collect_set(F.when(F.col(TOO_LONG) | F.col(CUT), F.struct(F.col("ano"), F.col(FILE))))
+    text = text_rows(own, sources, layouts, target, opts.multiline).observe(seen, odd.alias("odd"))
+    rows = clean(text.where(~F.col(TOO_LONG)), target, keep=[FILE])
+    tables.write(tables.spread(rows) if spread else rows, store, target)
+    stored = rows_stored(spark, sources, target, store)
+    # Nothing stored: the plan may have been emptied, and what it observes with it.
+    names = {(r[0], r[1]) for r in seen.get["odd"]} if any(stored.values()) else {(s.ano, s.filename) for s in sources}
+    suspects = [s for s in stored if (s.ano, s.filename) in names]
+    for s, (n_long, n_cut) in count_marked(own, suspects, layouts, opts).items():
+        if n_cut and not opts.multiline:
+            why = f"layout: {n_cut} rows end inside quotes; quoted line breaks need multiline=True"
+        elif n_long and opts.strict:
+            why = f"layout: {n_long} rows have more fields than the header"
+        else:
+            if n_long:
+                result.long_rows[s] = n_long
+            continue
+        tables.remove(spark, store, target, [(s.ano, s.filename)])
+        result.failed[s] = why
+        del stored[s]
+    return stored
 
 
 def rows_stored(spark: SparkSession, sources: list[Source], target: Dataset, store: str) -> dict[Source, int]:
-    counts = tables.rows_per_file(spark, store, target, sorted({s.ano for s in sources}))
-    wanted = spark.createDataFrame([(s.ano, s.filename) for s in sources], f"ano int, {FILE} string")
-    found = {(r.ano, r[FILE]): r.rows for r in counts.join(wanted, ["ano", FILE], "left_semi").collect()}
+    counts = tables.rows_of_files(spark, store, target, [(s.ano, s.filename) for s in sources])
+    found = {(r.ano, r[FILE]): r.rows for r in counts.collect()}
     return {s: found.get((s.ano, s.filename), 0) for s in sources}
 
 
-def count_too_long(
+def count_marked(
     spark: SparkSession, suspects: list[Source], layouts: dict[Source, Layout], opts: Options
-) -> dict[Source, int]:
-    """Over-long rows per file, by a second scan.
-
-    Only files that stored fewer rows than the whole group dropped can have dropped more than half of their
-    own; for the others the question is settled without reading them again.
-    """
+) -> dict[Source, tuple[int, int]]:
+    """Over-long and cut rows per file, by a second scan of files that are known to have some."""
     if not suspects:
         return {}
     # A data column takes part because the reader refuses to be asked for broken rows alone.
     marks = [
-        raw.selectExpr(f"{ano} AS ano", FILE, TOO_LONG, "_c0")
+        raw.selectExpr(f"{ano} AS ano", FILE, TOO_LONG, CUT, "_c0")
         for ano, _, raw in scans(spark, suspects, layouts, opts.multiline)
     ]
     counts = (
         reduce(DataFrame.unionByName, marks)
         .groupBy("ano", FILE)
-        .agg(F.count_if(F.col(TOO_LONG)).alias("n"), F.count("_c0").alias("first_fields"))
+        .agg(F.count_if(F.col(TOO_LONG)).alias("n"), F.count_if(F.col(CUT)).alias("cut"), F.count("_c0").alias("first_fields"))
     )
-    found = {(r.ano, r[FILE]): r.n for r in counts.collect()}
-    return {s: found.get((s.ano, s.filename), 0) for s in suspects}
+    found = {(r.ano, r[FILE]): (r.n, r.cut) for r in counts.collect()}
+    return {s: found.get((s.ano, s.filename), (0, 0)) for s in suspects}

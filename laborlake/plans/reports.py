@@ -40,17 +40,6 @@ def sector(activity: Column) -> Column:
     return F.coalesce(*named, F.lit(OTHER_SECTOR))
 
 
-def mean_money(x: str) -> str:
-    """Mean of money amounts that does not depend on the order in which tasks add them up.
-
-    Amounts in whole cents are summed as integers. Should one have finer parts, or the sum not fit, the
-    plain floating-point mean takes over.
-    """
-    cents = f"try_cast(rint({x} * 100) AS BIGINT)"
-    in_cents = f"count_if({cents} / 100 = {x}) = count({x}) AND try_sum({cents}) IS NOT NULL"
-    return f"CASE WHEN {in_cents} THEN try_sum({cents}) / (100D * count({x})) ELSE avg({x}) END"
-
-
 def sector_summary(
     job_links: DataFrame,
     *,
@@ -75,7 +64,7 @@ def sector_summary(
         .agg(
             F.count(F.lit(1)).alias("vinculos"),
             F.sum(active).alias("ativos_31dez"),
-            F.expr(mean_money("try_cast(vl_remun_media_nom AS DOUBLE)")).alias("remun_media"),
+            F.expr("avg(try_cast(vl_remun_media_nom AS DOUBLE))").alias("remun_media"),
         )
         .withColumn("remun_media", F.expr(round_cents("remun_media")))
         .orderBy("ano", F.desc("vinculos"), "setor")
@@ -93,7 +82,7 @@ def count_by_year(table: DataFrame) -> DataFrame:
 
 def count_and_mean_pay(job_links: DataFrame) -> DataFrame:
     return job_links.agg(
-        F.count(F.lit(1)).alias("n"), F.expr(mean_money("vl_remun_media_nom")).alias("remun_media")
+        F.count(F.lit(1)).alias("n"), F.avg("vl_remun_media_nom").alias("remun_media")
     )
 
 

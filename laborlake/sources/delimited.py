@@ -13,6 +13,7 @@ from laborlake.sources.headers import ENCODING, decoded_uri
 
 BROKEN = "_broken"
 TOO_LONG = "_too_long"
+CUT = "_cut"
 FILE = "arquivo"
 
 
@@ -32,6 +33,8 @@ class Layout:
         # With column pruning the reader would no longer notice rows of the wrong length.
         return {
             "sep": self.sep,
+            # Quotes are doubled inside quotes; a backslash is an ordinary character.
+            "escape": '"',
             "header": True,
             "encoding": ENCODING,
             "mode": "PERMISSIVE",
@@ -51,10 +54,19 @@ def too_long(layout: Layout) -> str:
     return f"CASE WHEN {BROKEN} IS NULL THEN false ELSE {separators} >= {len(layout.headers)} END"
 
 
+def cut_in_two() -> str:
+    """Whether a row is half of one that a quoted line break cuts: a quote opens or closes on no other side.
+
+    Of the two halves, the later one has too few fields, or a quote that the reader cannot place, and is reported.
+    """
+    quotes = f"""length({BROKEN}) - length(replace({BROKEN}, '"', ''))"""
+    return f"CASE WHEN {BROKEN} IS NULL THEN false ELSE ({quotes}) % 2 = 1 END"
+
+
 def scan(
     spark: SparkSession, paths: list[str], layout: Layout, *, multiline: bool = False, plain_names: bool = False
 ) -> DataFrame:
-    """All rows of the files as text by position, with the file name and a mark on over-long rows.
+    """All rows of the files as text by position, with the file name and marks on over-long and cut rows.
 
     ``plain_names`` promises that no file name needs percent-encoding, which saves decoding it per row.
     """
@@ -69,9 +81,10 @@ def marked(df: DataFrame, layout: Layout, plain_names: bool) -> DataFrame:
         *[f"_c{i}" for i in range(len(layout.headers))],
         f"{name if plain_names else decoded_uri(name)} AS {FILE}",
         f"{too_long(layout)} AS {TOO_LONG}",
+        f"{cut_in_two()} AS {CUT}",
     )
 
 
 def rows_of(df: DataFrame) -> DataFrame:
     """The rows to keep of a scan."""
-    return df.where(~F.col(TOO_LONG)).drop(TOO_LONG)
+    return df.where(~F.col(TOO_LONG)).drop(TOO_LONG, CUT)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborlake.functions.headers import delimiter, header_names
-from laborlake.sources.files import escape_glob
 
 ENCODING = "ISO-8859-1"
-WHOLE_FILE = str(2**40)
+#: Bytes read at a time until the first line ends.
+PIECE = 1 << 15
+FILES_PER_TASK = 64
 
 
 def decoded_uri(c: str) -> str:
@@ -19,19 +18,12 @@ def decoded_uri(c: str) -> str:
     return f"url_decode(replace({c}, '+', '%2B'))"
 
 
-@contextmanager
-def session_conf(spark: SparkSession, settings: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in settings}
+def own_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like this one but for some settings, so that other queries of this one are not planned under them."""
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
     for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        own.conf.set(key, value)
+    return own
 
 
 def describe_headers(lines: DataFrame) -> DataFrame:
@@ -40,38 +32,50 @@ def describe_headers(lines: DataFrame) -> DataFrame:
     return lines.withColumn("sep", delimiter(text)).withColumn("headers", header_names(text))
 
 
-def read_headers(spark: SparkSession, paths: list[str]) -> list[Row]:
-    """(path, line, sep, headers) of each non-empty file.
+def read_headers(files: DataFrame) -> DataFrame:
+    """``files`` (path, size_bytes, ...) with ``line`` and ``error``: the first line of each, or why it can't be read.
 
-    One task per file, which stops after its first batch of lines, so a run reads a few kilobytes of each
-    file however large it is. The split settings are read when the scan is planned, hence the action here.
+    A task opens one file after the other and reads each until its first line ends, so what is read does not depend on
+    how large a file is. One that can't be read does not stop the others. An empty file has no line.
     """
-    if not paths:
-        return []
 
     # Local, so that it travels by value: executors need not have this package.
-    def first_row(batches):
+    def first_lines(batches, piece=PIECE):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def first_line(path: str) -> bytes:
+            if path.startswith(("/", "file:")):
+                place = path.removeprefix("file:")
+                files, name = fs.LocalFileSystem(), "/" + place.lstrip("/")
+            else:
+                scheme, _, rest = path.partition("://")
+                host, _, name = rest.partition("/")
+                files, root = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+                name = f"{root.rstrip('/')}/{name}"
+            line = b""
+            with files.open_input_stream(name, compression=None, buffer_size=0) as source:
+                while (more := source.read(piece)) and b"\n" not in line:
+                    line += more
+            return line.partition(b"\n")[0]
+
         for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    one_file_per_task = {
-        "spark.sql.files.maxPartitionBytes": WHOLE_FILE,
-        "spark.sql.files.openCostInBytes": WHOLE_FILE,
-    }
-    with session_conf(spark, one_file_per_task):
-        lines = spark.read.text([escape_glob(p) for p in paths]).select(
-            F.col("_metadata.file_path").alias("uri"), F.col("value").cast("binary").alias("raw")
-        )
-        first = lines.mapInArrow(first_row, "uri string, raw binary").select(
-            F.expr(decoded_uri("uri")).alias("path"), F.decode("raw", ENCODING).alias("line")
-        )
-        return describe_headers(first).collect()
-
-
-def with_headers(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Files plus ``line``, ``sep`` and ``headers``; an empty file has no header names."""
-    paths = [r.path for r in files.where("size_bytes > 0").select("path").collect()]
-    found = spark.createDataFrame([(r.path, r.line) for r in read_headers(spark, paths)], "path string, line string")
-    return describe_headers(files.join(found, "path", "left"))
+            lines, errors = [], []
+            for path in batch.column("path").to_pylist():
+                try:
+                    lines.append(first_line(path))
+                    errors.append(None)
+                except Exception as error:  # noqa: BLE001 - told in the row
+                    lines.append(None)
+                    errors.append(f"{type(error).__name__}: {error}")
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lines, pa.binary()), pa.array(errors, pa.string())], ["path", "raw", "error"])
+
+    some = files.where("size_bytes > 0").select("path")
+    spread = some.repartition(max(1, -(-some.count() // FILES_PER_TASK)))
+    found = spread.mapInArrow(first_lines, "path string, raw binary, error string")
+    return files.join(found.select("path", F.decode("raw", ENCODING).alias("line"), "error"), "path", "left")
+
+
+def with_headers(files: DataFrame) -> DataFrame:
+    """Files plus ``line``, ``error``, ``sep`` and ``headers``; an empty or unreadable file has no header names."""
+    return describe_headers(read_headers(files))

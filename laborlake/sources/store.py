@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from laborlake.model import Dataset
 from laborlake.sources.delimited import FILE
-from laborlake.sources.files import hadoop_fs
+from laborlake.sources.files import escape_glob, hadoop_fs
 
 PARTITIONS = ["ano", "uf", FILE]
 
@@ -38,34 +37,39 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def write(df: DataFrame, store: str, target: Dataset) -> None:
-    """Append canonical rows. Whoever replaces a file's rows removes its old partitions first."""
+    """Write canonical rows in place of what the same partitions hold.
+
+    Two loads of one file at a time leave the rows of the later writer, not both. States that a file no longer has
+    are not touched; whoever replaces a file removes its old partitions first.
+    """
     (
         df.select(*target.columns, FILE)
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
         .option("compression", "zstd")
         .parquet(table_path(store, target))
     )
 
 
-def _folder_value(name: str) -> str:
-    """Value of a ``key=value`` folder name."""
-    return unquote(name.split("=", 1)[1])
+def folders(spark: SparkSession, store: str, target: Dataset, files: Iterable[tuple[int, str]]) -> list:
+    """The partitions written from the given (year, file name) pairs. Looks for these alone, whatever else is stored."""
+    fs, root = hadoop_fs(spark, table_path(store, target))
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+
+    def found(key: tuple[int, str]) -> list:
+        ano, name = key
+        return fs.globStatus(path_of(root, f"ano={int(ano)}/uf=*/{FILE}={escape_glob(escape(name))}")) or []
+
+    with ThreadPoolExecutor(16) as pool:
+        return [status.getPath() for some in pool.map(found, sorted(set(files))) for status in some]
 
 
 def remove(spark: SparkSession, store: str, target: Dataset, files: Iterable[tuple[int, str]]) -> int:
     """Delete every partition written from the given (year, file name) pairs; returns how many there were."""
-    by_year: dict[int, set[str]] = {}
-    for ano, name in files:
-        by_year.setdefault(ano, set()).add(name)
-    fs, root = hadoop_fs(spark, table_path(store, target))
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    old = [
-        status.getPath()
-        for ano, names in by_year.items()
-        for status in fs.globStatus(path_of(root, f"ano={ano}/uf=*/{FILE}=*")) or []
-        if _folder_value(status.getPath().getName()) in names
-    ]
+    fs, _ = hadoop_fs(spark, table_path(store, target))
+    old = folders(spark, store, target, files)
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(lambda path: fs.delete(path, True), old))
     return len(old)
@@ -112,6 +116,16 @@ def rows_per_file(spark: SparkSession, store: str, target: Dataset, years: Itera
     )
 
 
+def rows_of_files(spark: SparkSession, store: str, target: Dataset, files: Iterable[tuple[int, str]]) -> DataFrame:
+    """The same of some files, whose folders alone are listed and read."""
+    paths = [path.toString() for path in folders(spark, store, target, files)]
+    if not paths:
+        return spark.createDataFrame([], f"ano int, {FILE} string, rows bigint")
+    base, reader = table_path(store, target), spark.read.schema(stored_struct(target))
+    some = reader.option("basePath", base).parquet(*[escape_glob(p) for p in paths])
+    return some.groupBy("ano", FILE).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def stored_files(spark: SparkSession, store: str) -> DataFrame:
     """(path, length) of every Parquet file of the tables; lists, reads no content."""
     return (

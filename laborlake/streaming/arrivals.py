@@ -16,7 +16,10 @@ from laborlake.plans.load import LoadResult, load_files
 from laborlake.sources.delimited import FILE, Layout, marked, rows_of
 from laborlake.sources.files import classify, escape_glob, hadoop_fs, list_files, qualify
 
-ANY_SOURCE = "*.{txt,TXT,Txt,comt,COMT,Comt}"
+#: Source files by extension, in any case.
+ANY_SOURCE = "*.{[tT][xX][tT],[cC][oO][mM][tT]}"
+#: No file is too old to be picked up: copies of archives keep the dates of the originals.
+NEVER = "1000000d"
 
 
 def arrivals_path(store: str) -> str:
@@ -33,6 +36,7 @@ def follow(spark: SparkSession, source: str, store: str, **trigger) -> Streaming
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", ANY_SOURCE)
+        .option("maxFileAge", NEVER)
         .load(escape_glob(source))
         .selectExpr("path", "length AS size_bytes")
     )
@@ -76,6 +80,7 @@ def follow_rows(
         spark.readStream.schema(layout.struct)
         .options(**layout.options())
         .option("pathGlobFilter", pattern)
+        .option("maxFileAge", NEVER)
         .option("recursiveFileLookup", True)
         .csv(escape_glob(folder))
     )

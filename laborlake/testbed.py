@@ -7,6 +7,7 @@ so that the expected result can be stated in plain SQL over the same tables.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,13 +15,18 @@ from pyspark.sql import functions as F
 
 from laborlake.model import DATASETS, Dataset
 from laborlake.session import new_folder
-from laborlake.sources.files import JOB_LINK_FOLDER, RAW_LISTING, hadoop_fs
+from laborlake.sources.files import ESTABLISHMENT_FOLDER, JOB_LINK_FOLDER, RAW_LISTING, hadoop_fs
 from laborlake.sources.headers import ENCODING
 
 # Source columns that stand for nothing canonical.
 HISTORIC_EXTRAS = ["CNAE 95 Classe", "Vl Remun Dezembro Nom", "Número CTPS"]
 NEW_EXTRAS = ["Município Trab - Código", "Ano Chegada Brasil"]
 
+# Company names with what a reader of delimited text may stumble over: quotes, a separator inside them, a last backslash.
+COMPANY = r"""CASE {key} % 4 WHEN 0 THEN concat('BAR "DO ZÉ" LTDA ', cast({key} as string))
+    WHEN 1 THEN concat('"', cast({key} as string), '", S/A') WHEN 2 THEN concat('EMPRESA ', cast({key} as string), ' \\')
+    ELSE concat('EMPRESA ', cast({key} as string), ', LTDA') END"""
+
 MUNICIPALITY = "lpad(cast((11 + l_suppkey % 8) * 10000 + l_linenumber * 37 as string), 6, '0')"
 
 
@@ -44,7 +50,7 @@ def job_link_text(new: bool) -> dict[str, str]:
         "cnpj_cei": "lpad(cast(l_suppkey as string), 14, '0')",
         "cnpj_raiz": "lpad(cast(l_suppkey as string), 8, '0')",
         "cei_vinculado": "'000000000000'",
-        "razao_social": "concat('EMPRESA ', cast(l_suppkey as string), ', LTDA')",
+        "razao_social": COMPANY.format(key="l_suppkey"),
         "idade": "lpad(cast(18 + l_orderkey % 50 as string), 3, '0')",
         "vinculo_ativo_3112": "case when l_returnflag = 'N' then ' 1' else ' 0' end",
         "data_admissao": """case
@@ -77,7 +83,7 @@ def establishment_text(new: bool) -> dict[str, str]:
         "cnpj_cei": "lpad(cast(o_orderkey as string), 14, '0')",
         "cnpj_raiz": "lpad(cast(o_custkey as string), 8, '0')",
         "cei_vinculado": "'000000000000'",
-        "razao_social": "concat('EMPRESA ', cast(o_custkey as string), ', LTDA')",
+        "razao_social": COMPANY.format(key="o_custkey"),
         "municipio": """case when o_orderkey % 9 = 0 then '0'
             else lpad(cast((11 + o_custkey % 17) * 10000 + o_orderkey % 997 as string), 6, '0') end""",
         "numero_logradouro": """case when o_orderkey % 7 = 0 then '9.5e108' when o_orderkey % 5 = 0 then '3.92'
@@ -117,10 +123,13 @@ def raw_rows(df: DataFrame, target: Dataset, new: bool, keep: list[Column]) -> D
 
 
 def line(columns: list[str], new: bool) -> Column:
-    """One line of a file. Only the newer layout quotes its fields."""
+    """One line of a file. The newer layout quotes all fields, the historic one those with a quote or separator in them."""
+    doubled = [F.replace(F.col(c), F.lit('"'), F.lit('""')) for c in columns]
     if new:
-        return F.concat(F.lit('"'), F.concat_ws('","', *columns), F.lit('"'))
-    return F.concat_ws(";", *columns)
+        return F.concat(F.lit('"'), F.concat_ws('","', *doubled), F.lit('"'))
+    odd = [F.col(c).rlike('[";]') for c in columns]
+    quoted = [F.concat(F.lit('"'), d, F.lit('"')) for d in doubled]
+    return F.concat_ws(";", *[F.when(o, q).otherwise(F.col(c)) for o, q, c in zip(odd, quoted, columns, strict=True)])
 
 
 def header_line(names: list[str], new: bool) -> str:
@@ -188,20 +197,43 @@ def job_link_tree(spark: SparkSession, sf_dir: str, layouts: str) -> str:
     return base
 
 
-def establishment_files(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
-    """Establishment files holding every ``orders`` row once, as a frame to load.
+def put_text(spark: SparkSession, path: str, lines: list[str], age_days: int = 0) -> None:
+    """One small file of the given lines, dated back."""
+    fs, place = hadoop_fs(spark, path)
+    out = fs.create(place, True)
+    out.write(bytearray("".join(f"{x}\n" for x in lines).encode(ENCODING)))
+    out.close()
+    if age_days:
+        then = int((time.time() - 86400 * age_days) * 1000)
+        fs.setTimes(place, then, then)
+
+
+FIRST_NEW_YEAR = 1996
+
+
+def establishment_tree(spark: SparkSession, sf_dir: str) -> str:
+    """A source tree holding every ``orders`` row once, one file a year, the newer layout from FIRST_NEW_YEAR on.
 
-    The published name allows one file a year, which would take one task a year to write, so these keep the
-    names Spark gave them.
+    The published name allows one file a year, so each is written by one task.
     """
-    target = DATASETS["estabelecimentos"]
-    names = header(target, new)
+    target, base = DATASETS["estabelecimentos"], new_folder(spark, "source-establishments")
     rows = read_table(spark, sf_dir, "orders")
-    raw = raw_rows(rows, target, new, [F.year("o_orderdate").alias("ano"), F.lit("BR").alias("regiao")])
-    lines = raw.select("ano", "regiao", line([f"_c{i}" for i in range(len(names))], new).alias("line"))
-    staged = new_folder(spark, "establishments")
-    write_lines(lines, header_line(names, new), staged)
-    return staged_files(spark, staged, target)
+    is_new = F.year("o_orderdate") >= FIRST_NEW_YEAR
+    fs, root = hadoop_fs(spark, base)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path_of(f"{base}/{ESTABLISHMENT_FOLDER}"))
+    for new, part in ((False, rows.where(~is_new)), (True, rows.where(is_new))):
+        names = header(target, new)
+        raw = raw_rows(part, target, new, [F.year("o_orderdate").alias("ano"), F.lit("BR").alias("regiao")])
+        lines = raw.select("ano", "regiao", line([f"_c{i}" for i in range(len(names))], new).alias("line"))
+        staged = new_folder(spark, "establishments")
+        write_lines(lines.repartition("ano"), header_line(names, new), staged)
+        for status in fs.globStatus(path_of(f"{staged}/ano=*/regiao=*/part-*")) or []:
+            path = status.getPath()
+            year = path.getParent().getParent().getName().split("=")[1]
+            name = f"Estb{year}ID.txt" if new else f"estb{year}id.TXT"
+            fs.rename(path, path_of(f"{base}/{ESTABLISHMENT_FOLDER}/{name}"))
+    return base
 
 
 def staged_files(spark: SparkSession, staged: str, target: Dataset) -> DataFrame:

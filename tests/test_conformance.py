@@ -3,7 +3,7 @@ from conftest import HISTORIC, job_link_file, put, quote
 from laborlake.model import DATASETS
 from laborlake.operators.canonical import resolve_aliases
 from laborlake.operators.conformance import check_headers, verdict_counts, verdicts
-from laborlake.plans.verify import summary, verify
+from laborlake.plans.verify import verify
 
 LINKS = DATASETS["vinculos"]
 FULL_2014 = [f.aliases[0] for f in LINKS.fields if not f.optional] + ["CNAE 95 Classe", "Número CTPS"]
@@ -38,7 +38,7 @@ def test_verdicts(spark):
     rows = judged.orderBy("id").collect()
     assert [r.verdict for r in rows] == ["AVISO", "OK", "OK", "ERRO", "ERRO"]
     assert rows[0].new_columns == [] and rows[1].new_columns == ["Vl Rem Janeiro CC"]
-    assert rows[2].new_columns == odd[:10] and rows[2].n_columns == 62
+    assert rows[2].new_columns == odd and rows[2].shown_columns == odd[:10] and rows[2].n_columns == 62
     assert {r.verdict: r.files for r in verdict_counts(judged).collect()} == {"AVISO": 1, "OK": 2, "ERRO": 2}
 
 
@@ -62,5 +62,5 @@ def test_files_on_disk(spark, tmp_path):
     assert [(r.filename, r.verdict, r.n_columns) for r in report.collect()] == [
         ("AC2014ID.txt", "AVISO", 51), ("SP2014ID.txt", "ERRO", 0), ("RAIS_VINC_ID_SUL.txt", "OK", 50),
     ]
-    assert summary(report).count() == 3
+    assert verdict_counts(report).count() == 3
     assert verify(spark, str(tmp_path), year=2014, state="ac").count() == 1

@@ -4,7 +4,7 @@ import pytest
 from conftest import HISTORIC, NEW, job_link_file, put, quote
 
 from laborlake.sources.files import discover, filter_files
-from laborlake.sources.headers import describe_headers, read_headers, with_headers
+from laborlake.sources.headers import describe_headers, with_headers
 
 
 @pytest.fixture()
@@ -66,14 +66,48 @@ def test_filters(spark, tree):
 def test_first_lines(spark, tmp_path):
     old = put(job_link_file(tmp_path, 2014, "AC2014ID.txt"), [";".join(HISTORIC), *["1;2"] * 50_000])
     new = put(job_link_file(tmp_path, 2024, "RAIS_VINC_ID_SUL [1] + %.txt"), [quote(NEW), "x"])
-    rows = {r.path: r for r in read_headers(spark, [f"file:{old}", f"file:{new}"])}
+    gone = f"file:{tmp_path}/gone.txt"
+    paths = spark.createDataFrame([(f"file:{old}", 9), (f"file:{new}", 9), (gone, 9)], "path string, size_bytes bigint")
+    rows = {r.path: r for r in with_headers(paths).collect()}
     assert rows[f"file:{old}"].sep == ";" and rows[f"file:{old}"].headers == HISTORIC
     assert rows[f"file:{new}"].sep == "," and rows[f"file:{new}"].headers == NEW
+    assert rows[gone].headers == [] and "FileNotFound" in rows[gone].error and rows[f"file:{old}"].error is None
+
+
+def bytes_read(spark) -> dict[int, int]:
+    """What each Python worker has read so far."""
+
+    def look(batches):
+        import os
+
+        import pandas as pd
+
+        for _ in batches:
+            pass
+        with open("/proc/self/io") as f:
+            yield pd.DataFrame({"pid": [os.getpid()], "n": [int(f.readline().split()[1])]})
+
+    found = spark.range(0, 64, 1, 64).mapInPandas(look, "pid long, n long").collect()
+    return {r.pid: max(x.n for x in found if x.pid == r.pid) for r in found}
+
+
+def test_first_lines_of_large_files_read_little(spark, tmp_path):
+    names = [tmp_path / f"{i}.txt" for i in range(3)]
+    for name in names:
+        put(name, ["a;b"])
+        with open(name, "ab") as f:
+            f.truncate(200 << 20)
+    paths = spark.createDataFrame([(f"file:{n}", 200 << 20) for n in names], "path string, size_bytes bigint")
+    with_headers(paths).collect()  # imports
+    before = bytes_read(spark)
+    assert [r.headers for r in with_headers(paths).collect()] == [["a", "b"]] * 3
+    after = bytes_read(spark)
+    assert sum(n - before.get(pid, n) for pid, n in after.items()) < 3 << 20
 
 
 def test_empty_files_have_no_headers(spark, tmp_path):
     put(job_link_file(tmp_path, 2014, "AC2014ID.txt"), [])
-    assert with_headers(spark, discover(spark, str(tmp_path))).first().headers == []
+    assert with_headers(discover(spark, str(tmp_path))).first().headers == []
 
 
 def test_header_tokens(spark):

@@ -105,3 +105,16 @@ def test_a_json_ledger_can_be_adopted(spark, table, tmp_path):
     row = table.entry("vinculos", 2014, "AC2014ID.txt").first()
     assert row[:5] == AC14 and str(row.processed_at)[-15:] == "03:04:05.678901"
     assert table.count() == 2
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp_path):
+    table = Ledger(spark, str(tmp_path))
+    table.compact()
+    files = lambda n: spark.createDataFrame([("vinculos", 2014, f"F{i}.txt", 10 * n, 5) for i in range(4)], "dataset string, ano int, filename string, rows bigint, size_bytes bigint")
+    for n in (1, 2, 3):
+        table.mark_done(files(n))
+    table.remove(files(1).limit(1))
+    before = table.current().orderBy("filename").collect()
+    table.compact()
+    assert table.current().orderBy("filename").collect() == before and table.entries().count() == 3
+    assert {r.rows for r in before} == {30}

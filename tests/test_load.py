@@ -159,17 +159,97 @@ def test_odd_file_names(spark, base, store):
     assert [r.arquivo for r in stored(spark, store, lineage=True).collect()] == [name]
 
 
-def test_mostly_long_rows_fail_the_file_only(spark, base, store):
+def test_good_rows_stay_beside_long_ones(spark, base, store):
     small(base, 2014, "AC2014ID.txt", ["120040;A;1;x", "120040;B;2;x", "120040;C;3"])
     small(base, 2014, "SP2014ID.txt", ["350000;D;1;x", "350000;E;2", "350000;F;3"])
     small(base, 2014, "RJ2014ID.txt", ["330000;G;1;", "330000;H;2;"])
     small(base, 2014, "RS2014ID.txt", ["430000;I;1"])
     result = load(spark, str(base), store)
-    assert {s.filename for s in result.failed} == {"AC2014ID.txt", "RJ2014ID.txt"}
-    assert all(e.startswith("layout:") for e in result.failed.values())
-    assert pairs(spark, store) == [("E", 2), ("F", 3), ("I", 1)]
-    assert result.errors.count() == 2 and result.loaded.count() == 2
-    assert load(spark, str(base), store).found == 2
+    assert result.failed == {} and pairs(spark, store) == [("C", 3), ("E", 2), ("F", 3), ("I", 1)]
+    assert {r.filename: r.dropped_rows for r in result.dropped.collect()} == {"AC2014ID.txt": 2, "SP2014ID.txt": 1, "RJ2014ID.txt": 2}
+    assert load(spark, str(base), store).found == 0
+
+
+def test_strict_refuses_long_rows(spark, base, store):
+    header = [a.aliases[0] for a in LINKS.fields]
+    row = ";".join(["120040"] * len(header))
+    put(job_link_file(base, 2014, "AC2014ID.txt"), [";".join(header), row, row + ";x"])
+    put(job_link_file(base, 2014, "SP2014ID.txt"), [";".join(header), row])
+    result = load(spark, str(base), store, strict=True)
+    assert [s.filename for s in result.failed] == ["AC2014ID.txt"]
+    assert "more fields" in result.errors.first().error and stored(spark, store).count() == 1
+
+
+def test_quotes_are_read_as_pandas_reads_them(spark, base, store):
+    import pandas as pd
+
+    header = '"PIS","Razão Social","Município - Código","Qtd Hora Contr"'
+    rows = [r'"1","BAR ""DO ZE"" LTDA","120040","40"', r'"2","BACK \","120040","41"', r'"3","x ""q"", y","120040","42"',
+            r'"4","""all""","120040","43"', r'"5","a\"", b","120040","44"', r'"6","","120040","45"', r'7,plain \ text,120040,46']
+    path = put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), [header, *rows])
+    assert load(spark, str(base), store).failed == {}
+    want = pd.read_csv(path, encoding="latin-1", dtype=str)
+    got = {r.pis: (r.razao_social, r.municipio, r.qtd_hora_contr) for r in stored(spark, store).collect()}
+    assert got == {
+        p: (None if pd.isna(n) else n, m, int(h)) for p, n, m, h in want.itertuples(index=False)
+    }
+
+
+def test_quoted_line_breaks_fail_their_file(spark, base, store):
+    head = '"PIS","Nome Trabalhador"'
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), [head, '"A","X', 'Y"', '"B","Z"'])
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_SP.txt"), [head, '"C","W"'])
+    result = load(spark, str(base), store)
+    assert [(s.filename, "multiline=True" in e) for s, e in result.failed.items()] == [("RAIS_VINC_ID_SUL.txt", True)]
+    assert [r.pis for r in stored(spark, store).collect()] == ["C"]
+    assert load(spark, str(base), store, multiline=True).total_rows == 2
+
+
+def test_two_loads_at_a_time_double_nothing(spark, base, store, monkeypatch):
+    small(base, 2014, "AC2014ID.txt", [f"120040;P{i};{i}" for i in range(5)])
+    write, inside = tables.write, []
+
+    def other_load_first(df, store_path, target):
+        if not inside:
+            inside.append(None)
+            inside[0] = load(spark, str(base), store)
+        write(df, store_path, target)
+
+    monkeypatch.setattr(tables, "write", other_load_first)
+    load(spark, str(base), store)
+    assert inside[0].total_rows == 5 and stored(spark, store).count() == 5
+
+
+def test_a_failure_after_the_write_leaves_no_rows(spark, base, store, monkeypatch):
+    bad = small(base, 2014, "AC2014ID.txt", ["120040;A;1"])
+    small(base, 2014, "SP2014ID.txt", ["350000;B;2"])
+    write, calls = tables.write, []
+
+    def fails_once(df, store_path, target):
+        write(df, store_path, target)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError(f"Encountered error while reading file file://{bad}")
+
+    monkeypatch.setattr(tables, "write", fails_once)
+    result = load(spark, str(base), store)
+    assert [s.filename for s in result.failed] == ["AC2014ID.txt"] and len(calls) == 2
+    assert pairs(spark, store) == [("B", 2)]
+
+
+def test_what_is_no_file_s_fault_ends_the_load(spark, base, store, monkeypatch):
+    for i in range(6):
+        small(base, 2014, f"RAIS_VINC_ID_{i}.txt", ["120040;A;1"])
+    calls = []
+
+    def full(*_):
+        calls.append(1)
+        raise OSError("No space left on device")
+
+    monkeypatch.setattr(tables, "write", full)
+    with pytest.raises(OSError, match="space"):
+        load(spark, str(base), store)
+    assert len(calls) == 1 and Ledger(spark, store).count() == 0
 
 
 def damage(path):

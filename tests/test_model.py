@@ -1,6 +1,6 @@
 import pytest
 
-from laborlake.model import DATASETS, alias_table, dataset
+from laborlake.model import DATASETS, dataset
 
 LINKS, ESTABS = DATASETS["vinculos"], DATASETS["estabelecimentos"]
 
@@ -53,7 +53,3 @@ def test_first_known_header_then_first_occurrence_wins():
 def test_unknown_dataset():
     with pytest.raises(ValueError, match="unknown dataset"):
         dataset("outros")
-
-
-def test_alias_table(spark):
-    assert alias_table(spark).count() == 123

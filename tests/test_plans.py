@@ -9,7 +9,7 @@ from laborlake.plans import reports
 from laborlake.plans.load import load
 from laborlake.sources import store as tables
 from laborlake.sources.delimited import Layout, scan
-from laborlake.sources.headers import session_conf
+from laborlake.sources.headers import own_session
 
 LINKS = DATASETS["vinculos"]
 
@@ -72,25 +72,29 @@ def test_a_hot_state_is_written_by_several_tasks(spark, tmp_path):
         "2020 AS ano", "CAST(id AS STRING) AS pis", "IF(id % 10 < 8, '35', '12') AS uf", "'F.txt' AS arquivo"
     )
     full = conform(rows, LINKS).withColumn("arquivo", F.lit("F.txt"))
-    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
         tables.write(tables.spread(full), str(tmp_path), LINKS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     files = tables.stored_files(spark, str(tmp_path))
     assert files.where("path LIKE '%uf=35%'").count() > 1
     assert tables.read(spark, str(tmp_path), LINKS).selectExpr("count(DISTINCT pis)", "count(*)").first() == (200_000, 200_000)
 
 
-def test_money_means_do_not_depend_on_order(spark):
-    cents = [0.1, 0.2, 0.3, 1e9 + 0.01, 7.77]
-    df = spark.createDataFrame([(i, v) for i in range(2) for v in (cents if i else cents[::-1])], "g int, v double")
-    got = {r.m for r in df.groupBy("g").agg(F.expr(reports.mean_money("v")).alias("m")).collect()}
-    assert got == {100000000838 / 500}
+def test_counting_a_batch_looks_at_its_folders_alone(spark, store):
+    some = tables.stored_files(spark, store).where("path LIKE '%ano=2021%'").selectExpr("regexp_extract(path, 'arquivo=([^/]+)', 1) AS f")
+    name = some.first().f
+    plan = plan_of(tables.rows_of_files(spark, store, LINKS, [(2021, name)]))
+    assert "SortMergeJoin" not in plan and "ano=2022" not in plan
+    assert tables.rows_of_files(spark, store, LINKS, [(2021, "nothing.txt")]).count() == 0
 
 
-@pytest.mark.parametrize("values", [[0.125, 0.25], [1e300, 1.0], [9e16, 9e16, 0.5], [None], []])
-def test_other_means_fall_back(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = df.selectExpr(f"{reports.mean_money('v')} AS m", "avg(v) AS a").first()
-    assert row.m == row.a
+def test_settings_of_a_load_are_its_own(spark):
+    own = own_session(spark, {"spark.sql.codegen.wholeStage": "false"})
+    assert own.conf.get("spark.sql.codegen.wholeStage") == "false"
+    assert spark.conf.get("spark.sql.codegen.wholeStage") == "true"
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
 
 
 def test_reconcile(spark):

@@ -1,3 +1,6 @@
+import os
+import time
+
 from conftest import HISTORIC, HISTORIC_ROW, job_link_file, put
 
 from laborlake.model import DATASETS
@@ -50,3 +53,13 @@ def test_rows_of_one_layout_as_a_stream(spark, tmp_path):
     query.awaitTermination()
     got = spark.read.schema(tables.stored_struct(LINKS)).parquet(out).collect()
     assert [(r.ano, r.uf, r.idade, r.arquivo) for r in got] == [(2014, "12", 49, "AC2014ID.txt")]
+
+
+def test_old_files_in_odd_case_are_picked_up(spark, tmp_path):
+    base, store = tmp_path / "source", str(tmp_path / "store")
+    add(base, 2014, "AC2014ID.txt", "A")
+    load_arrivals(spark, str(base), store)
+    add(base, 2015, "AC2015ID.tXt", "B")
+    then = time.time() - 400 * 86400
+    os.utime(job_link_file(base, 2015, "AC2015ID.tXt"), (then, then))
+    assert [s.filename for s in load_arrivals(spark, str(base), store).rows] == ["AC2015ID.tXt"]
