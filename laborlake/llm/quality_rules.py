@@ -51,10 +51,6 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, "[\x20\x09-\x0d]+"), lambda w: w != "")
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.char_length(F.translate(text, chars, ""))
-
-
 def repeated_windows(words: str, width: int = 3) -> Column:
     """How many words stand in windows of `width` words that the array holds twice or more.
 
@@ -95,53 +91,50 @@ def measures(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).alias("_text"),
     )
     rows = rows.withColumn("_words", _words(F.col("_text")))
-    lines = F.filter(F.split("_text", "\n", -1), lambda x: F.translate(x, SPACE, "") != "")
+    lines = F.filter(F.split("_text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+    lost = F.get(F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x))), 0)
     rows = rows.select(
         "doc_id",
         "lang",
-        "_text",
         "_words",
         F.size("_words").cast("long").alias("n_words"),
-        _without(F.col("_text"), SPACE).cast("long").alias("word_chars"),
-        (F.char_length("_text") - _without(F.col("_text"), SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        lost.cast("long").alias("n_dup_lines"),
         repeated_windows("_words").cast("long").alias("n_repeat_words"),
+        F.array_join("_words", "").alias("_rest"),
     )
-    rest = F.translate(F.col("_text"), SPACE, "")
+    rows = rows.withColumn("word_chars", F.char_length("_rest").cast("long"))
     for cls, pattern in CLASSES.items():
-        rows = rows.withColumn("_rest", rest).withColumn("_less", F.regexp_replace("_rest", pattern, ""))
+        rows = rows.withColumn("_less", F.regexp_replace("_rest", pattern, ""))
         rows = rows.withColumn(_pick(cls), (F.char_length("_rest") - F.char_length("_less")).cast("double"))
-        rest = F.col("_less")
+        rows = rows.withColumn("_rest", F.col("_less"))
+    # No class before takes symbols out, so all are among what is left.
+    symbols = F.char_length("_rest") - F.char_length(F.translate("_rest", SYMBOLS, ""))
     short = F.filter("_words", lambda w: F.char_length(w) <= SHORT)
-    rows = rows.withColumn(_pick("other"), F.char_length("_less").cast("double")).withColumn("_short", short)
-    return rows.drop("_rest", "_less", "_text", "_words")
+    rows = rows.withColumns(
+        {"n_symbols": symbols.cast("long"), _pick("other"): F.char_length("_rest").cast("double"), "_short": short}
+    )
+    return rows.drop("_rest", "_less", "_words")
 
 
 def _plain(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}]+", ""))
 
 
-def word_references(docs: DataFrame) -> DataFrame:
-    """lang, _common (words), _share (their shares of all words, then the rest's), _total: one row per language."""
+def common_words(docs: DataFrame) -> DataFrame:
+    """lang, _common (words, most frequent first), _times (how often each): one row per language that has short words."""
     words = _words(F.coalesce(F.col("text"), F.lit("")))
-    rows = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), words.alias("_words"))
-    short = F.filter("_words", lambda w: F.char_length(w) <= SHORT)
-    # All words of a row count at its first one, so that one pass gives the total as well.
-    each = rows.select("lang", F.size("_words").alias("_all"), F.posexplode_outer(short).alias("_at", "_word"))
-    counts = each.groupBy("lang", "_word").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("_all")).otherwise(0)).alias("_of")
-    )
-    totals = counts.groupBy("lang").agg(F.sum("_of").alias("_total"))
-    plain = _plain(F.col("_word"))
-    counts = counts.groupBy("lang", plain.alias("_word")).agg(F.sum("_n").alias("_n")).filter("_word != ''")
+    short = F.filter(words, lambda w: F.char_length(w) <= SHORT)
+    each = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.explode(short).alias("_word"))
+    counts = each.groupBy("lang", "_word").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.groupBy("lang", _plain(F.col("_word")).alias("_word")).agg(F.sum("_n").alias("_n")).filter("_word != ''")
+    counts = written(counts, "words")
+    totals = counts.groupBy("lang").agg(F.sum("_n").alias("_all"))
     # Only words that could be among the common ones are ranked: a word's share of its language bounds its rank.
-    many = counts.join(totals, "lang").filter(F.col("_n") * 2000 >= F.col("_total"))
+    many = counts.join(totals, "lang").filter(F.col("_n") * 2000 >= F.col("_all"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("_n"), "_word"))
     top = many.withColumn("_rank", rank).filter(F.col("_rank") <= COMMON)
-    top = top.groupBy("lang", "_total").agg(F.array_sort(F.collect_list(F.struct("_rank", "_word", "_n"))).alias("_top"))
-    shares = F.transform("_top", lambda x: x["_n"] / F.col("_total"))
-    rest = F.greatest(F.lit(0.0), 1 - F.aggregate(shares, F.lit(0.0), lambda a, b: a + b))
-    return top.select("lang", "_total", F.transform("_top", lambda x: x["_word"]).alias("_common"), F.concat(shares, F.array(rest)).alias("_share"))
+    top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("_rank", "_word", "_n"))).alias("_top"))
+    return top.select("lang", F.transform("_top", lambda x: x["_word"]).alias("_common"), F.transform("_top", lambda x: x["_n"]).alias("_times"))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -161,7 +154,8 @@ def _shares(columns: list[str]) -> Column:
 
 def _found(words: str, common: str, n_words: str) -> Column:
     """Shares of the common words in an array of words: each is taken out of the joined text, and what is gone is counted."""
-    text = F.concat(F.lit(" "), F.array_join(F.transform(words, _plain), "  "), F.lit(" "))
+    joined = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+    text = F.lower(F.regexp_replace(joined, r"[^\p{L}\p{N} ]+", ""))
 
     def shares(spaced: Column) -> Column:
         def share(word: Column) -> Column:
@@ -173,6 +167,11 @@ def _found(words: str, common: str, n_words: str) -> Column:
     return F.get(F.transform(F.array(text), shares), 0)
 
 
+def _with_rest(shares: Column) -> Column:
+    rest = 1 - F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
+    return F.concat(shares, F.array(F.greatest(F.lit(0.0), rest)))
+
+
 def _joined(rows: DataFrame, references: DataFrame) -> DataFrame:
     """Each row with its language's reference, which is broadcast if there are few enough languages."""
     references = references.withColumnRenamed("lang", "_lang")
@@ -189,18 +188,20 @@ def judge(docs: DataFrame) -> DataFrame:
     all gets null distances and is kept if the base rules keep it. Other columns are ignored.
     """
     plain = docs.select("doc_id", "lang", "text")
-    rows = _joined(measures(plain), written(word_references(plain), "words"))
-    others = F.greatest(F.lit(0.0), 1 - F.aggregate("_found", F.lit(0.0), lambda a, b: a + b))
+    common = written(common_words(plain), "common")
+    rows = _joined(measures(plain), common.drop("_times"))
     rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_short", "_common", "n_words")))
-    rows = rows.withColumn("_word_distance", js_distance(F.concat("_found", F.array(others)), F.col("_share")))
-    rows = written(rows.drop("_short", "_found", "_common", "_share"), "measures")
+    rows = written(rows.drop("_short", "_common"), "measures")
     names = [*CLASSES, "other"]
-    rows = _joined(rows, written(rows.groupBy("lang").agg(*[F.sum(_pick(c)).alias(f"_r_{c}") for c in names]), "classes"))
+    sums = [F.sum(_pick(c)).alias(f"_r_{c}") for c in names]
+    languages = rows.groupBy("lang").agg(F.sum("n_words").alias("_total"), *sums).join(common.drop("_common"), "lang", "left")
+    rows = _joined(rows, written(languages, "languages"))
+    expected = F.transform("_times", lambda n: n / F.col("_total"))
     known = (F.col("_total") >= MIN_REFERENCE) & (F.col("n_words") > 0)
     rows = rows.withColumns(
         {
             "class_distance": F.when(known, js_distance(_shares([_pick(c) for c in names]), _shares([f"_r_{c}" for c in names]))),
-            "word_distance": F.when(known, F.col("_word_distance")),
+            "word_distance": F.when(known, js_distance(_with_rest(F.col("_found")), _with_rest(expected))),
             "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         }
     )
