@@ -1,13 +1,13 @@
 """Quality selection by importance resampling between two hashed n-gram models.
 
-Words and word pairs are hashed into BUCKETS, each counted once per document. One generative model is counted over all documents (raw), one over those that are
+Words and word pairs are hashed into two tables of BUCKETS, each counted once per document. One generative model is counted over all documents (raw), one over those that are
 labelled good and not toxic (target). A document's log weight is the sum, over its n-grams, of the log ratio of the two
-models, less what target text itself gets on average for each n-gram, so that a good document stays near zero at any length
-and each n-gram that target text lacks takes it down. Documents are then resampled without replacement: Gumbel noise
+models, so that a good document stays near zero at any length and each n-gram that target text lacks takes it down.
+Documents are then resampled without replacement: Gumbel noise
 from a hash of the document is added to the log weights, and the k largest stay, where k is the number of documents whose
 weight clears the cut that best divides the labelled ones.
 
-The models are arrays of BUCKETS numbers whatever the input, summed within tasks first. At most LABELLED labelled
+The models are arrays of 2 * BUCKETS numbers whatever the input, summed within tasks first. At most LABELLED labelled
 rows are used, those whose ids hash lowest; they alone are broadcast.
 """
 
@@ -24,18 +24,22 @@ from pyspark.sql import functions as F
 from laborlake.llm import textscan
 from laborlake.llm.common import written
 
-BUCKETS = 1 << 19
+#: Buckets of each of two tables. An n-gram has one in both, and what it says is the lesser of what they say: where one is
+#: shared with an n-gram that junk is full of, the other is not.
+BUCKETS = 1 << 18
 #: Bound on the labelled rows that are used.
 LABELLED = 50_000
 #: Documents added to both models in each bucket.
 SHRINK = 1.0
 #: Standard errors by which the models must differ in a bucket. Below, the ratio counts as 1; else every rare word would
 #: speak for the labelled documents that it was counted in, and against all others.
-EVIDENCE = 3.5
+EVIDENCE = 3.0
 #: Factor by which they must differ: what is nearly as frequent in both adds only noise, the more the longer a text is.
-FACTOR = 2.0
+FACTOR = 1.5
 #: How many rejected bad documents one rejected good document outweighs, by share, where the labelled cut is chosen.
 GOOD_COUNTS = 4.0
+#: What log weights are multiplied by before the noise, so that it decides among documents near the cut alone.
+SHARPNESS = 10.0
 SEED = 17
 #: Parts of a unit of the Gumbel keys; keys that agree in them are ties.
 STEPS = 1 << 20
@@ -51,8 +55,8 @@ class Model:
     least_key: int = NO_CUT
 
 
-def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct buckets of each text, and the text that each belongs to.
+def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of each text by their buckets in both tables, and the text that each belongs to.
 
     Beside words and word pairs a text has one n-gram for the share of its words that repeat the word before them, in
     steps of a factor of two: the pair itself is another one in every text, the habit is not.
@@ -69,8 +73,9 @@ def ngram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     used = counts > 0
     owners = np.concatenate([owner, np.repeat(places, np.diff(pair_starts)), places[used]])
     hashes = np.concatenate([words, pairs, habit[used]])
-    both = np.unique(owners * BUCKETS + (hashes >> shift).astype(np.int64))
-    return both % BUCKETS, both // BUCKETS
+    keys, at = np.unique(owners * BUCKETS + (hashes >> shift).astype(np.int64), return_index=True)
+    second = (textscan.mix(hashes[at] + np.uint64(SEED)) >> shift).astype(np.int64)
+    return keys % BUCKETS, BUCKETS + second, keys // BUCKETS
 
 
 def labelled_rows(labels: DataFrame) -> DataFrame:
@@ -87,24 +92,26 @@ def _with_labels(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def count_models(docs: DataFrame, labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """N-grams by bucket: of all documents, and of those labelled good."""
+    """N-grams by bucket of both tables: of all documents, and of those labelled good."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
         for batch in batches:
             for low, high in textscan.slices(batch["text"].str.len().to_numpy(), 1 << 22):
                 part = batch.iloc[low:high]
-                buckets, owner = ngram_buckets(part["text"].tolist())
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[part["good"].to_numpy()[owner]], minlength=BUCKETS)
+                first, second, owner = ngram_buckets(part["text"].tolist())
+                good = part["good"].to_numpy()[owner]
+                for buckets in (first, second):
+                    raw += np.bincount(buckets, minlength=2 * BUCKETS)
+                    target += np.bincount(buckets[good], minlength=2 * BUCKETS)
         used = np.flatnonzero(raw)
         yield pd.DataFrame({"bucket": used, "raw": raw[used], "target": target[used]})
 
     rows = _with_labels(docs.select("doc_id", "text"), labelled)
     rows = rows.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("_good"), F.lit(False)).alias("good"))
     counts = rows.mapInPandas(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    found = counts.toPandas().to_numpy()  # BUCKETS rows at most
+    raw, target = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
+    found = counts.toPandas().to_numpy()  # 2 * BUCKETS rows at most
     if len(found):
         at = found[:, 0].astype(np.int64)
         raw[at], target[at] = found[:, 1], found[:, 2]
@@ -112,22 +119,24 @@ def count_models(docs: DataFrame, labelled: DataFrame) -> tuple[np.ndarray, np.n
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Centred so that target text has the mean 0; all 0 without target text."""
+    """By bucket; 0 where the models hardly differ, and all 0 without target text."""
     if not target.sum():
         return np.zeros(len(raw))
     expected = raw * (target.sum() / raw.sum())
     ratios = np.log((target + SHRINK) / (expected + SHRINK))
     weak = np.abs(target - expected) < EVIDENCE * np.sqrt(expected + SHRINK)
     ratios[weak | (np.abs(ratios) < np.log(FACTOR))] = 0
-    return ratios - (ratios * target).sum() / target.sum()
+    return ratios
 
 
 def _score(weights: np.ndarray, texts: list[str]) -> np.ndarray:
     out = np.zeros(len(texts))
     lengths = np.array([len(t) for t in texts])
     for low, high in textscan.slices(lengths, 1 << 22):
-        buckets, owner = ngram_buckets(texts[low:high])
-        out[low:high] = np.bincount(owner, weights=weights[buckets], minlength=high - low)
+        first, second, owner = ngram_buckets(texts[low:high])
+        one, other = weights[first], weights[second]
+        lesser = np.where(np.abs(one) < np.abs(other), one, other)
+        out[low:high] = np.bincount(owner, weights=lesser, minlength=high - low)
     return out
 
 
@@ -143,7 +152,7 @@ def with_keys(docs: DataFrame, model: Model) -> DataFrame:
     uniform: Column = (F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = -F.log(-F.log(uniform))
     rows = docs.withColumn("_log_weight", log_weight(F.coalesce(F.col("text"), F.lit(""))))
-    return rows.withColumn("_key", F.floor((F.col("_log_weight") + noise) * STEPS).cast("long"))
+    return rows.withColumn("_key", F.floor((F.col("_log_weight") * SHARPNESS + noise) * STEPS).cast("long"))
 
 
 def best_cut(scored: DataFrame) -> float:
