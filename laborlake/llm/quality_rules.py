@@ -1,7 +1,7 @@
 """Quality rules: plain counts, and how far a document's characters and common words are from its language's.
 
 Two histograms of each document are compared with those of its whole language by Jensen-Shannon distance: classes of
-characters, and the COMMON most frequent short words of the language beside all others. The references are sums over all
+characters, and the COMMON most frequent words of the language beside all others. The references are sums over all
 documents. A document with fewer than MIN_WORDS words fails the base rules anyway, and a reference of fewer than
 MIN_REFERENCE words judges nobody.
 
@@ -23,9 +23,8 @@ MIN_WORDS = 50
 BROADCAST_LANGUAGES = 10_000
 MIN_REFERENCE = 1000
 COMMON = 24
-#: Only words of so few characters, signs included, can be common ones: the words that hold a language together are
-#: short, and there are not too many short words to count in every task.
-SHORT = 5
+#: No word is too long to be a common one, and nothing here filters by this; the test of the distances takes its words by it.
+SHORT = 2**31 - 1
 #: Largest Jensen-Shannon distance (base 2, so 0 to 1) from the language that is kept. That of words has a share that
 #: falls with the root of their number, as a short text is far from any histogram by chance.
 MAX_CLASS_DISTANCE = 0.30
@@ -84,7 +83,7 @@ def repeated_windows(words: str, width: int = 3) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts, the class histogram (_h_...), and the short words in `_short`, for each row of `docs`."""
+    """doc_id, lang, the base counts, the class histogram (_h_...), and the words in `_words`, for each row of `docs`."""
     rows = docs.select(
         "doc_id",
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
@@ -109,30 +108,23 @@ def measures(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("_rest", F.col("_less"))
     # No class before takes symbols out, so all are among what is left.
     symbols = F.char_length("_rest") - F.char_length(F.translate("_rest", SYMBOLS, ""))
-    short = F.filter("_words", lambda w: F.char_length(w) <= SHORT)
-    rows = rows.withColumns(
-        {"n_symbols": symbols.cast("long"), _pick("other"): F.char_length("_rest").cast("double"), "_short": short}
-    )
-    return rows.drop("_rest", "_less", "_words")
+    rows = rows.withColumns({"n_symbols": symbols.cast("long"), _pick("other"): F.char_length("_rest").cast("double")})
+    return rows.drop("_rest", "_less")
 
 
-def _plain(word: Column) -> Column:
-    return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}]+", ""))
+def _plain(text: Column) -> Column:
+    """Words without signs, in lower case, with the white space between them."""
+    return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\x20\x09-\x0d]+", ""))
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """lang, _common (words, most frequent first), _times (how often each): one row per language that has short words."""
-    words = _words(F.coalesce(F.col("text"), F.lit("")))
-    short = F.filter(words, lambda w: F.char_length(w) <= SHORT)
-    each = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.explode(short).alias("_word"))
+    """lang, _common (words, most frequent first), _times (how often each): one row per language that has words."""
+    words = _words(_plain(F.coalesce(F.col("text"), F.lit(""))))
+    each = docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.explode(words).alias("_word"))
     counts = each.groupBy("lang", "_word").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.groupBy("lang", _plain(F.col("_word")).alias("_word")).agg(F.sum("_n").alias("_n")).filter("_word != ''")
-    counts = written(counts, "words")
-    totals = counts.groupBy("lang").agg(F.sum("_n").alias("_all"))
-    # Only words that could be among the common ones are ranked: a word's share of its language bounds its rank.
-    many = counts.join(totals, "lang").filter(F.col("_n") * 2000 >= F.col("_all"))
+    # Each task ranks its own words first and passes on COMMON of a language at most.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("_n"), "_word"))
-    top = many.withColumn("_rank", rank).filter(F.col("_rank") <= COMMON)
+    top = counts.withColumn("_rank", rank).filter(F.col("_rank") <= COMMON)
     top = top.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("_rank", "_word", "_n"))).alias("_top"))
     return top.select("lang", F.transform("_top", lambda x: x["_word"]).alias("_common"), F.transform("_top", lambda x: x["_n"]).alias("_times"))
 
@@ -155,7 +147,6 @@ def _shares(columns: list[str]) -> Column:
 def _found(words: str, common: str, n_words: str) -> Column:
     """Shares of the common words in an array of words: each is taken out of the joined text, and what is gone is counted."""
     joined = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
-    text = F.lower(F.regexp_replace(joined, r"[^\p{L}\p{N} ]+", ""))
 
     def shares(spaced: Column) -> Column:
         def share(word: Column) -> Column:
@@ -164,7 +155,7 @@ def _found(words: str, common: str, n_words: str) -> Column:
 
         return F.transform(common, share)
 
-    return F.get(F.transform(F.array(text), shares), 0)
+    return F.get(F.transform(F.array(_plain(joined)), shares), 0)
 
 
 def _with_rest(shares: Column) -> Column:
@@ -190,8 +181,8 @@ def judge(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", "lang", "text")
     common = written(common_words(plain), "common")
     rows = _joined(measures(plain), common.drop("_times"))
-    rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_short", "_common", "n_words")))
-    rows = written(rows.drop("_short", "_common"), "measures")
+    rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_words", "_common", "n_words")))
+    rows = written(rows.drop("_words", "_common"), "measures")
     names = [*CLASSES, "other"]
     sums = [F.sum(_pick(c)).alias(f"_r_{c}") for c in names]
     languages = rows.groupBy("lang").agg(F.sum("n_words").alias("_total"), *sums).join(common.drop("_common"), "lang", "left")

@@ -126,6 +126,24 @@ def test_distances(spark):
         assert got[r.doc_id].class_distance == pytest.approx(want, abs=1e-9)
 
 
+def test_long_and_rare_words_can_be_common(spark, save):
+    """Words of any length are in the histograms, and no share of the language is too small for its most frequent words."""
+    words = [f"w{i:06d}" for i in range(6000)]
+    texts = ["International, " * 70 + "sea " * 30 + "a " * 400] + [" ".join(words[i : i + 100]) for i in range(0, 6000, 100)] + ["w000000 w000001"]
+    rows = [(i, t, "en" if i == 0 else "xx", "s", 1) for i, t in enumerate(texts)] + [(900 + i, "a " * 500, "en", "s", 1) for i in range(2)]
+    path = save(documents=rows)
+    from laborlake.llm import quality_rules as qr
+
+    common = {r.lang: r for r in qr.common_words(spark.read.parquet(f"{path}/documents.parquet")).collect()}
+    assert common["en"][1:] == (["a", "international", "sea"], [1400, 70, 30])
+    assert common["xx"][1:] == (words[: qr.COMMON], [2, 2] + [1] * (qr.COMMON - 2))
+    p, q = (np.array(x) / sum(x) for x in ([400, 70, 30], [1400, 70, 30]))
+    m = (p + q) / 2
+    want = math.sqrt(sum((x * np.log2(x / m)).sum() for x in (p, q)) / 2)
+    got = {r.doc_id: r.word_distance for r in op8_quality_rules(spark, path).collect()}
+    assert got[0] == pytest.approx(want, abs=1e-9)
+
+
 def test_rules_keep_good_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
