@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 
 from laborlake.llm.common import written
 
-#: Pages of the training sample, those whose ids hash lowest, and the largest of them in characters.
+#: Pages of the training sample, those of the pages that mark their article whose ids hash lowest, and the largest of them in
+#: characters. Where no page of that size does, a tenth or a hundredth as many that are as much larger.
 TRAINING_PAGES = 200
 TRAINING_CHARS = 30_000
+LARGER = (1, 10, 100)
 TREES, DEPTH = 16, 4
 SEED = 11
 TOKENS = 160
@@ -46,7 +48,12 @@ BLOCKS = set(
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th"
     " thead tr ul".split()
 )
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "select", "button"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "object", "select", "button",
+       "annotation", "annotation-xml"}
+#: Of these, what runs on to the end of the page if it is not closed, as it does in browsers.
+TO_THE_END = {"script", "style", "textarea", "title", "iframe"}
+#: These cannot stand in each other: where one starts again, the one before was not closed.
+FLAT = {"button", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: An element that starts closes open ones of these kinds first, up to the next of the kinds after them.
 CLOSES = {
@@ -60,6 +67,13 @@ CLOSES = {
 BOILERPLATE = ["comment", "comments", "sidebar", "cookie-notice", "banner", "newsletter", "related", "share", "advert", "ad",
                "promo", "breadcrumb", "menu", "social", "signup", "login", "popup", "widget"]
 
+#: What marks an article, in the order in which pages are looked at: elements, or else roles and names of blocks.
+MARKS = ("<(article|main)[\\s>]", "(role|itemprop|id|class)\\s*=")
+NAMED = [
+    re.compile(rf"(?:^|\s)(?:{kind})\s*=\s*(?:\"(?:[^\"]*\s)?|'(?:[^']*\s)?|)(?:{value})(?=[\s\"'>]|$)", re.IGNORECASE)
+    for kind, value in (("itemprop", "articleBody"), ("role", "main"), ("id|class", "article|post|entry|story|content|main"))
+]
+EDGE = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS, key=len, reverse=True))}|head|body|html)(?=[\s/>])", re.IGNORECASE)
 TAG = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|[^<]+|<", re.DOTALL
 )
@@ -81,6 +95,7 @@ def parse(page: str) -> Node:
     root = at = Node("html")
     links, end = 0, 0
     in_head = False
+    never: set[str] = set()  # raw elements that are not closed from here on
     while end < len(page):
         m = TAG.match(page, end)
         end = m.end()
@@ -103,8 +118,17 @@ def parse(page: str) -> Node:
             continue
         if name in RAW:
             if not closing and not m.group().endswith("/>"):
-                stop = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, end)
-                end = stop.end() if stop else len(page)
+                again = "(?P<open><)" if name in FLAT else "(?!)"
+                stop = None if name in never else re.compile(rf"(?:</{name}\s*>|{again}{name}(?=[\s/>]))", re.IGNORECASE).search(page, end)
+                if not stop:
+                    never.add(name)
+                if stop and page.startswith("</", stop.start()):
+                    end = stop.end()
+                elif name in TO_THE_END:
+                    end = len(page)
+                else:
+                    edge = EDGE.search(page, end, stop.start() if stop else len(page))
+                    end = edge.start() if edge else stop.start() if stop else len(page)
             continue
         if name == "a":
             links = max(0, links - 1) if closing else 1
@@ -354,21 +378,44 @@ def _vary(article: Node, rng: random.Random) -> None:
             child.children = [(" ".join(words[: rng.randint(1, 4)]), False)]
 
 
-def labelled_nodes(page: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _outermost(nodes: list[Node]) -> list[Node]:
+    found, inner = {id(n) for n in nodes}, []
+    for node in nodes:
+        up = node.parent
+        while up is not None and id(up) not in found:
+            up = up.parent
+        inner.append(up is not None)
+    return [n for n, x in zip(nodes, inner, strict=True) if not x]
+
+
+def marked(nodes: list[Node], level: int = 0) -> Node | None:
+    """The one article of a page, or else its one main element; on level 1 its one block with a role or name of an article."""
+    if not any(_is_leaf(n) and _block(n) for n in nodes):
+        return None
+    if level:
+        kinds = [[n for n in nodes[1:] if n.attributes and x.search(n.attributes)] for x in NAMED]
+    else:
+        kinds = [[n for n in nodes if n.tag == tag] for tag in ("article", "main")]
+    return next((top[0] for kind in kinds if len(top := _outermost(kind)) == 1), None)
+
+
+def labelled_nodes(page: str, seed: int, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of a page's nodes, if it marks one article: as it is, made anonymous, and the article alone.
 
-    Boilerplate is put in, and some of the article's blocks become headings, lists or parts of sections.
+    Boilerplate is put in, and some of the article's blocks become headings, lists or parts of sections. Articles inside the
+    article are comments, by the standard.
     """
     features, labels = [], []
     for form in ("whole", "anonymous", "alone"):
         anonymous, rng = form == "anonymous", random.Random(f"{seed} {form}")
         root = parse(page)
         nodes = _with_text_nodes(root)
-        articles = [n for n in nodes if n.tag in ("article", "main")]
-        texts = [b for n in nodes if _is_leaf(n) and (b := _block(n))]
-        if len(articles) != 1 or not texts:
+        article, added = marked(nodes, level), []
+        if article is None:
             break
-        article, added = articles[0], []
+        texts = [b for n in nodes if _is_leaf(n) and (b := _block(n))]
+        if article.tag == "article":
+            added += [n for n in nodes if n.tag == "article" and n is not article]
         if form == "alone":
             article.parent, root.children = root, [article]
         _vary(article, rng)
@@ -400,22 +447,49 @@ def labelled_nodes(page: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(features), np.concatenate(labels)
 
 
+def sampled(pages: DataFrame, level: int = 0, larger: int = 1) -> DataFrame:
+    """hash and html of the pages that mark their article, TRAINING_PAGES // larger of them at most, lowest hashes first.
+
+    The test takes a parsed page, so it is put to the lowest hashes first, then to more, and to all pages if need be.
+    """
+
+    @F.pandas_udf("boolean")
+    def passes(batch: pd.Series) -> pd.Series:
+        return pd.Series([marked(_with_text_nodes(parse(page)), level) is not None for page in batch], dtype=bool)
+
+    whole = pages.filter(F.length("html").between(1, TRAINING_CHARS * larger)).filter(F.lower("html").rlike(MARKS[level]))
+    hashed = whole.select(F.xxhash64(F.lit(SEED), "page_id", "html").alias("hash"), "page_id", "html")
+    wanted = max(1, TRAINING_PAGES // larger)
+    for tried in (wanted, 16 * wanted, 0):
+        # Ids first: the pages themselves are looked at only for the few chosen.
+        lowest = (hashed if tried else hashed.filter(passes("html"))).select("hash").distinct().orderBy("hash").limit(tried or wanted)
+        lowest = written(lowest, "hashes")
+        part = hashed.join(F.broadcast(lowest), "hash", "left_semi").dropDuplicates(["hash"]).filter(passes("html"))
+        part = written(part.select("hash", "html").orderBy("hash").limit(wanted), "sample")
+        if part.count() == wanted or lowest.count() < tried:
+            break
+    return part
+
+
 def train(pages: DataFrame) -> Trees | None:
-    """Trees from at most TRAINING_PAGES pages; None if none of them marks its article."""
+    """Trees from pages that mark their article; None if no page of the table does, by element, role or name."""
+    for level in range(len(MARKS)):
+        for larger in LARGER:
+            sample = sampled(pages, level, larger)
+            if not sample.isEmpty():
+                return _trained(sample, level)
+    return None
 
+
+def _trained(sample: DataFrame, level: int) -> Trees | None:
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for seed, page in zip(batch["seed"], batch["html"], strict=True):
-                rows, labels = labelled_nodes(page, int(seed))
+                rows, labels = labelled_nodes(page, int(seed), level)
                 if len(rows):
                     yield pd.DataFrame({"values": [r.tolist() for r in rows], "label": labels.astype(float)})
 
-    whole = pages.filter(F.length("html").between(1, TRAINING_CHARS)).filter(F.lower("html").rlike("<(article|main)[\\s>]"))
-    hashed = whole.select(F.xxhash64(F.lit(SEED), "page_id", "html").alias("hash"), "page_id", "html")
-    # Ids first: the pages themselves are looked at only for the few chosen.
-    chosen = hashed.select("hash").distinct().orderBy("hash").limit(TRAINING_PAGES)
-    sample = hashed.join(F.broadcast(chosen), "hash", "left_semi").dropDuplicates(["hash"])
-    sample = sample.select(F.pmod("hash", F.lit(1 << 31)).alias("seed"), "html")
+    sample = sample.select(F.pmod("hash", F.lit(1 << 31)).alias("seed"), "html").repartition(8)
     rows = written(sample.mapInPandas(label, "values array<double>, label double"), "nodes")
     kinds = {r.label for r in rows.select("label").distinct().collect()}
     if len(kinds) < 2:
@@ -450,8 +524,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """`pages` with `text`, the main text, and `n_chars`, its code points; both replace columns of the same name.
 
     A null or empty page has an empty text. A page without any block element is all main text. A page of any length is
-    parsed whole; one page at a time is in memory. Repeated rows are extracted each. If no page of the sample marks an article,
-    nothing can be learnt, and main text is what stands in paragraphs and headings.
+    parsed whole; one page at a time is in memory. Repeated rows are extracted each. If no page of the table marks an
+    article, nothing can be learnt, and main text is what stands in paragraphs and headings.
     """
     source = pages.withColumn("_html", F.coalesce(F.col("html"), F.lit("")))
     trees = train(source.select("page_id", F.col("_html").alias("html")))

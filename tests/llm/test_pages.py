@@ -156,3 +156,39 @@ def test_choices_never_contradict():
         place = {id(n): i for i, n in enumerate(nodes)}
         for i, node in enumerate(nodes[1:], 1):
             assert not chosen[place[id(node.parent)]] or chosen[i]
+
+
+CARDS = "<html><body><main><article><p>one card</p></article><article><p>another card</p></article></main><p>foot</p></body></html>"
+
+
+def test_pages_mark_their_article_in_many_ways():
+    nodes = lambda page: html_extract._with_text_nodes(html_extract.parse(page))
+    assert html_extract.marked(nodes("<main><h1>x</h1><article><p>y</p><article>note</article></article></main>")).tag == "article"
+    assert html_extract.marked(nodes(CARDS)).tag == "main"
+    assert html_extract.marked(nodes("<div><p>x</p></div>")) is None
+    named = html_extract.marked(nodes("<div class='box'>a</div><div class='big content'><p>x</p></div>"), 1)
+    assert named.attributes.strip() == "class='big content'"
+    for page in ("<main><article><p>a text</p></article></main>", CARDS):
+        assert set(html_extract.labelled_nodes(page, 1)[1].tolist()) == {0, 1}
+
+
+def test_sample_is_drawn_among_pages_that_pass(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "TRAINING_PAGES", 4)
+    cards = CARDS.replace("main>", "div>")
+    rows = [(i, cards) for i in range(300)] + [(1000 + i, "<main><article><p>text</p></article></main>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = [r.html for r in html_extract.sampled(pages).collect()]
+    assert got == [rows[-1][1]] * 4
+    assert html_extract.sampled(spark.createDataFrame(rows[:300], pages.schema)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["button", "select", "object", "svg", "template"])
+def test_unclosed_elements_end_at_the_next_block(name):
+    def text(page):
+        return [b for n in html_extract._with_text_nodes(html_extract.parse(page)) if html_extract._is_leaf(n) and (b := html_extract._block(n))]
+
+    assert text(f"<div><p>before</p><{name}>label</div><p>after</p>") == ["before", "after"]
+    assert text(f"<p>a <{name}>label</{name}> b</p><p>c</p>") == ["a b", "c"]
+    if name in ("button", "select"):
+        assert text(f"<div><{name}>x</div><p>after</p><{name}>y</{name}><p>end</p>") == ["after", "end"]
+    assert text("<p>sum <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> here</p>") == ["sum x=1 here"]
