@@ -4,7 +4,8 @@ Texts are compared in lower case with single spaces. An item of m characters is
 at most k = m // EDIT_EVERY edits away from it. Such a stretch shares m - Q + 1 - Q k or more q-grams with the item (each edit
 spoils Q at most), and they lie on k + 1 neighbouring diagonals of the item's and document's positions. So q-grams shared are
 counted in overlapping bands of 2 (k + 1) diagonals; a band with enough of them is a region to align, in a band of that width
-alone, and what is aligned within k edits is reported. Nothing that is within the budget can be missed.
+alone, and what is aligned within k edits is reported. Nothing that is within the budget can be missed. Items under LEAST
+characters have a budget of 0 and count as whole words only; those under Q characters are found by hashes of their length.
 
 The items' q-grams are broadcast in blocks of BLOCK characters; a larger benchmark takes one pass per block.
 """
@@ -24,7 +25,7 @@ from laborlake.llm.common import written
 
 Q = 10
 EDIT_EVERY = 14
-#: An item shorter than this is taken for common wording and never sought. From here on the q-gram bound is above 0.
+#: An item shorter than this must be there without an edit and as whole words. From here on the q-gram bound is above 0.
 LEAST = 40
 BLOCK = 8_000_000
 MATCH = "array<struct<item_id: bigint, edits: int, start: int, end: int>>"
@@ -37,7 +38,25 @@ def plain(text: str) -> str:
 
 
 def budget(length: int) -> int:
-    return length // EDIT_EVERY
+    return length // EDIT_EVERY if length >= LEAST else 0
+
+
+def _in_word(c: str) -> bool:
+    """Whether a character is part of a word that spaces or signs end; Thai to Khmer, kana and Han are written without."""
+    return c.isalnum() and not ("\u0e00" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "\u2e80" <= c <= "\ua4cf" or "\uf900" <= c <= "\ufaff" or c >= "\U00020000")
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether neither end of a stretch is inside a word."""
+    return all(at in (0, len(text)) or not (_in_word(text[at - 1]) and _in_word(text[at])) for at in (start, end))
+
+
+def _window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
+    n = max(0, len(codes) - width + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(width):
+        out = out * _BASE + codes[k : k + n]
+    return out
 
 
 def gram_hashes(codes: np.ndarray) -> np.ndarray:
@@ -61,8 +80,13 @@ class Index:
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         self.lengths = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = self.lengths // EDIT_EVERY
+        self.edits = np.where(self.lengths < LEAST, 0, self.lengths // EDIT_EVERY)
         self.needed = self.lengths - Q + 1 - Q * self.edits
+        #: Items under Q characters by length and hash.
+        self.tiny: dict[int, dict[int, list[int]]] = {}
+        for i, t in enumerate(self.texts):
+            if 0 < len(t) < Q:
+                self.tiny.setdefault(len(t), {}).setdefault(int(_window_hashes(_codes(t), len(t))[0]), []).append(i)
         grams = [gram_hashes(_codes(t)) for t in self.texts]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
@@ -83,6 +107,14 @@ class Index:
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(total) if total else low[:0]
         return np.repeat(at, counts), self.items[entry], self.places[entry]
 
+    def tiny_hits(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Place in the text and item of each stretch with the hash of an item under Q characters."""
+        for width, found in self.tiny.items():
+            hashes = _window_hashes(codes, width)
+            for place in np.flatnonzero(np.isin(hashes, np.array(list(found), np.uint64))):
+                for item in found[int(hashes[place])]:
+                    yield int(place), item
+
     def regions(self, codes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Text number, item and first diagonal of each band with enough hits; `starts` are where the texts begin."""
         place, item, inner = self.hits(codes)
@@ -151,6 +183,12 @@ def find(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]
         for owner, item, diagonal in index.regions(codes, starts):
             wanted, edits = index.texts[item], int(index.edits[item])
             text = part[owner]
+            if len(wanted) < LEAST:
+                for at in (diagonal, diagonal + 1):
+                    got = (0, at, at + len(wanted))
+                    if at >= 0 and text.startswith(wanted, at) and whole_words(text, *got[1:]) and got < best.get((owner, item), (1,)):
+                        best[owner, item] = got
+                continue
             a = max(0, diagonal - edits)
             at = text.find(wanted, a, diagonal + 3 * (edits + 1) + len(wanted))
             if at >= 0:
@@ -160,6 +198,11 @@ def find(index: Index, texts: list[str]) -> list[list[tuple[int, int, int, int]]
                 got = align(_codes(wanted), own, diagonal, edits)
             if got and got < best.get((owner, item), (1 << 30,)):
                 best[owner, item] = got
+        for place, item in index.tiny_hits(codes):
+            owner = int(np.searchsorted(starts, place, "right")) - 1
+            text, wanted, at = part[owner], index.texts[item], place - int(starts[owner])
+            if (owner, item) not in best and text.startswith(wanted, at) and whole_words(text, at, at + len(wanted)):
+                best[owner, item] = (0, at, at + len(wanted))
         for (owner, item), got in best.items():
             out[low + owner].append((index.ids[item], *got))
     return [sorted(x) for x in out]
@@ -177,7 +220,7 @@ def _index(rows: tuple[tuple[int, str], ...]) -> Index:
 
 def _with_block(docs: DataFrame, block: list[Row]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(
-        tuple((r.item_id, t) for r in block if len(t := plain(r.item_text)) >= LEAST)
+        tuple((r.item_id, t) for r in block if (t := plain(r.item_text)))
     )
 
     @F.pandas_udf(MATCH)
@@ -193,7 +236,8 @@ def _with_block(docs: DataFrame, block: list[Row]) -> DataFrame:
 def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` with `_matches`: item_id, edits, and start and end in the text as compared (lower case, single spaces).
 
-    A null or empty text matches nothing, nor does an item that is null, has no id, or is shorter than LEAST. Items of equal
+    A null or empty text matches nothing, nor does an item that is null, has no id or only white space. An item shorter than
+    LEAST matches where it stands unchanged (as compared) and no word goes on at its ends. Items of equal
     text are all reported; rows repeated in the benchmark count once, and an id with several texts has them all. Repeated
     documents are all reported. No benchmark, no matches.
     """

@@ -255,3 +255,25 @@ def test_encoder_agrees_with_the_tokenizer():
     encoder = packing.Encoder(tokenizer_path())
     for text, ids in zip(texts, tokens(texts), strict=True):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids[:-1], repr(text)
+
+
+def test_short_items_are_sought_as_whole_words(spark, save):
+    rng = random.Random(4)
+    pool = ["what", "is", "2+2?", "who", "a", "cat", "cats", "capital", "of", "france", "(x)", "aaaa", "aa"]
+    items = [(i, dc.plain(" ".join(rng.choice(pool) for _ in range(rng.randint(1, 7))))) for i in range(60)]
+    index = dc.Index([(i, t) for i, t in items if len(t) < dc.LEAST])
+    texts = [" ".join(rng.choice([*pool, "x" + rng.choice(pool), rng.choice(pool) + "s,"]) for _ in range(rng.randint(0, 60))) for _ in range(150)]
+    for text, found in zip(texts, dc.find(index, texts), strict=True):
+        want = {}
+        for i, t in zip(index.ids, index.texts, strict=True):
+            at = [m.start() for m in re.finditer(f"(?={re.escape(t)})", text)]
+            at = [x for x in at if not (text[x - 1 : x].isalnum() and t[0].isalnum()) and not (text[x + len(t) : x + len(t) + 1].isalnum() and t[-1].isalnum())]
+            if at:
+                want[i] = (0, at[0], at[0] + len(t))
+        assert {m[0]: m[1:] for m in found} == want
+    assert dc.find(dc.Index([(1, "首都は何ですか")]), ["日本の首都は何ですかと"]) == [[(1, 0, 3, 10)]]
+
+    question, texts = "What is the capital of France?", ["So: what  is the Capital of France? Yes.", "what is the capital of frances", "no"]
+    path = save(documents=[(i, t, "en", "s", 1) for i, t in enumerate(texts)], benchmark=[(1, question), (2, " ")])
+    docs, benchmark = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "benchmark"))
+    assert {r.doc_id for r in dc.decontaminate(docs, benchmark).collect()} == {1, 2}
