@@ -63,3 +63,12 @@ def test_old_files_in_odd_case_are_picked_up(spark, tmp_path):
     then = time.time() - 400 * 86400
     os.utime(job_link_file(base, 2015, "AC2015ID.tXt"), (then, then))
     assert [s.filename for s in load_arrivals(spark, str(base), store).rows] == ["AC2015ID.tXt"]
+
+
+def test_rows_of_all_years_are_streamed(spark):
+    from laborlake import catalog
+
+    sf_dir = "/root/testdata/sf0.001"
+    want = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("year(l_shipdate) ano").groupBy("ano").count()
+    got = catalog.streamed_rows(spark, sf_dir).groupBy("ano").count()
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
