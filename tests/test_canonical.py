@@ -1,6 +1,6 @@
 from datetime import date
 
-from conftest import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW
+from registry_files import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW
 
 from laborlake.model import DATASETS
 from laborlake.operators.canonical import canonicalize, canonicalize_named, conform

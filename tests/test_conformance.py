@@ -1,4 +1,4 @@
-from conftest import HISTORIC, job_link_file, put, quote
+from registry_files import HISTORIC, job_link_file, put, quote
 
 from laborlake.model import DATASETS
 from laborlake.operators.canonical import resolve_aliases

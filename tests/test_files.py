@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import HISTORIC, NEW, job_link_file, put, quote
+from registry_files import HISTORIC, NEW, job_link_file, put, quote
 
 from laborlake.sources.files import discover, filter_files
 from laborlake.sources.headers import describe_headers, with_headers

@@ -3,7 +3,7 @@ import zlib
 from datetime import date
 
 import pytest
-from conftest import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW, job_link_file, put, quote
+from registry_files import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW, job_link_file, put, quote
 
 from laborlake.model import DATASETS
 from laborlake.operators.ledger import Ledger

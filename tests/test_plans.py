@@ -1,5 +1,5 @@
 import pytest
-from conftest import job_link_file, put
+from registry_files import job_link_file, put
 
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import os
 import time
 
-from conftest import HISTORIC, HISTORIC_ROW, job_link_file, put
+from registry_files import HISTORIC, HISTORIC_ROW, job_link_file, put
 
 from laborlake.model import DATASETS
 from laborlake.operators.ledger import Ledger
