@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlake.llm import decontaminate, html_extract, jaccard_join, line_dedup, packing, quality_classifier, quality_rules, sharding, suffix_dedup, warc
+from laborlake.llm import (
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    line_dedup,
+    merkle,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 from laborlake.llm.common import table
 from laborlake.session import new_folder
 
@@ -72,6 +84,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.try_add(F.col("n_chars"), F.lit(1).cast("long"))
+    tampered = F.when(chosen, merkle.leaf(n_chars=more))
+    rows = merkle.manifest(docs, tampered=tampered).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf")))
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("siblings", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,5 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_quality_classifier,
         op10_packing,
+        op12_merkle_manifest,
     )
 }
