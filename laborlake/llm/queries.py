@@ -14,6 +14,7 @@ from laborlake.llm import (
     line_dedup,
     merkle,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sharding,
@@ -84,6 +85,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    opening = F.crc32(F.col("conv_id").cast("string")) % 6
+    return prefix_trie.trie(prefix_trie.with_shared_openings(convs, group=100, opening=opening, most=5))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -114,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_quality_classifier,
         op10_packing,
+        op11_prefix_trie,
         op12_merkle_manifest,
     )
 }
