@@ -17,6 +17,7 @@ from laborlake.llm import (
     prefix_trie,
     quality_classifier,
     quality_rules,
+    secret_scan,
     sharding,
     suffix_dedup,
     warc,
@@ -108,6 +109,20 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda test: F.filter("_spans", lambda s: test(s["kind"]))
+    base = of(lambda kind: kind != "random")
+    return found.select(
+        "doc_id",
+        F.size(of(lambda kind: kind == "assign")).cast("long").alias("n_assign"),
+        F.size(of(lambda kind: kind == "access")).cast("long").alias("n_access"),
+        F.size(of(lambda kind: kind == "hex")).cast("long").alias("n_hex"),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("_spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
         op11_prefix_trie,
         op12_merkle_manifest,
+        op13_secret_scan,
     )
 }
