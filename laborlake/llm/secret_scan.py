@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that look drawn at random to two character Markov models.
 
 The models are first-order chains over the characters of identifiers. One is trained on what the fixed patterns label as
-secret, the other on all other long words and identifiers of the same texts, both over all documents. Their counts have a
+secret, the other on all words and identifiers that are too short to be judged, both over all documents. Their counts have a
 cell for each pair of characters, so what leaves the tasks has a fixed size. A run of such characters is a secret if the
 logarithm of the ratio of its likelihoods reaches a threshold.
 
@@ -29,7 +29,7 @@ KINDS = ("assign", "access", "hex", "random")
 #: The same matches as ACCESS and HEX without those that are too short, as a longer run cannot start inside one.
 LONG_ACCESS = r"AKIA[A-Z0-9]{16,}"
 LONG_HEX = r"[0-9a-f]{24,}"
-#: What the models read; runs of fewer characters are no secret on their own, and of fewer than ORDINARY no identifier.
+#: What the models read. Runs of CANDIDATE characters are judged; shorter ones, of ORDINARY at least, teach what is usual.
 SYMBOLS = "[A-Za-z0-9+/_=-]"
 CANDIDATE = 16
 ORDINARY = 8
@@ -37,8 +37,8 @@ ORDINARY = 8
 THRESHOLD = 2 * math.log(1e6)
 #: Half of the random model is uniform, as secrets come in more alphabets than the labelled ones.
 UNIFORM = 0.5
-#: Added to each count of the ordinary model.
-PSEUDO = 0.5
+#: The ordinary model takes a character's own frequency for so many of its pairs, and that counts each character so much more.
+BACKOFF, PSEUDO = 10.0, 0.5
 #: Different symbols; the codes of all lie in so many values from the first.
 ALPHABET, FIRST_CODE, CODES = 67, 43, 80
 #: Matches whose places are added up together; keeps the time for a text linear in its matches.
@@ -108,7 +108,7 @@ def _without(text: Column, *patterns: str) -> Column:
 
 
 def cell_counts(docs: DataFrame) -> DataFrame:
-    """secret (boolean), cell, n: pairs of characters in labelled secrets, and in all other words and identifiers."""
+    """secret (boolean), cell, n: pairs of characters in labelled secrets, and in ordinary words and identifiers."""
     text = F.coalesce(F.col("text"), F.lit(""))
     kept = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     secret = F.concat(
@@ -117,6 +117,7 @@ def cell_counts(docs: DataFrame) -> DataFrame:
         F.regexp_extract_all(_without(text, ASSIGN, LONG_ACCESS), F.lit(LONG_HEX), F.lit(0)),
     )
     other = F.regexp_extract_all(_without(text, ASSIGN, LONG_ACCESS, LONG_HEX), F.lit(f"{SYMBOLS}{{{ORDINARY},}}"), F.lit(0))
+    other = F.filter(other, lambda r: F.length(r) < CANDIDATE)
     labelled = F.concat(
         F.transform(secret, lambda s: F.struct(F.lit(True).alias("secret"), s.alias("run"))),
         F.transform(other, lambda s: F.struct(F.lit(False).alias("secret"), s.alias("run"))),
@@ -134,13 +135,16 @@ def weights(counts: DataFrame) -> list[float]:
     seen: dict[bool, list[int]] = {True: [0] * (CODES * CODES), False: [0] * (CODES * CODES)}
     for row in counts.collect():
         seen[row.secret][row.cell] = row.n
+    ordinary = [sum(seen[False][second::CODES]) + PSEUDO for second in range(CODES)]
+    whole = sum(ordinary) - PSEUDO * (CODES - ALPHABET)
+    alone = [n / whole for n in ordinary]
     made = []
     for first in range(CODES):
-        random, ordinary = (seen[s][first * CODES : (first + 1) * CODES] for s in (True, False))
-        n, m = sum(random), sum(ordinary)
-        for r, o in zip(random, ordinary, strict=True):
+        random, usual = (seen[s][first * CODES : (first + 1) * CODES] for s in (True, False))
+        n, m = sum(random), sum(usual)
+        for r, o, one in zip(random, usual, alone, strict=True):
             drawn = UNIFORM / ALPHABET + (1 - UNIFORM) * (r / n if n else 1 / ALPHABET)
-            made.append(math.log(drawn * (m + PSEUDO * ALPHABET) / (o + PSEUDO)))
+            made.append(math.log(drawn * (m + BACKOFF) / (o + BACKOFF * one)))
     return made
 
 
@@ -148,11 +152,12 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` with `_spans` (start, end in code points, kind as in KINDS), by start and then kind.
 
     Spans of the fixed kinds may overlap each other; those of the models overlap none. Digits alone are a number and no
-    secret of the models. Without labelled secrets the random model is uniform; without other words the models
-    agree and add nothing. A null text has no spans. Repeated rows, null ids and other columns stay as they are.
+    secret of the models. Without labelled secrets the random model is uniform; without ordinary words
+    both are nearly so, and add little. A null text has no spans. Repeated rows, null ids and other columns stay as they are.
     No rows, no result.
     """
-    ratios = F.array(*map(F.lit, weights(cell_counts(docs))))
+    # One literal that the optimizer reads once; thousands of them would be planned one by one.
+    ratios = F.split(F.lit(",".join(map(repr, weights(cell_counts(docs))))), ",").cast("array<double>")
     text = F.coalesce(F.col("text"), F.lit(""))
     candidates = f"{SYMBOLS}{{{CANDIDATE},}}"
 

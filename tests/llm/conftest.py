@@ -12,6 +12,7 @@ TABLES = {
     "labels": "doc_id long, quality int, toxic int",
     "pages": "page_id long, url string, html string",
     "benchmark": "item_id long, text string",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 #: Columns that a caller might have and the operators use inside.
 EXTRA = ", size long, shard int, node long, n long, key string, n_runs long, text_hash long, kept boolean, `a.b` string"
@@ -63,7 +64,7 @@ def odd_pages() -> list[tuple]:
 
 def write(spark, folder, **tables) -> str:
     for name, schema in TABLES.items():
-        rows, extra = tables.get(name, []), EXTRA if name in ("documents", "pages") else ""
+        rows, extra = tables.get(name, []), EXTRA if name in ("documents", "pages", "conversations") else ""
         width = len(schema.split(", "))
         padded = [tuple(r) + (7, 1, 2, 3, "k", 4, 5, True, "dot") if extra else r for r in rows]
         assert all(len(r) == width for r in rows)
