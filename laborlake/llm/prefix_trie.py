@@ -192,7 +192,7 @@ def trie(convs: DataFrame) -> DataFrame:
     children = nodes.groupBy(F.col("parent").alias("name")).agg(F.count(F.lit(1)).alias("n_children"))
     valued = nodes.join(children, "name", "left").fillna(0, ["n_children"])
     valued = valued.withColumns({"n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("members") - 1) * F.col("chars")})
-    totals = _totals(valued, levels, ["n_leaves", "saved_tokens"])
+    totals = written(_totals(valued, levels, ["n_leaves", "saved_tokens"]), "totals")
     hashes = _joined_ids(cut.select(F.col("end").alias("name"), "conv_id"))
 
     below = valued.drop("n_leaves", "saved_tokens", "path", "end_level").join(totals, "name")
