@@ -1,13 +1,22 @@
-"""The ledger of loaded files: an append-only table whose newest row per file counts."""
+"""The ledger of loaded files: an append-only table whose newest row per file counts.
+
+Every change is an entry with a number of its own. Its rows are written first, then a small file named by the number
+publishes them; the number is taken by whoever makes that file first, and others go on to the next. So the order of
+entries, not the writers' clocks, says what is newest, and rows that were never published count nowhere.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laborlake.functions.cleaning import gigabytes
-from laborlake.sources.files import hadoop_fs
+from laborlake.sources.files import create_once, escape_glob, hadoop_fs
 
 KEY = ["dataset", "ano", "filename"]
 
@@ -20,28 +29,33 @@ STRUCT = T.StructType(
         T.StructField("size_bytes", T.LongType()),
         T.StructField("processed_at", T.TimestampType()),
         T.StructField("deleted", T.BooleanType()),
+        T.StructField("version", T.LongType()),
     ]
 )
+#: Of a published entry: its number, the folder of its rows, and the entries it stands for if it is a compaction.
+LOG = "entry bigint, data string, upto bigint"
 
 
 def current(entries: DataFrame) -> DataFrame:
     """Newest row per file, without files whose newest row is a removal.
 
     A maximum over a struct, so each task reduces its own rows before the shuffle; a window would send
-    every version of a file to one task.
+    every version of a file to one task. Rows without a number of their entry are ordered by time.
     """
-    newest = F.max(F.struct("processed_at", (~F.col("deleted")).alias("live"), "rows", "size_bytes")).alias("n")
+    order = [c for c in ("entry", "processed_at") if c in entries.columns]
+    version = ["version"] if "version" in entries.columns else []
+    newest = F.max(F.struct(*order, (~F.col("deleted")).alias("live"), "rows", "size_bytes", *version)).alias("n")
     return (
         entries.groupBy(*KEY)
         .agg(newest)
         .where("n.live")
-        .select(*KEY, "n.rows", "n.size_bytes", "n.processed_at")
+        .select(*KEY, "n.rows", "n.size_bytes", "n.processed_at", *[f"n.{v}" for v in version])
     )
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows from a JSON array of entries, as other tools over the same sources keep them."""
-    fields = [f for f in STRUCT if f.name != "deleted"]
+    fields = [f for f in STRUCT if f.name not in ("deleted", "version")]
     return (
         spark.read.schema(T.StructType(fields))
         .option("multiLine", True)
@@ -120,15 +134,39 @@ class Ledger:
         self.spark = spark
         self.path = f"{store.rstrip('/')}/_ledger"
 
+    def log(self) -> list[Row]:
+        """What is published: a row for each load, removal or compaction since the last compaction."""
+        fs, folder = hadoop_fs(self.spark, f"{self.path}/log")
+        if not fs.exists(folder):
+            return []
+        found = self.spark.read.schema(LOG).json(f"{self.path}/log").collect()
+        upto = max((r.upto for r in found if r.upto is not None), default=0)
+        return [r for r in found if r.entry > upto and (r.upto is None or r.upto == upto)]
+
     def entries(self) -> DataFrame:
+        """All rows with the number of their entry; 0 for those of a ledger without numbers."""
+        parts = []
+        if found := self.log():
+            rows = self.spark.read.schema(STRUCT).parquet(*[f"{self.path}/data/{r.data}" for r in found])
+            # A compaction has the rank of the last entry that it stands for.
+            numbers = [(r.data, r.entry if r.upto is None else r.upto) for r in found]
+            folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+            parts.append(rows.withColumn("data", folder).join(self.spark.createDataFrame(numbers, "data string, entry bigint"), "data").drop("data"))
         fs, root = hadoop_fs(self.spark, self.path)
-        if not fs.exists(root):
-            return self.spark.createDataFrame([], STRUCT)
-        return self.spark.read.schema(STRUCT).parquet(self.path)
+        if fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(root, "*.parquet")):
+            plain = self.spark.read.schema(STRUCT).parquet(f"{escape_glob(root.toString())}/*.parquet")
+            parts.append(plain.withColumn("entry", F.lit(0).cast("long")))
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*STRUCT, T.StructField("entry", T.LongType())]))
+        return reduce(DataFrame.unionByName, parts)
 
     def current(self) -> DataFrame:
         return current(self.entries())
 
+    def live_versions(self, dataset: str | None = None) -> DataFrame:
+        """(version) of what readers may see."""
+        return filter_done(self.current(), dataset).where("version IS NOT NULL").select("version")
+
     def list_done(self, dataset: str | None = None, year: int | None = None) -> DataFrame:
         return filter_done(self.current(), dataset, year)
 
@@ -143,37 +181,51 @@ class Ledger:
         return self.current().count()
 
     def mark_done(self, files: DataFrame) -> None:
-        """Record files with their ``rows`` and ``size_bytes``."""
-        self._append(files.select(*KEY, "rows", "size_bytes"), deleted=False)
+        """Record files with their ``rows`` and ``size_bytes``, and the ``version`` of their rows in the tables, if any."""
+        version = F.col("version") if "version" in files.columns else F.lit(None)
+        self._append(files.select(*KEY, "rows", "size_bytes", version.cast("long").alias("version")), deleted=False)
 
     def remove(self, files: DataFrame) -> None:
         """Record that files are no longer done."""
         nothing = F.lit(None).cast("long")
-        self._append(files.select(*KEY, nothing.alias("rows"), nothing.alias("size_bytes")), deleted=True)
+        self._append(files.select(*KEY, *[nothing.alias(c) for c in ("rows", "size_bytes", "version")]), deleted=True)
 
     def adopt(self, entries: DataFrame) -> None:
-        """Take over entries with the time they carry."""
-        self._write(entries)
+        """Take over entries with the time they carry, but for files of which a later one is listed."""
+        listed = self.current().select(*KEY, F.col("processed_at").alias("_at"))
+        late = entries.join(listed, KEY, "left").where("_at IS NULL OR processed_at >= _at").drop("_at")
+        self._publish(late.withColumn("version", F.lit(None)))
 
     def _append(self, rows: DataFrame, deleted: bool) -> None:
-        self._write(rows.select("*", F.current_timestamp().alias("processed_at"), F.lit(deleted).alias("deleted")))
+        self._publish(rows.select("*", F.current_timestamp().alias("processed_at"), F.lit(deleted).alias("deleted")))
 
     def compact(self) -> None:
         """Put the newest row per file in place of all rows so far.
 
-        The new files are added before the old ones go. In between, and after an interruption, files are listed twice,
-        which changes nothing.
+        The new entry says up to which number it stands for others, so what another writer publishes meanwhile still counts
+        after it. The old files go when it is published; an interruption leaves files that nothing refers to.
         """
+        old = self.log()
         fs, root = hadoop_fs(self.spark, self.path)
-        if not fs.exists(root):
-            return
         path_of = self.spark._jvm.org.apache.hadoop.fs.Path
-        old = [status.getPath() for status in fs.globStatus(path_of(root, "*.parquet")) or []]
-        self._write(self.current().withColumn("deleted", F.lit(False)))
-        for path in old:
+        plain = [status.getPath() for status in fs.globStatus(path_of(root, "*.parquet")) or []]
+        if not old and not plain:
+            return
+        upto = max((r.entry for r in old), default=0)
+        self._publish(self.current().withColumn("deleted", F.lit(False)), upto)
+        for path in plain:
             fs.delete(path, False)
+        for r in old:
+            fs.delete(path_of(root, f"log/{r.entry:020d}.json"), False)
+            fs.delete(path_of(root, f"data/{r.data}"), True)
 
-    def _write(self, entries: DataFrame) -> None:
-        """Few files per call: small parts are joined at run time, many rows stay in many tasks."""
+    def _publish(self, entries: DataFrame, upto: int | None = None) -> None:
+        """Write rows, in few files, and publish them under the next number that nobody has."""
         rows = entries.select(*[F.col(f.name).cast(f.dataType) for f in STRUCT])
-        rows.hint("rebalance").write.mode("append").parquet(self.path)
+        data = uuid.uuid4().hex
+        rows.hint("rebalance").write.parquet(f"{self.path}/data/{data}")
+        fs, folder = hadoop_fs(self.spark, f"{self.path}/log")
+        taken = [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+        number = max((int(n[:20]) for n in taken if n[:20].isdigit()), default=0) + 1
+        while not create_once(self.spark, f"{self.path}/log/{number:020d}.json", json.dumps({"entry": number, "data": data, "upto": upto})):
+            number += 1

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,10 +106,11 @@ def load(
 ) -> LoadResult:
     """Load the files below ``source`` that the store's ledger does not list yet.
 
-    ``force`` loads listed files again and replaces their rows. ``strict`` refuses files that lack a required
-    column instead of filling it with NULL, and files with rows longer than the header instead of dropping these. ``multiline`` accepts quoted line breaks, at the price of one
-    task per file. ``shape`` says how rows are brought together before the write: "direct" not at all,
-    "spread" by year, state and file, "auto" only for files that hold many states.
+    ``force`` loads listed files again and replaces their rows, which readers see until the new ones are complete.
+    ``strict`` refuses files that lack a required column instead of filling it with NULL, and files with rows longer than
+    the header instead of dropping these. Files with line breaks inside quotes are noticed and read again as such;
+    ``multiline`` takes all files for such from the start. ``shape`` says how rows are brought together before the write:
+    "direct" not at all, "spread" by year, state and file, "auto" only for files that hold many states.
     """
     files = filter_files(discover(spark, source), dataset, year, state)
     return load_files(spark, files, store, **options)
@@ -154,24 +158,22 @@ def batches(plan: list[Source], limit: int) -> Iterable[list[Source]]:
 def load_batch(
     spark: SparkSession, batch: list[Source], store: str, ledger: Ledger, opts: Options, result: LoadResult
 ) -> None:
-    """Withdraw the files, remove their old rows, write, count what was written, record.
+    """Write new versions of the files, count what was written, and publish all that succeeded by one entry of the ledger.
 
-    An interruption anywhere leaves a file unlisted, and the next run starts with removing what it left, so
-    no row is ever stored twice.
+    Until then readers see what they saw before, and so they do after an interruption anywhere. Versions that earlier
+    loads replaced are deleted first; the one replaced now stays for those who are reading it.
     """
-    keys = spark.createDataFrame([s.key for s in batch], "dataset string, ano int, filename string")
-    listed = keys.join(ledger.current().select(*KEY), KEY, "left_semi")
-    if opts.force and not listed.isEmpty():
-        ledger.remove(listed)
     by_dataset: dict[str, list[Source]] = defaultdict(list)
     for s in batch:
         by_dataset[s.dataset].append(s)
 
-    done: dict[Source, int] = {}
+    done: dict[Source, Stored] = {}
     for name, sources in by_dataset.items():
         target = dataset(name)
-        tables.remove(spark, store, target, [(s.ano, s.filename) for s in sources])
-        done.update({s: 0 for s in sources if s.size_bytes == 0})
+        if tables.depth(spark, store, target) not in (0, len(tables.PARTITIONS)):
+            raise ValueError(f"{tables.table_path(store, target)} has no folders of versions; load into another store")
+        remove_replaced(spark, sources, store, target, ledger)
+        done.update({s: Stored(0, "") for s in sources if s.size_bytes == 0})
         layouts = layouts_of(spark, [s for s in sources if s.size_bytes > 0], target, opts, result.failed)
         many_states = [s for s in layouts if opts.shape == "spread" or (opts.shape == "auto" and not s.uf_hint)]
         one_state = [s for s in layouts if s not in set(many_states)]
@@ -179,15 +181,56 @@ def load_batch(
             done.update(write_group(spark, group, layouts, target, store, spread, opts, result))
 
     if done:
-        result.rows.update(done)
-        rows = [(*s.key, n, s.size_bytes) for s, n in done.items()]
-        ledger.mark_done(spark.createDataFrame(rows, LOADED))
+        result.rows.update({s: stored.rows for s, stored in done.items()})
+        rows = [(*s.key, stored.rows, s.size_bytes, stored.load) for s, stored in done.items()]
+        entry = spark.createDataFrame(rows, f"{LOADED}, load string")
+        ledger.mark_done(entry.withColumn("version", F.xxhash64("load", "ano", "filename")))
 
 
-def named_in(error: Exception, sources: list[Source]) -> list[Source]:
-    """The files that an error of the engine names. None for one that has nothing to do with a file."""
-    text = unquote(str(error))
-    return [s for s in sources if s.path.partition(":")[2].lstrip("/") in text or s.path in text]
+def remove_replaced(spark: SparkSession, sources: list[Source], store: str, target: Dataset, ledger: Ledger) -> None:
+    """Delete versions of the files that the ledger named once and names no more."""
+    entries = ledger.entries().where("version IS NOT NULL").where(F.col("dataset") == target.name)
+    keys = spark.createDataFrame([s.key for s in sources], "dataset string, ano int, filename string")
+    old = entries.join(keys, KEY, "left_semi").join(ledger.live_versions(target.name), "version", "left_anti")
+    named = {(r.ano, r.filename, r.version) for r in old.select("ano", "filename", "version").distinct().collect()}
+    if named:
+        tables.remove(spark, store, target, named)
+
+
+#: Errors of the engine that say which file could not be read.
+READ_ERRORS = ("FAILED_READ_FILE", "PATH_NOT_FOUND")
+
+
+def _causes(error: BaseException) -> Iterator[tuple[str | None, dict[str, str]]]:
+    """Condition and parameters of an error of the engine and of what caused it."""
+    if hasattr(error, "getCondition"):
+        yield error.getCondition(), dict(error.getMessageParameters() or {})
+    thrown = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while thrown is not None:
+        if thrown.getClass().getName().startswith("org.apache.spark") and hasattr(thrown, "getCondition"):
+            try:
+                yield thrown.getCondition(), dict(thrown.getMessageParameters())
+            except Py4JError:  # an exception without conditions
+                pass
+        thrown = thrown.getCause()
+
+
+def plain_path(path: str) -> str:
+    """A path without the slashes that stand for no host."""
+    return re.sub("^([^:/]+):/+(?=/[^/])", r"\1:", path)
+
+
+def named_in(error: BaseException, sources: list[Source]) -> list[Source]:
+    """The file that the engine could not read, by the error's own parameter. None if the error is about no file.
+
+    Its message, in which other names may stand, says nothing here.
+    """
+    paths = set()
+    for condition, parameters in _causes(error):
+        if condition and condition.startswith(READ_ERRORS) and parameters.get("path"):
+            path = parameters["path"]
+            paths |= {plain_path(path), plain_path(unquote(path))}
+    return [s for s in sources if plain_path(s.path) in paths]
 
 
 def message(error: Exception) -> str:
@@ -228,7 +271,7 @@ def layouts_of(
 
 
 def scans(
-    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], multiline: bool
+    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], breaks: bool
 ) -> Iterable[tuple[int, Layout, DataFrame]]:
     """One scan per layout and year: fields are bound to headers by position, and the year is then a literal."""
     groups: dict[tuple[int, Layout], list[Source]] = defaultdict(list)
@@ -236,16 +279,16 @@ def scans(
         groups[s.ano, layouts[s]].append(s)
     for (ano, layout), members in groups.items():
         plain = all(is_plain(s.filename) for s in members)
-        yield ano, layout, scan(spark, [s.path for s in members], layout, multiline=multiline, plain_names=plain)
+        yield ano, layout, scan(spark, [s.path for s in members], layout, quoted_breaks=breaks, plain_names=plain)
 
 
 def text_rows(
-    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, multiline: bool = False
+    spark: SparkSession, sources: list[Source], layouts: dict[Source, Layout], target: Dataset, breaks: bool = False
 ) -> DataFrame:
     """All rows of the files under canonical names, still as text, with file name and marks."""
     frames = [
         bind(raw, target, list(layout.headers), ano, keep=[FILE, TOO_LONG, CUT])
-        for ano, layout, raw in scans(spark, sources, layouts, multiline)
+        for ano, layout, raw in scans(spark, sources, layouts, breaks)
     ]
     return reduce(DataFrame.unionByName, frames)
 
@@ -255,6 +298,14 @@ def is_plain(name: str) -> bool:
     return name.isascii() and all(ch.isalnum() or ch in "-_.~" for ch in name)
 
 
+@dataclass(frozen=True)
+class Stored:
+    """Rows of a file in the tables, and the load that wrote them."""
+
+    rows: int
+    load: str
+
+
 def write_group(
     spark: SparkSession,
     sources: list[Source],
@@ -264,24 +315,29 @@ def write_group(
     spread: bool,
     opts: Options,
     result: LoadResult,
-) -> dict[Source, int]:
-    """Write files in one job; returns rows stored per file.
+) -> dict[Source, Stored]:
+    """Write files in one job; returns what is stored of each.
 
     A file that the engine cannot read is set aside, and the others are tried again. Any other error says nothing about a
-    file and ends the load; what it has left is unlisted, and the next run removes it.
+    file and ends the load; what it has left is in no ledger.
     """
-    left = sources
+    left, breaks = sources, set(sources) if opts.multiline else set()
+    done: dict[Source, Stored] = {}
     while left:
+        now = [s for s in left if s not in breaks] or left
         try:
-            return write_files(spark, left, layouts, target, store, spread, opts, result)
+            stored, again = write_files(spark, now, layouts, target, store, spread, opts, result, now[0] in breaks)
         except Exception as error:
-            bad = named_in(error, left)
+            bad = named_in(error, now)
             if not bad:
                 raise
             result.failed.update({s: message(error) for s in bad})
-            tables.remove(spark, store, target, [(s.ano, s.filename) for s in bad])
             left = [s for s in left if s not in set(bad)]
-    return {}
+            continue
+        done.update(stored)
+        breaks |= set(again)
+        left = [s for s in left if s not in set(now)] + again
+    return done
 
 
 def write_files(
@@ -293,44 +349,56 @@ def write_files(
     spread: bool,
     opts: Options,
     result: LoadResult,
-) -> dict[Source, int]:
-    # Also when a retry follows a failure after the write.
-    tables.remove(spark, store, target, [(s.ano, s.filename) for s in sources])
+    breaks: bool,
+) -> tuple[dict[Source, Stored], list[Source]]:
+    """What is stored of each file, and files with line breaks inside quotes, which are to be read as such."""
+    load = uuid.uuid4().hex
     own = own_session(spark, WRITE_SETTINGS)
     seen = Observation()
     # The observation also keeps the cleaning above the union, to be compiled once and not per scan.
     # Names of files with marked rows: as a rule none.
     odd = F.collect_set(F.when(F.col(TOO_LONG) | F.col(CUT), F.struct(F.col("ano"), F.col(FILE))))
-    text = text_rows(own, sources, layouts, target, opts.multiline).observe(seen, odd.alias("odd"))
+    text = text_rows(own, sources, layouts, target, breaks).observe(seen, odd.alias("odd"))
     rows = clean(text.where(~F.col(TOO_LONG)), target, keep=[FILE])
-    tables.write(tables.spread(rows) if spread else rows, store, target)
-    stored = rows_stored(spark, sources, target, store)
+    tables.write(tables.spread(rows) if spread else rows, store, target, load)
+    versions = versions_of(spark, sources, load)
+    stored = rows_stored(spark, sources, target, store, versions)
     # Nothing stored: the plan may have been emptied, and what it observes with it.
     names = {(r[0], r[1]) for r in seen.get["odd"]} if any(stored.values()) else {(s.ano, s.filename) for s in sources}
     suspects = [s for s in stored if (s.ano, s.filename) in names]
-    for s, (n_long, n_cut) in count_marked(own, suspects, layouts, opts).items():
-        if n_cut and not opts.multiline:
-            why = f"layout: {n_cut} rows end inside quotes; quoted line breaks need multiline=True"
+    again = []
+    for s, (n_long, n_cut) in count_marked(own, suspects, layouts, breaks).items():
+        if n_cut and not breaks:
+            again.append(s)
+        elif n_cut:
+            result.failed[s] = "layout: quotes that never close"
         elif n_long and opts.strict:
-            why = f"layout: {n_long} rows have more fields than the header"
+            result.failed[s] = f"layout: {n_long} rows have more fields than the header"
         else:
             if n_long:
                 result.long_rows[s] = n_long
             continue
-        tables.remove(spark, store, target, [(s.ano, s.filename)])
-        result.failed[s] = why
+        tables.remove(spark, store, target, [(s.ano, s.filename, versions[s])])
         del stored[s]
-    return stored
+    return {s: Stored(n, load) for s, n in stored.items()}, again
+
 
+def versions_of(spark: SparkSession, sources: list[Source], load: str) -> dict[Source, int]:
+    names = spark.createDataFrame([(s.ano, s.filename) for s in sources], f"ano int, {FILE} string")
+    found = {(r.ano, r[FILE]): r.version for r in names.select("*", tables.version(load).alias("version")).collect()}
+    return {s: found[s.ano, s.filename] for s in sources}
 
-def rows_stored(spark: SparkSession, sources: list[Source], target: Dataset, store: str) -> dict[Source, int]:
-    counts = tables.rows_of_files(spark, store, target, [(s.ano, s.filename) for s in sources])
+
+def rows_stored(
+    spark: SparkSession, sources: list[Source], target: Dataset, store: str, versions: dict[Source, int]
+) -> dict[Source, int]:
+    counts = tables.rows_of_versions(spark, store, target, [(s.ano, s.filename, versions[s]) for s in sources])
     found = {(r.ano, r[FILE]): r.rows for r in counts.collect()}
     return {s: found.get((s.ano, s.filename), 0) for s in sources}
 
 
 def count_marked(
-    spark: SparkSession, suspects: list[Source], layouts: dict[Source, Layout], opts: Options
+    spark: SparkSession, suspects: list[Source], layouts: dict[Source, Layout], breaks: bool
 ) -> dict[Source, tuple[int, int]]:
     """Over-long and cut rows per file, by a second scan of files that are known to have some."""
     if not suspects:
@@ -338,7 +406,7 @@ def count_marked(
     # A data column takes part because the reader refuses to be asked for broken rows alone.
     marks = [
         raw.selectExpr(f"{ano} AS ano", FILE, TOO_LONG, CUT, "_c0")
-        for ano, _, raw in scans(spark, suspects, layouts, opts.multiline)
+        for ano, _, raw in scans(spark, suspects, layouts, breaks)
     ]
     counts = (
         reduce(DataFrame.unionByName, marks)

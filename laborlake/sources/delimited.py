@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from laborlake.sources.files import escape_glob
 from laborlake.sources.headers import ENCODING, decoded_uri
+from laborlake.sources.quoted import records_of
 
 BROKEN = "_broken"
 TOO_LONG = "_too_long"
@@ -29,7 +30,8 @@ class Layout:
         fields = [T.StructField(f"_c{i}", T.StringType()) for i in range(len(self.headers))]
         return T.StructType([*fields, T.StructField(BROKEN, T.StringType())])
 
-    def options(self, multiline: bool = False) -> dict[str, object]:
+    def options(self, breaks: bool = False) -> dict[str, object]:
+        """Of the reader; with `breaks` of the parser of one record, which may hold line breaks."""
         # With column pruning the reader would no longer notice rows of the wrong length.
         return {
             "sep": self.sep,
@@ -40,7 +42,7 @@ class Layout:
             "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": BROKEN,
             "columnPruning": False,
-            "multiLine": multiline,
+            "multiLine": breaks,
         }
 
 
@@ -64,24 +66,30 @@ def cut_in_two() -> str:
 
 
 def scan(
-    spark: SparkSession, paths: list[str], layout: Layout, *, multiline: bool = False, plain_names: bool = False
+    spark: SparkSession, paths: list[str], layout: Layout, *, quoted_breaks: bool = False, plain_names: bool = False
 ) -> DataFrame:
     """All rows of the files as text by position, with the file name and marks on over-long and cut rows.
 
+    ``quoted_breaks`` reads files with line breaks inside quotes; a row that it marks as cut has quotes that never close.
     ``plain_names`` promises that no file name needs percent-encoding, which saves decoding it per row.
     """
-    df = spark.read.schema(layout.struct).options(**layout.options(multiline)).csv([escape_glob(p) for p in paths])
+    if quoted_breaks:
+        records = records_of(spark, paths)
+        parsed = F.from_csv("record", layout.struct.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), layout.options(True))
+        rows = records.select(parsed.alias("row"), "path", "open").select("row.*", "path", "open")
+        return marked(rows, layout, plain_names, path="path", cut="open")
+    df = spark.read.schema(layout.struct).options(**layout.options()).csv([escape_glob(p) for p in paths])
     return marked(df, layout, plain_names)
 
 
-def marked(df: DataFrame, layout: Layout, plain_names: bool) -> DataFrame:
+def marked(df: DataFrame, layout: Layout, plain_names: bool, path: str = "input_file_name()", cut: str | None = None) -> DataFrame:
     # The scan's metadata column would carry the same name, but copies every row once more to add it.
-    name = "substring_index(input_file_name(), '/', -1)"
+    name = f"substring_index({path}, '/', -1)"
     return df.selectExpr(
         *[f"_c{i}" for i in range(len(layout.headers))],
         f"{name if plain_names else decoded_uri(name)} AS {FILE}",
         f"{too_long(layout)} AS {TOO_LONG}",
-        f"{cut_in_two()} AS {CUT}",
+        f"{cut or cut_in_two()} AS {CUT}",
     )
 
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from laborlake.sources.headers import decoded_uri, own_session
+
 # Folder and file names under which the yearly extracts are published.
 ESTABLISHMENT_FOLDER = "RAIS Estabelecimentos"
 JOB_LINK_FOLDER = "RAIS Vínculos"
@@ -32,6 +37,37 @@ def hadoop_fs(spark: SparkSession, path: str):
     return fs, fs.makeQualified(p)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with this content; False if there is one already, which then stays as it is.
+
+    Of several writers one succeeds, whatever their clocks say. Locally a hard link decides, elsewhere a rename, which must
+    not replace a file, as on HDFS.
+    """
+    fs, target = hadoop_fs(spark, path)
+    name = f".{target.getName()}-{uuid.uuid4().hex}"
+    if fs.getUri().getScheme() == "file":
+        folder = Path(target.getParent().toUri().getPath())
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(text, encoding="utf-8")
+        try:
+            os.link(folder / name, folder / target.getName())
+        except FileExistsError:
+            return False
+        finally:
+            (folder / name).unlink()
+        return True
+    part = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), name)
+    with_text = fs.create(part, False)
+    try:
+        with_text.write(bytearray(text, "utf-8"))
+    finally:
+        with_text.close()
+    made = not fs.exists(target) and fs.rename(part, target)
+    if not made:
+        fs.delete(part, False)
+    return made
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     return hadoop_fs(spark, path)[1].toString()
 
@@ -39,20 +75,24 @@ def qualify(spark: SparkSession, path: str) -> str:
 def list_files(spark: SparkSession, base: str) -> DataFrame:
     """(path, size_bytes) of every file below the two dataset folders, empty ones included.
 
-    Only names and lengths pass through the driver, as in any Spark scan.
+    The engine lists folders in tasks, as for any scan. Its reader leaves out empty files, and its index, whose names
+    stay in the JVM, has them too. As everywhere in the engine, names that start with "_" or "." are hidden.
     """
     fs, root = hadoop_fs(spark, base)
     path_of = spark._jvm.org.apache.hadoop.fs.Path
-    rows = []
-    for folder, recursive in ((ESTABLISHMENT_FOLDER, False), (JOB_LINK_FOLDER, True)):
-        top = path_of(root, folder)
-        if not (fs.exists(top) and fs.getFileStatus(top).isDirectory()):
-            continue
-        found = fs.listFiles(top, recursive)
-        while found.hasNext():
-            status = found.next()
-            rows.append((status.getPath().toString(), status.getLen()))
-    return spark.createDataFrame(rows, RAW_LISTING)
+    tops = [path_of(root, folder) for folder in (ESTABLISHMENT_FOLDER, JOB_LINK_FOLDER)]
+    tops = [escape_glob(top.toString()) for top in tops if fs.exists(top) and fs.getFileStatus(top).isDirectory()]
+    if not tops:
+        return spark.createDataFrame([], RAW_LISTING)
+    own = own_session(spark, {"spark.sql.sources.parallelPartitionDiscovery.threshold": "0"})
+    found = own.read.format("binaryFile").option("recursiveFileLookup", True).load(tops)
+    jvm = spark._jvm
+    index = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found._jdf.inputFiles())
+    every = own._jsparkSession.createDataset(index, jvm.org.apache.spark.sql.Encoders.STRING())
+    # Names are URIs there; without a host these have two slashes more than the engine's paths.
+    name = F.regexp_replace(F.expr(decoded_uri("value")), "^([^:/]+):///", "$1:/")
+    names = DataFrame(every.toDF(), own).select(name.alias("path"))
+    return names.join(found.select("path", "length"), "path", "left").select("path", F.coalesce("length", F.lit(0)).cast("long").alias("size_bytes"))
 
 
 def _fully(c: Column, pattern: str) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +13,9 @@ from laborlake.functions.headers import delimiter, header_names
 
 ENCODING = "ISO-8859-1"
 #: Bytes read at a time until the first line ends.
-PIECE = 1 << 15
-FILES_PER_TASK = 64
+PIECE = 1 << 13
+#: Files open at a time, and files whose names wait for that.
+READERS, FILES_AT_ONCE = 32, 4096
 
 
 def decoded_uri(c: str) -> str:
@@ -32,50 +37,50 @@ def describe_headers(lines: DataFrame) -> DataFrame:
     return lines.withColumn("sep", delimiter(text)).withColumn("headers", header_names(text))
 
 
-def read_headers(files: DataFrame) -> DataFrame:
-    """``files`` (path, size_bytes, ...) with ``line`` and ``error``: the first line of each, or why it can't be read.
+def first_line(spark: SparkSession, path: str) -> bytes:
+    """The first line of a file on any store that the engine opens, read piece by piece until it ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        line = b""
+        while more := stream.readNBytes(PIECE):
+            line += more
+            if b"\n" in more:
+                break
+        return line.partition(b"\n")[0]
+    finally:
+        stream.close()
+
 
-    A task opens one file after the other and reads each until its first line ends, so what is read does not depend on
-    how large a file is. One that can't be read does not stop the others. An empty file has no line.
+def read_headers(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(path, number, error) of each file that is not empty, and (number, line) of the few different first lines.
+
+    Threads of the driver open one file after the other through the engine's own file systems, so whatever it can scan
+    has a header, and what is read does not depend on how large a file is. A file that can't be read does not stop the
+    others. A name and a number stay of each file; lines are kept once, however many files share them.
     """
+    spark = files.sparkSession
+
+    def look(path: str) -> tuple[str, bytes | None, str | None]:
+        try:
+            return path, first_line(spark, path), None
+        except Py4JJavaError as error:
+            return path, None, str(error.java_exception.toString())
 
-    # Local, so that it travels by value: executors need not have this package.
-    def first_lines(batches, piece=PIECE):
-        import pyarrow as pa
-        from pyarrow import fs
-
-        def first_line(path: str) -> bytes:
-            if path.startswith(("/", "file:")):
-                place = path.removeprefix("file:")
-                files, name = fs.LocalFileSystem(), "/" + place.lstrip("/")
-            else:
-                scheme, _, rest = path.partition("://")
-                host, _, name = rest.partition("/")
-                files, root = fs.FileSystem.from_uri(f"{scheme}://{host}/")
-                name = f"{root.rstrip('/')}/{name}"
-            line = b""
-            with files.open_input_stream(name, compression=None, buffer_size=0) as source:
-                while (more := source.read(piece)) and b"\n" not in line:
-                    line += more
-            return line.partition(b"\n")[0]
-
-        for batch in batches:
-            lines, errors = [], []
-            for path in batch.column("path").to_pylist():
-                try:
-                    lines.append(first_line(path))
-                    errors.append(None)
-                except Exception as error:  # noqa: BLE001 - told in the row
-                    lines.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lines, pa.binary()), pa.array(errors, pa.string())], ["path", "raw", "error"])
-
-    some = files.where("size_bytes > 0").select("path")
-    spread = some.repartition(max(1, -(-some.count() // FILES_PER_TASK)))
-    found = spread.mapInArrow(first_lines, "path string, raw binary, error string")
-    return files.join(found.select("path", F.decode("raw", ENCODING).alias("line"), "error"), "path", "left")
+    numbers: dict[bytes, int] = {}
+    rows: list[tuple[str, int | None, str | None]] = []
+    paths = (r.path for r in files.where("size_bytes > 0").select("path").toLocalIterator())
+    with ThreadPoolExecutor(READERS) as pool:
+        while some := list(islice(paths, FILES_AT_ONCE)):
+            for path, line, error in pool.map(look, some):
+                rows.append((path, None if line is None else numbers.setdefault(line, len(numbers)), error))
+    lines = spark.createDataFrame([(n, bytearray(line)) for line, n in numbers.items()], "number int, raw binary")
+    return spark.createDataFrame(rows, "path string, number int, error string"), lines.select("number", F.decode("raw", ENCODING).alias("line"))
 
 
 def with_headers(files: DataFrame) -> DataFrame:
     """Files plus ``line``, ``error``, ``sep`` and ``headers``; an empty or unreadable file has no header names."""
-    return describe_headers(read_headers(files))
+    found, lines = read_headers(files)
+    described = files.join(found, "path", "left").join(describe_headers(lines), "number", "left").drop("number")
+    none = F.array().cast("array<string>")
+    return described.withColumns({"sep": F.coalesce("sep", F.lit(",")), "headers": F.coalesce("headers", none)}).select(*files.columns, "line", "error", "sep", "headers")

@@ -118,3 +118,93 @@ def test_compaction_keeps_the_newest_rows(spark, tmp_path):
     table.compact()
     assert table.current().orderBy("filename").collect() == before and table.entries().count() == 3
     assert {r.rows for r in before} == {30}
+
+
+def entries_of(path):
+    return sorted(p.name for p in (path / "_ledger" / "log").iterdir())
+
+
+@pytest.mark.parametrize("clock", ["equal", "reversed"])
+def test_the_order_of_entries_decides_whatever_the_clocks_say(spark, tmp_path, monkeypatch, clock):
+    table = Ledger(spark, str(tmp_path))
+    times = iter({"equal": [5, 5, 5], "reversed": [9, 6, 3]}[clock])
+    monkeypatch.setattr(ledger.F, "current_timestamp", lambda: ledger.F.timestamp_seconds(ledger.F.lit(next(times))))
+    table.mark_done(frame(spark, (*AC14[:3], 1, 1)))
+    table.remove(frame(spark, AC14))
+    assert table.count() == 0
+    table.mark_done(frame(spark, (*AC14[:3], 3, 3)))
+    assert table.entry(*AC14[:3]).first().rows == 3
+    table.compact()
+    assert table.entry(*AC14[:3]).first().rows == 3
+
+
+def test_a_number_is_taken_once(spark, tmp_path, monkeypatch):
+    """Another writer publishes while this one is writing: both entries count, one after the other."""
+    table, other = Ledger(spark, str(tmp_path)), Ledger(spark, str(tmp_path))
+    make, calls = ledger.create_once, []
+
+    def other_first(session, path, text):
+        calls.append(path[-25:])
+        if len(calls) == 1:
+            other.mark_done(frame(spark, (*AC14[:3], 1, 1), AC15))
+        return make(session, path, text)
+
+    monkeypatch.setattr(ledger, "create_once", other_first)
+    table.mark_done(frame(spark, (*AC14[:3], 2, 2)))
+    assert [c[:20] for c in calls] == [f"{n:020d}" for n in (1, 1, 2)] and len(entries_of(tmp_path)) == 2
+    assert table.count() == 2 and table.entry(*AC14[:3]).first().rows == 2
+
+
+def test_many_writers_lose_no_entry(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    write = lambda i: Ledger(spark, str(tmp_path)).mark_done(frame(spark, ("vinculos", i, "F.txt", i, 1)))
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, range(16)))
+    assert len(entries_of(tmp_path)) == 16 and Ledger(spark, str(tmp_path)).count() == 16
+
+
+def test_an_entry_published_during_a_compaction_still_counts(spark, tmp_path, monkeypatch):
+    table = Ledger(spark, str(tmp_path))
+    table.mark_done(frame(spark, AC14, AC15))
+    make, calls = ledger.create_once, []
+
+    def other_first(session, path, text):
+        calls.append(path)
+        if len(calls) == 1:
+            Ledger(spark, str(tmp_path)).mark_done(frame(spark, (*AC14[:3], 7, 7), ESTB))
+            Ledger(spark, str(tmp_path)).remove(frame(spark, AC15))
+        return make(session, path, text)
+
+    monkeypatch.setattr(ledger, "create_once", other_first)
+    table.compact()
+    assert {(r.filename, r.rows) for r in table.current().collect()} == {("AC2014ID.txt", 7), ("Estb2014ID.txt", 5)}
+    table.compact()
+    assert {(r.filename, r.rows) for r in table.current().collect()} == {("AC2014ID.txt", 7), ("Estb2014ID.txt", 5)}
+    assert len(entries_of(tmp_path)) == 1
+
+
+def test_rows_that_were_never_published_count_nowhere(spark, tmp_path, monkeypatch):
+    table = Ledger(spark, str(tmp_path))
+    table.mark_done(frame(spark, AC14))
+    with monkeypatch.context() as broken, pytest.raises(OSError, match="lost"):
+        broken.setattr(ledger, "create_once", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        table.mark_done(frame(spark, AC15))
+    assert table.count() == 1
+
+
+def test_a_ledger_without_numbers_is_read_and_goes_on(spark, tmp_path):
+    old = frame(spark, AC14, AC15).selectExpr("*", "timestamp_seconds(4000000000) AS processed_at", "false AS deleted")
+    old.write.parquet(str(tmp_path / "_ledger"))
+    table = Ledger(spark, str(tmp_path))
+    assert table.count() == 2
+    table.remove(frame(spark, AC15))
+    assert table.count() == 1
+    table.compact()
+    assert table.count() == 1 and list((tmp_path / "_ledger").glob("*.parquet")) == []
+
+
+def test_later_entries_are_not_replaced_by_adopted_ones(spark, table):
+    table.mark_done(frame(spark, AC14))
+    table.adopt(frame(spark, (*AC14[:3], 1, 1), AC15).selectExpr("*", "timestamp_seconds(1000) AS processed_at", "false AS deleted"))
+    assert {(r.ano, r.rows) for r in table.current().collect()} == {(2014, 1000), (2015, 10)}

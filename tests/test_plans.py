@@ -4,6 +4,7 @@ from registry_files import job_link_file, put
 from pyspark.sql import functions as F
 
 from laborlake.model import DATASETS
+from laborlake.operators.ledger import Ledger
 from laborlake.operators.canonical import conform
 from laborlake.plans import reports
 from laborlake.plans.load import load
@@ -74,20 +75,28 @@ def test_a_hot_state_is_written_by_several_tasks(spark, tmp_path):
     full = conform(rows, LINKS).withColumn("arquivo", F.lit("F.txt"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
     try:
-        tables.write(tables.spread(full), str(tmp_path), LINKS)
+        tables.write(tables.spread(full), str(tmp_path), LINKS, "a load")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    entry = spark.createDataFrame([("vinculos", 2020, "F.txt", 200_000, 1)], "dataset string, ano int, filename string, rows bigint, size_bytes bigint")
+    Ledger(spark, str(tmp_path)).mark_done(entry.withColumn("version", tables.version("a load", name="filename")))
     files = tables.stored_files(spark, str(tmp_path))
     assert files.where("path LIKE '%uf=35%'").count() > 1
     assert tables.read(spark, str(tmp_path), LINKS).selectExpr("count(DISTINCT pis)", "count(*)").first() == (200_000, 200_000)
 
 
 def test_counting_a_batch_looks_at_its_folders_alone(spark, store):
-    some = tables.stored_files(spark, store).where("path LIKE '%ano=2021%'").selectExpr("regexp_extract(path, 'arquivo=([^/]+)', 1) AS f")
-    name = some.first().f
-    plan = plan_of(tables.rows_of_files(spark, store, LINKS, [(2021, name)]))
-    assert "SortMergeJoin" not in plan and "ano=2022" not in plan
-    assert tables.rows_of_files(spark, store, LINKS, [(2021, "nothing.txt")]).count() == 0
+    some = Ledger(spark, store).list_done(year=2021).first()
+    counted = tables.rows_of_versions(spark, store, LINKS, [(2021, some.filename, some.version)])
+    assert "Join" not in plan_of(counted) and "ano=2022" not in plan_of(counted)
+    assert counted.first().rows == some.rows
+    assert tables.rows_of_versions(spark, store, LINKS, [(2021, "nothing.txt", 1)]).count() == 0
+
+
+def test_many_versions_are_joined(spark, store, monkeypatch):
+    whole = tables.read(spark, store, LINKS).count()
+    monkeypatch.setattr(tables, "PRUNED", 0)
+    assert "LeftSemi" in plan_of(tables.read(spark, store, LINKS)) and tables.read(spark, store, LINKS).count() == whole
 
 
 def test_settings_of_a_load_are_its_own(spark):
