@@ -174,26 +174,39 @@ def region() -> Column:
     return F.when(flag == "A", "NORTE").when(flag == "N", "SUL").otherwise("SP").alias("regiao")
 
 
-def write_job_links(spark: SparkSession, rows: DataFrame, base: str, new: bool) -> None:
-    """Add job-link files of one layout below ``base``; ``rows`` are ``lineitem`` rows."""
+#: Company names over two lines, in the newer layout, whose fields are quoted.
+TWO_LINES = "CASE WHEN l_orderkey % 41 = 0 THEN concat('EMPRESA\\n', cast(l_suppkey as string), '\\nFILIAL') ELSE {company} END"
+
+
+def write_job_links(spark: SparkSession, rows: DataFrame, base: str, new: bool, breaks: bool = False) -> None:
+    """Add job-link files of one layout below ``base``; ``rows`` are ``lineitem`` rows. ``breaks`` puts line breaks in names."""
     target = DATASETS["vinculos"]
     names = header(target, new)
-    raw = raw_rows(rows, target, new, [F.year("l_shipdate").alias("ano"), region()])
+    kept = [F.year("l_shipdate").alias("ano"), region()]
+    raw = raw_rows(rows, target, new, [*kept, "l_orderkey", "l_suppkey"])
+    if breaks:
+        at = f"_c{[f.name for f in target.fields].index('razao_social')}"
+        raw = raw.withColumn(at, F.expr(TWO_LINES.format(company=at)))
     lines = raw.select("ano", "regiao", line([f"_c{i}" for i in range(len(names))], new).alias("line"))
+    if breaks:
+        # The writer would quote a value with a line break, so its lines are rows of their own, in order.
+        one_by_one = lines.withColumn("_row", F.monotonically_increasing_id()).select("*", F.posexplode(F.split("line", "\n")).alias("_at", "_line"))
+        lines = one_by_one.sortWithinPartitions("ano", "regiao", "_row", "_at").select("ano", "regiao", F.col("_line").alias("line"))
     staged = new_folder(spark, "staged")
     write_lines(lines, header_line(names, new), staged)
     publish(spark, staged, base)
 
 
 def job_link_tree(spark: SparkSession, sf_dir: str, layouts: str) -> str:
-    """A source tree holding every ``lineitem`` row once: "historic", "new", or "mixed" (region SP new)."""
+    """A source tree holding every ``lineitem`` row once: "historic", "new", "breaks" (new, with line breaks inside quotes),
+    or "mixed" (region SP new)."""
     base = new_folder(spark, f"source-{layouts}")
     rows = read_table(spark, sf_dir, "lineitem")
     is_new = F.col("l_returnflag") == "R"
     if layouts in ("historic", "mixed"):
         write_job_links(spark, rows if layouts == "historic" else rows.where(~is_new), base, False)
-    if layouts in ("new", "mixed"):
-        write_job_links(spark, rows if layouts == "new" else rows.where(is_new), base, True)
+    if layouts in ("new", "breaks", "mixed"):
+        write_job_links(spark, rows if layouts != "mixed" else rows.where(is_new), base, True, breaks=layouts == "breaks")
     return base
 
 

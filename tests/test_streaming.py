@@ -1,13 +1,14 @@
 import os
 import time
 
-from registry_files import HISTORIC, HISTORIC_ROW, job_link_file, put
+import pytest
+from registry_files import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW, job_link_file, put, quote
 
 from laborlake.model import DATASETS
 from laborlake.operators.ledger import Ledger
 from laborlake.sources import store as tables
 from laborlake.sources.delimited import Layout
-from laborlake.streaming.arrivals import arrivals_path, arrived, follow, follow_rows, load_arrivals
+from laborlake.streaming.arrivals import arrivals_path, arrived, follow, follow_rows, load_arrivals, load_stream
 
 LINKS = DATASETS["vinculos"]
 
@@ -65,10 +66,44 @@ def test_old_files_in_odd_case_are_picked_up(spark, tmp_path):
     assert [s.filename for s in load_arrivals(spark, str(base), store).rows] == ["AC2015ID.tXt"]
 
 
-def test_rows_of_all_years_are_streamed(spark):
-    from laborlake import catalog
+def test_layouts_and_years_are_one_stream_and_a_restart_repeats_nothing(spark, tmp_path):
+    base, store = tmp_path / "source", str(tmp_path / "store")
+    put(job_link_file(base, 2014, "AC2014ID.txt"), [";".join(HISTORIC), ";".join(HISTORIC_ROW), ";".join([*HISTORIC_ROW, "x"])])
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), [quote(NEW), quote(NEW_ROW)])
+    add(base, 2015, "SP2015ID.txt", "B")
+    batches = []
+    follow_all = lambda: load_stream(spark, str(base), store, files_per_batch=2, on_batch=lambda n, r: batches.append((n, sorted(s.ano for s in r.rows)))).awaitTermination()
+    follow_all()
+    assert [n for n, _ in batches] == [0, 1] and sorted(y for _, years in batches for y in years) == [2014, 2015, 2024]
+    rows = lambda: sorted((r.ano, r.uf, r.pis) for r in tables.read(spark, store, LINKS).collect())
+    assert rows() == [(2014, "12", "11111111111"), (2015, "12", "B"), (2024, "43", "22222222222")]
+    follow_all()
+    assert len(batches) == 2 and len(rows()) == 3
+    add(base, 2016, "SP2016ID.txt", "C")
+    follow_all()
+    assert batches[2:] == [(2, [2016])] and len(rows()) == 4
+
+
+def test_a_batch_that_runs_again_stores_nothing_twice(spark, tmp_path, monkeypatch):
+    """The stream is lost after the ledger has published a batch and before the checkpoint knows."""
+    base, store = tmp_path / "source", str(tmp_path / "store")
+    add(base, 2014, "AC2014ID.txt", "A")
+
+    def lost(*_):
+        raise RuntimeError("lost")
 
-    sf_dir = "/root/testdata/sf0.001"
-    want = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("year(l_shipdate) ano").groupBy("ano").count()
-    got = catalog.streamed_rows(spark, sf_dir).groupBy("ano").count()
-    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    with pytest.raises(Exception, match="lost"):
+        load_stream(spark, str(base), store, on_batch=lost).awaitTermination()
+    assert tables.read(spark, store, LINKS).count() == 1
+    found = []
+    load_stream(spark, str(base), store, on_batch=lambda n, r: found.append((n, r.found))).awaitTermination()
+    assert found == [(0, 0)]
+    assert tables.read(spark, store, LINKS).count() == 1 and Ledger(spark, store).count() == 1
+
+
+def test_a_file_that_fails_does_not_stop_the_stream(spark, tmp_path):
+    base, store, failed = tmp_path / "source", str(tmp_path / "store"), []
+    put(job_link_file(base, 2013, "AC2013ID.txt"), ["", "x"])
+    add(base, 2014, "AC2014ID.txt", "A")
+    load_stream(spark, str(base), store, on_batch=lambda _, r: failed.extend(s.filename for s in r.failed)).awaitTermination()
+    assert failed == ["AC2013ID.txt"] and tables.read(spark, store, LINKS).count() == 1
