@@ -13,89 +13,6 @@ SPARK_TYPES = {
     "date": T.DateType(),
 }
 
-# Fixed values. One line per output column, in output order:
-# canonical name | type | first published header | header since 2024, where it changed.
-# A "?" after the type marks a column that some years do not have.
-JOB_LINKS = """
-pis                   | str    | PIS
-cpf                   | str    | CPF
-nome_trabalhador      | str    | Nome Trabalhador
-data_nascimento       | date   | Data de Nascimento        | Data Nascimento
-cnpj_cei              | str    | CNPJ / CEI
-cnpj_raiz             | str    | CNPJ Raiz
-cei_vinculado         | str    | CEI Vinculado
-razao_social          | str?   | Razão Social
-sexo                  | str    | Sexo Trabalhador          | Sexo - Código
-idade                 | int    | Idade
-raca_cor              | str    | Raça Cor                  | Raça Cor - Código
-nacionalidade         | str    | Nacionalidade             | Nacionalidade - Código
-escolaridade          | str    | Escolaridade após 2005    | Escolaridade Após 2005 - Código
-ind_portador_defic    | str    | Ind Portador Defic        | Ind Portador Defic - Código
-tipo_defic            | str    | Tipo Defic                | Tipo Deficiência - Código
-vinculo_ativo_3112    | str    | Vínculo Ativo 31/12       | Ind Vínculo Ativo 31/12 - Código
-tipo_vinculo          | str    | Tipo Vínculo              | Tipo Vínculo - Código
-tipo_admissao         | str    | Tipo Admissão             | Tipo Admissão Trabalhador - Código
-data_admissao         | date   | Data Admissão Declarada   | Data Admissão
-tempo_emprego         | double | Tempo Emprego
-motivo_desligamento   | str    | Motivo Desligamento       | Motivo Desligamento - Código
-mes_desligamento      | str    | Mês Desligamento          | Mês Desligamento - Código
-dia_desligamento      | str    | Dia de Desligamento       | Dia Desligamento - Código
-qtd_hora_contr        | int    | Qtd Hora Contr
-cbo_2002              | str    | CBO Ocupação 2002         | CBO 2002 Ocupação - Código
-municipio             | str    | Município                 | Município - Código
-natureza_juridica     | str    | Natureza Jurídica         | Natureza Jurídica - Código
-tamanho_estab         | str    | Tamanho Estabelecimento   | Tamanho Estabelecimento - Código
-tipo_estab            | str    | Tipo Estab                | Tipo Estabelecimento - Código
-cnae20_classe         | str    | CNAE 2.0 Classe           | CNAE 2.0 Classe - Código
-cnae20_subclasse      | str    | CNAE 2.0 Subclasse        | CNAE 2.0 Subclasse - Codigo
-vl_remun_media_nom    | double | Vl Remun Média Nom        | Vl Rem Média Nom
-vl_salario_contratual | double | Vl Salário Contratual
-vl_ultima_remun_ano   | double | Vl Última Remuneração Ano | Vl Últ Rem Ano
-causa_afast_1         | str    | Causa Afastamento 1       | Causa Afastamento 1 - Código
-dia_ini_af1           | str    | Dia Ini AF1               | Dia Início Afastamento 1 - Código
-mes_ini_af1           | str    | Mês Ini AF1               | Mês Início Afastamento 1 - Código
-dia_fim_af1           | str    | Dia Fim AF1               | Dia Fim Afastamento 1 - Código
-mes_fim_af1           | str    | Mês Fim AF1               | Mês Fim Afastamento 1 - Código
-causa_afast_2         | str    | Causa Afastamento 2       | Causa Afastamento 2 - Código
-dia_ini_af2           | str    | Dia Ini AF2               | Dia Início Afastamento 2 - Código
-mes_ini_af2           | str    | Mês Ini AF2               | Mês Início Afastamento 2 - Código
-dia_fim_af2           | str    | Dia Fim AF2               | Dia Fim Afastamento 2 - Código
-mes_fim_af2           | str    | Mês Fim AF2               | Mês Fim Afastamento 2 - Código
-causa_afast_3         | str    | Causa Afastamento 3       | Causa Afastamento 3 - Código
-dia_ini_af3           | str    | Dia Ini AF3               | Dia Início Afastamento 3 - Código
-mes_ini_af3           | str    | Mês Ini AF3               | Mês Início Afastamento 3 - Código
-dia_fim_af3           | str    | Dia Fim AF3               | Dia Fim Afastamento 3 - Código
-mes_fim_af3           | str    | Mês Fim AF3               | Mês Fim Afastamento 3 - Código
-qtd_dias_afast        | int    | Qtd Dias Afastamento
-"""
-
-ESTABLISHMENTS = """
-cnpj_cei              | str    | CNPJ / CEI
-cnpj_raiz             | str    | CNPJ Raiz
-cei_vinculado         | str    | CEI Vinculado
-razao_social          | str    | Razão Social
-municipio             | str    | Município                 | Município - Código
-cep_estab             | str    | CEP Estab
-nome_logradouro       | str    | Nome Logradouro           | Logradouro do Estab
-numero_logradouro     | int    | Número Logradouro         | Num Logradouro
-nome_bairro           | str    | Nome Bairro               | Bairros - Nome
-cnae20_classe         | str    | CNAE 2.0 Classe           | CNAE 2.0 Classe - Código
-cnae20_subclasse      | str    | CNAE 2.0 Subclasse        | CNAE 2.0 Subclasse - Codigo
-ibge_subsetor         | str    | IBGE Subsetor             | IBGE Subsetor - Código
-natureza_juridica     | str    | Natureza Jurídica         | Natureza Jurídica - Código
-tamanho_estab         | str    | Tamanho Estabelecimento   | Tamanho Estabelecimento - Código
-tipo_estab            | str    | Tipo Estab                | Tipo Estabelecimento - Código
-data_abertura         | date   | Data Abertura
-data_baixa            | date   | Data Baixa
-data_encerramento     | date   | Data Encerramento
-ind_rais_negativa     | str    | Ind Rais Negativa         | Ind RAIS Negativa - Código
-qtd_vinculos_ativos   | int    | Qtd Vínculos Ativos
-qtd_vinculos_clt      | int    | Qtd Vínculos CLT
-qtd_vinculos_estat    | int    | Qtd Vínculos Estatutários
-ind_simples           | str    | Ind Simples               | Ind Estab Participante SIMPLES - Código
-"""
-
-
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -142,17 +59,91 @@ class Dataset:
         }
 
 
-def _parse(name: str, table: str) -> Dataset:
-    fields = []
-    for line in table.strip().splitlines():
-        column, dtype, *aliases = (part.strip() for part in line.split("|"))
-        fields.append(Field(column, dtype.rstrip("?"), tuple(aliases), dtype.endswith("?")))
-    return Dataset(name, tuple(fields))
-
+# One line per output column, in output order: canonical name, type, first published header and, where it
+# changed, the header since 2024. Some years do not have optional columns.
+JOB_LINKS = (
+    Field("pis", "str", ("PIS",)),
+    Field("cpf", "str", ("CPF",)),
+    Field("nome_trabalhador", "str", ("Nome Trabalhador",)),
+    Field("data_nascimento", "date", ("Data de Nascimento", "Data Nascimento")),
+    Field("cnpj_cei", "str", ("CNPJ / CEI",)),
+    Field("cnpj_raiz", "str", ("CNPJ Raiz",)),
+    Field("cei_vinculado", "str", ("CEI Vinculado",)),
+    Field("razao_social", "str", ("Razão Social",), optional=True),
+    Field("sexo", "str", ("Sexo Trabalhador", "Sexo - Código")),
+    Field("idade", "int", ("Idade",)),
+    Field("raca_cor", "str", ("Raça Cor", "Raça Cor - Código")),
+    Field("nacionalidade", "str", ("Nacionalidade", "Nacionalidade - Código")),
+    Field("escolaridade", "str", ("Escolaridade após 2005", "Escolaridade Após 2005 - Código")),
+    Field("ind_portador_defic", "str", ("Ind Portador Defic", "Ind Portador Defic - Código")),
+    Field("tipo_defic", "str", ("Tipo Defic", "Tipo Deficiência - Código")),
+    Field("vinculo_ativo_3112", "str", ("Vínculo Ativo 31/12", "Ind Vínculo Ativo 31/12 - Código")),
+    Field("tipo_vinculo", "str", ("Tipo Vínculo", "Tipo Vínculo - Código")),
+    Field("tipo_admissao", "str", ("Tipo Admissão", "Tipo Admissão Trabalhador - Código")),
+    Field("data_admissao", "date", ("Data Admissão Declarada", "Data Admissão")),
+    Field("tempo_emprego", "double", ("Tempo Emprego",)),
+    Field("motivo_desligamento", "str", ("Motivo Desligamento", "Motivo Desligamento - Código")),
+    Field("mes_desligamento", "str", ("Mês Desligamento", "Mês Desligamento - Código")),
+    Field("dia_desligamento", "str", ("Dia de Desligamento", "Dia Desligamento - Código")),
+    Field("qtd_hora_contr", "int", ("Qtd Hora Contr",)),
+    Field("cbo_2002", "str", ("CBO Ocupação 2002", "CBO 2002 Ocupação - Código")),
+    Field("municipio", "str", ("Município", "Município - Código")),
+    Field("natureza_juridica", "str", ("Natureza Jurídica", "Natureza Jurídica - Código")),
+    Field("tamanho_estab", "str", ("Tamanho Estabelecimento", "Tamanho Estabelecimento - Código")),
+    Field("tipo_estab", "str", ("Tipo Estab", "Tipo Estabelecimento - Código")),
+    Field("cnae20_classe", "str", ("CNAE 2.0 Classe", "CNAE 2.0 Classe - Código")),
+    Field("cnae20_subclasse", "str", ("CNAE 2.0 Subclasse", "CNAE 2.0 Subclasse - Codigo")),
+    Field("vl_remun_media_nom", "double", ("Vl Remun Média Nom", "Vl Rem Média Nom")),
+    Field("vl_salario_contratual", "double", ("Vl Salário Contratual",)),
+    Field("vl_ultima_remun_ano", "double", ("Vl Última Remuneração Ano", "Vl Últ Rem Ano")),
+    Field("causa_afast_1", "str", ("Causa Afastamento 1", "Causa Afastamento 1 - Código")),
+    Field("dia_ini_af1", "str", ("Dia Ini AF1", "Dia Início Afastamento 1 - Código")),
+    Field("mes_ini_af1", "str", ("Mês Ini AF1", "Mês Início Afastamento 1 - Código")),
+    Field("dia_fim_af1", "str", ("Dia Fim AF1", "Dia Fim Afastamento 1 - Código")),
+    Field("mes_fim_af1", "str", ("Mês Fim AF1", "Mês Fim Afastamento 1 - Código")),
+    Field("causa_afast_2", "str", ("Causa Afastamento 2", "Causa Afastamento 2 - Código")),
+    Field("dia_ini_af2", "str", ("Dia Ini AF2", "Dia Início Afastamento 2 - Código")),
+    Field("mes_ini_af2", "str", ("Mês Ini AF2", "Mês Início Afastamento 2 - Código")),
+    Field("dia_fim_af2", "str", ("Dia Fim AF2", "Dia Fim Afastamento 2 - Código")),
+    Field("mes_fim_af2", "str", ("Mês Fim AF2", "Mês Fim Afastamento 2 - Código")),
+    Field("causa_afast_3", "str", ("Causa Afastamento 3", "Causa Afastamento 3 - Código")),
+    Field("dia_ini_af3", "str", ("Dia Ini AF3", "Dia Início Afastamento 3 - Código")),
+    Field("mes_ini_af3", "str", ("Mês Ini AF3", "Mês Início Afastamento 3 - Código")),
+    Field("dia_fim_af3", "str", ("Dia Fim AF3", "Dia Fim Afastamento 3 - Código")),
+    Field("mes_fim_af3", "str", ("Mês Fim AF3", "Mês Fim Afastamento 3 - Código")),
+    Field("qtd_dias_afast", "int", ("Qtd Dias Afastamento",)),
+)
+
+ESTABLISHMENTS = (
+    Field("cnpj_cei", "str", ("CNPJ / CEI",)),
+    Field("cnpj_raiz", "str", ("CNPJ Raiz",)),
+    Field("cei_vinculado", "str", ("CEI Vinculado",)),
+    Field("razao_social", "str", ("Razão Social",)),
+    Field("municipio", "str", ("Município", "Município - Código")),
+    Field("cep_estab", "str", ("CEP Estab",)),
+    Field("nome_logradouro", "str", ("Nome Logradouro", "Logradouro do Estab")),
+    Field("numero_logradouro", "int", ("Número Logradouro", "Num Logradouro")),
+    Field("nome_bairro", "str", ("Nome Bairro", "Bairros - Nome")),
+    Field("cnae20_classe", "str", ("CNAE 2.0 Classe", "CNAE 2.0 Classe - Código")),
+    Field("cnae20_subclasse", "str", ("CNAE 2.0 Subclasse", "CNAE 2.0 Subclasse - Codigo")),
+    Field("ibge_subsetor", "str", ("IBGE Subsetor", "IBGE Subsetor - Código")),
+    Field("natureza_juridica", "str", ("Natureza Jurídica", "Natureza Jurídica - Código")),
+    Field("tamanho_estab", "str", ("Tamanho Estabelecimento", "Tamanho Estabelecimento - Código")),
+    Field("tipo_estab", "str", ("Tipo Estab", "Tipo Estabelecimento - Código")),
+    Field("data_abertura", "date", ("Data Abertura",)),
+    Field("data_baixa", "date", ("Data Baixa",)),
+    Field("data_encerramento", "date", ("Data Encerramento",)),
+    Field("ind_rais_negativa", "str", ("Ind Rais Negativa", "Ind RAIS Negativa - Código")),
+    Field("qtd_vinculos_ativos", "int", ("Qtd Vínculos Ativos",)),
+    Field("qtd_vinculos_clt", "int", ("Qtd Vínculos CLT",)),
+    Field("qtd_vinculos_estat", "int", ("Qtd Vínculos Estatutários",)),
+    Field("ind_simples", "str", ("Ind Simples", "Ind Estab Participante SIMPLES - Código")),
+)
+# End of the fixed values.
 
 DATASETS = {
-    "vinculos": _parse("vinculos", JOB_LINKS),
-    "estabelecimentos": _parse("estabelecimentos", ESTABLISHMENTS),
+    "vinculos": Dataset("vinculos", JOB_LINKS),
+    "estabelecimentos": Dataset("estabelecimentos", ESTABLISHMENTS),
 }
 
 
