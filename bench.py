@@ -19,7 +19,7 @@ from laborlake.sources import store as tables
 from laborlake.sources.files import discover, list_files
 from laborlake.sources.headers import with_headers
 
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def timed(action, runs: int = RUNS) -> float:
