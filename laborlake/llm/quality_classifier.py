@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlake.llm import textscan
-from laborlake.llm.common import written
+from laborlake.llm.common import tasks, written
 
 #: Buckets of each of two tables. An n-gram has one in both, and what it says is the lesser of what they say: where one is
 #: shared with an n-gram that junk is full of, the other is not.
 BUCKETS = 1 << 18
+#: Buckets that are shuffled as one array.
+SLICE = 1 << 13
 #: Bound on the labelled rows that are used.
 LABELLED = 50_000
 #: Documents added to both models in each bucket.
@@ -104,17 +106,32 @@ def count_models(docs: DataFrame, labelled: DataFrame) -> tuple[np.ndarray, np.n
                 for buckets in (first, second):
                     raw += np.bincount(buckets, minlength=2 * BUCKETS)
                     target += np.bincount(buckets[good], minlength=2 * BUCKETS)
-        used = np.flatnonzero(raw)
-        yield pd.DataFrame({"bucket": used, "raw": raw[used], "target": target[used]})
+        yield packed(range(0, 2 * BUCKETS, SLICE), raw, target)
+
+    def packed(starts, raw: np.ndarray, target: np.ndarray) -> pd.DataFrame:
+        parts = [[x[s : s + SLICE].tobytes() for s in starts] for x in (raw, target)]
+        return pd.DataFrame({"start": list(starts), "raw": parts[0], "target": parts[1]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, sums = None, np.zeros((2, SLICE), np.int64)
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if at is not None and row.start != at:
+                    yield pd.DataFrame({"start": [at], "raw": [sums[0].tobytes()], "target": [sums[1].tobytes()]})
+                    sums = np.zeros((2, SLICE), np.int64)
+                at = row.start
+                sums += [np.frombuffer(row.raw, np.int64), np.frombuffer(row.target, np.int64)]
+        if at is not None:
+            yield pd.DataFrame({"start": [at], "raw": [sums[0].tobytes()], "target": [sums[1].tobytes()]})
 
     rows = _with_labels(docs.select("doc_id", "text"), labelled)
     rows = rows.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("_good"), F.lit(False)).alias("good"))
-    counts = rows.mapInPandas(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
+    columns = "start int, raw binary, target binary"
+    dealt = rows.mapInPandas(count, columns).repartition(tasks(docs.sparkSession), "start").sortWithinPartitions("start")
     raw, target = np.zeros(2 * BUCKETS), np.zeros(2 * BUCKETS)
-    found = counts.toPandas().to_numpy()  # 2 * BUCKETS rows at most
-    if len(found):
-        at = found[:, 0].astype(np.int64)
-        raw[at], target[at] = found[:, 1], found[:, 2]
+    for row in dealt.mapInPandas(add, columns).toLocalIterator():  # 2 * BUCKETS numbers of either model in all
+        raw[row.start : row.start + SLICE] = np.frombuffer(row.raw, np.int64)
+        target[row.start : row.start + SLICE] = np.frombuffer(row.target, np.int64)
     return raw, target
 
 
