@@ -10,8 +10,8 @@ Which segments r searches by is chosen by cost once all are counted: segments th
 rarest of the others (or one-deletion neighbourhoods) fill up to H + 1. A set with H + 1 free ones has no partner and is done.
 What is left are candidate groups. To verify no pair inside a component that is known already, each group is first
 held against its member with most shared segments, the likely original; links found join components; and only pairs across
-components are then looked at, in large groups block by block with bit sketches. Sketches drop pairs that differ too
-much, the rest is verified on whole sets.
+components are then looked at, block by block with bit sketches. Sketches drop pairs that differ too much before they
+become rows, the rest is verified on whole sets.
 """
 
 from __future__ import annotations
@@ -34,8 +34,7 @@ NUMERATOR, DENOMINATOR = 80, 100
 BAND = 1.5
 #: Segments of each partition that are indexed by one-deletion neighbourhoods as well.
 DELETED = 2
-#: Groups with more members are compared in blocks, by sketches.
-LARGE = 64
+#: Members of a group that are compared with as many visitors at a time.
 BLOCK = 512
 #: Ids broadcast at most; more are joined by a shuffle.
 BROADCAST = 2_000_000
@@ -276,10 +275,6 @@ def allocate(entries: DataFrame) -> DataFrame:
     return rows.join(wanted, F.col("key") == F.col("_key"), "left_semi")
 
 
-def _size_fits(a: str, b: str):
-    return (F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR)
-
-
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -326,36 +321,78 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return written(left.join(a, "a").join(b, "b").filter(similar("e_a", "e_b")).select("a", "b"), "links")
 
 
-def _large_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """x, y across components in large groups: whoever is not in a group's main component meets all blocks of the group."""
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("c", "component"))["component"].alias("main"), F.sum("c").alias("total"))
-    rows = members.join(main, "key").withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
-    rows = rows.join(sets.select("node", "sketch"), "node")
-    columns = ["key", "node", "n", "selected", "component", "sketch"]
-    stay = rows.select(*columns, F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("visits"))
-    visit = rows.filter("component != main").select(
-        *columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("visits")
-    )
+def _pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """x, y in different components of a group, whose sizes fit and whose sketches differ little enough.
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        size = min(map(len, group["sketch"]))
-        bits = np.stack([_folded(np.frombuffer(s, np.uint8), size) for s in group["sketch"]])
-        node, n, chosen, part, visits = (group[c].to_numpy() for c in ("node", "n", "selected", "component", "visits"))
-        inside = np.flatnonzero(~visits)
+    Each group is cut into blocks of about BLOCK members, and so are those outside its main component, which visit
+    blocks: who searches by the key all of them, who does not only those who do. A task holds one block and one block
+    of visitors at a time, and pairs become rows only after the sketches.
+    """
+    spark = members.sparkSession
+    counted = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.count_if("selected").alias("s"))
+    main = counted.groupBy("key").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("total"), F.sum("s").alias("chosen"))
+    count = lambda n: F.ceil(n / BLOCK).cast("int")
+    main = main.select(
+        "key",
+        F.col("main.component").alias("main"),
+        # Blocks of those who search by the key come before those of the others.
+        count(F.col("chosen")).alias("first"),
+        count(F.col("total") - F.col("chosen")).alias("rest"),
+        count(F.col("total") - F.col("main.c")).alias("crowds"),
+    )
+    rows = members.join(main, "key").withColumn("outside", F.col("component") != F.col("main")).join(sets.select("node", "sketch"), "node")
+    columns = ["key", "node", "n", "selected", "component", "outside", "sketch"]
+    of = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    block = F.when(F.col("selected"), of(1, "first")).otherwise(F.col("first") + of(1, "rest"))
+    visited = F.when(F.col("selected"), F.col("first") + F.col("rest")).otherwise(F.col("first"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    stay = rows.select(*columns, block.alias("block"), every(F.col("crowds")).alias("crowd"), F.lit(False).alias("visits"))
+    visit = rows.filter(F.col("outside") & (visited > 0)).select(*columns, every(visited).alias("block"), of(2, "crowds").alias("crowd"), F.lit(True).alias("visits"))
+
+    def compare(held: list[pd.DataFrame]) -> pd.DataFrame:
+        group = held[0] if len(held) == 1 else pd.concat(held)
+        node, n, chosen, part, outside, visits = (group[c].to_numpy() for c in ("node", "n", "selected", "component", "outside", "visits"))
+        inside, come = np.flatnonzero(~visits), np.flatnonzero(visits)
         xs, ys = [], []
-        for v in np.flatnonzero(visits):
-            small, large = np.minimum(n[v], n[inside]), np.maximum(n[v], n[inside])
-            fits = (part[inside] != part[v]) & (chosen[inside] | chosen[v]) & (small * DENOMINATOR >= large * NUMERATOR)
-            at = inside[fits]
-            if len(at):
-                apart = np.bitwise_count(bits[at] ^ bits[v]).sum(axis=1)
-                at = at[apart <= (n[at] + n[v]) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)]
-                xs.append(np.full(len(at), node[v]))
-                ys.append(node[at])
+        if len(inside) and len(come):
+            sketches = group["sketch"].tolist()
+            size = min(map(len, sketches))
+            bits = np.stack([_folded(np.frombuffer(s, np.uint8), size) for s in sketches])
+            for v in come:
+                small, large = np.minimum(n[v], n[inside]), np.maximum(n[v], n[inside])
+                fits = (part[inside] != part[v]) & (chosen[inside] | chosen[v]) & (small * DENOMINATOR >= large * NUMERATOR)
+                # Two visitors meet in the blocks of both.
+                at = inside[fits & (~outside[inside] | (node[inside] > node[v]))]
+                if len(at):
+                    apart = np.bitwise_count(bits[at] ^ bits[v]).sum(axis=1)
+                    at = at[apart <= (n[at] + n[v]) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)]
+                    xs.append(np.full(len(at), node[v]))
+                    ys.append(node[at])
         return pd.DataFrame({"x": np.concatenate(xs or [[]]).astype(np.int64), "y": np.concatenate(ys or [[]]).astype(np.int64)})
 
-    return stay.unionByName(visit).groupBy("key", "block").applyInPandas(compare, "x long, y long")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        at = None
+        for batch in batches:
+            places = batch[["key", "block", "crowd"]].to_numpy()
+            edges = [0, *(np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            found = []
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                now = tuple(places[low]) if high > low else at
+                if now != at and held:
+                    found.append(compare(held))
+                    held = []
+                at = now
+                held.append(batch.iloc[low:high])
+            if found:
+                # A pair often meets in many groups.
+                yield pd.concat(found).drop_duplicates()
+        if held:
+            yield compare(held)
+
+    place = ["key", "block", "crowd"]
+    dealt = stay.unionByName(visit).repartition(tasks(spark), *place).sortWithinPartitions(*place)
+    return dealt.mapInPandas(run, "x long, y long")
 
 
 def link_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -369,13 +406,9 @@ def link_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     found = written(components(links), "components")
 
     known = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = known.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    known = written(known.join(groups.filter("lo != hi").select("key", "members"), "key"), "across")
-    small = known.filter(F.col("members") <= LARGE).select("key", "node", "n", "selected", "component")
-    other = small.select("key", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-    pairs = small.filter("selected").join(other, "key").filter((F.col("node") != F.col("y")) & (F.col("component") != F.col("c_y")))
-    pairs = pairs.filter(_size_fits("n", "n_y")).select(F.col("node").alias("x"), "y")
-    pairs = pairs.unionByName(_large_pairs(known.filter(F.col("members") > LARGE), sets))
+    groups = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    known = written(known.join(groups.filter("lo != hi").select("key"), "key", "left_semi"), "across")
+    pairs = _pairs_across(known.select("key", "node", "n", "selected", "component"), sets)
     second = _ordered(pairs).join(first, ["a", "b"], "left_anti")
     more = verify(written(second, "pairs"), sets, docs)
     return components(more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))

@@ -116,7 +116,6 @@ def test_groups_of_odd_documents(spark, odd):
 
 
 def test_groups_of_many_near_copies(spark, save, monkeypatch):
-    monkeypatch.setattr(jj, "LARGE", 6)
     monkeypatch.setattr(jj, "BLOCK", 5)
     rng = random.Random(9)
     texts = []
