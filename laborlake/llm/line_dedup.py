@@ -1,14 +1,16 @@
-"""Deleting later copies of repeated line runs, by hashes of runs of a fixed least length.
+"""Deleting later copies of maximal repeated line runs.
 
-Each document is a sequence of line names (hashes of its lines; blank lines have none). Doubling within the row names the
-runs of 2, 4, 8, ... lines that start at each line: the name of a run is made of the names of its two halves. From these,
-every line gets the name of its *unit*, the shortest run from there with MIN_CHARS characters. Of the units with the same
-name, the first in the order of documents and lines is the original, and the others are later copies. Overlapping
-and touching copied units join into longer runs, and their lines are deleted.
+A run of consecutive lines that also starts at an earlier place, and has MIN_CHARS characters at least, is a copy; every line
+that a copy covers is deleted. Each document is a sequence of line names (hashes of its lines; blank lines have none).
+Doubling within the row names the runs of 2, 4, 8, ... lines that start at each line: the name of a run is made of the
+names of its two halves. From these, every line gets the names of its two *units*, the shortest runs with MIN_CHARS
+characters that start and that end there. Of the units with the same name, the first in the order of documents and lines is
+the original, and the others are copies; overlapping and touching ones join into runs.
 
-This stands in for a suffix array: no suffix is sorted, there are no ranks and no common-prefix lengths, and nothing is
-doubled across rows. A repeated run of fewer than MIN_CHARS characters stays, however often it occurs; of a longer one,
-short lines at its end stay if no unit ends there.
+These are the lines of all copies of maximal repeated runs, no more and no fewer: a unit that is a copy is such a run itself,
+and of a longer one each line is in the unit that starts at the first line, in the one that ends at the last, or starts a
+unit that ends before the last. So no common prefix is longer than needed to be told, and no suffix is sorted: equality of names
+stands in for the ranks of a suffix array and its intervals of common prefixes, for one shuffle instead of one per doubling.
 
 Everything is DataFrame operations. One shuffle of names finds the copies, with partial aggregation, so a line that a third
 of all documents share is a few rows per task.
@@ -19,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A run of whole lines shorter than this stays, however often it is repeated.
-MIN_CHARS = 200
+#: Repeated runs of fewer characters, such as a heading or a list mark, say nothing.
+MIN_CHARS = 40
 
 
 def _levels(min_chars: int) -> int:
@@ -51,7 +53,8 @@ def _advance(level: int, min_chars: int):
 
 
 def units(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """_id, _text_hash, _from, _to (line numbers, inclusive), _name: one row per line at which a unit starts."""
+    """_id, _text_hash, _from, _to (places among the lines that are not blank, inclusive), _first, _last (line numbers), _name: one row per line at which a unit starts, and one per line
+    at which one ends, but for units of one line, which are both."""
     lines = F.split(F.col("text"), "\n", -1)
     rows = docs.filter(F.col("text").isNotNull()).select(
         F.col("doc_id").alias("_id"),
@@ -61,12 +64,23 @@ def units(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             lambda x: F.trim(x["line"]) != "",
         ).alias("_lines"),
     )
+
+    def named(x: Column, i: Column) -> Column:
+        line = x["line"]
+        return F.struct(F.struct(i.alias("i"), x["at"].alias("n")).alias("at"), F.xxhash64(line).alias("name"), F.char_length(line).alias("chars"))
+
+    rows = rows.select("_id", "_text_hash", F.transform("_lines", named).alias("_lines"))
+    # Backwards, a unit that ends at a line starts there. Where all lines are units of their own, nothing else ends.
+    short = F.exists("_lines", lambda x: x["chars"] < min_chars)
+    ways = F.when(short, F.array("_lines", F.reverse("_lines"))).otherwise(F.array("_lines"))
+    rows = rows.select("_id", "_text_hash", F.posexplode(ways).alias("_way", "_lines"))
     rows = rows.select(
         "_id",
         "_text_hash",
+        "_way",
         F.transform("_lines", lambda x: x["at"]).alias("_at"),
-        F.transform("_lines", lambda x: F.xxhash64(x["line"])).alias("_n0"),
-        F.transform("_lines", lambda x: F.char_length(x["line"])).alias("_c0"),
+        F.transform("_lines", lambda x: x["name"]).alias("_n0"),
+        F.transform("_lines", lambda x: x["chars"]).alias("_c0"),
     )
     levels = _levels(min_chars)
     for k in range(levels):
@@ -86,7 +100,7 @@ def units(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     rows = rows.withColumn("_state", state)
     for k in range(levels, -1, -1):
         rows = rows.withColumn("_state", F.transform("_state", _advance(k, min_chars)))
-    full = F.filter("_state", lambda s: s["end"] < F.size("_n0"))
+    full = F.filter("_state", lambda s: (s["end"] < F.size("_n0")) & ((F.col("_way") == 0) | (s["end"] > s["start"])))
     return rows.select(
         "_id",
         "_text_hash",
@@ -94,29 +108,32 @@ def units(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
             F.transform(
                 full,
                 lambda s: F.struct(
-                    F.get("_at", s["start"]).alias("_from"),
-                    F.get("_at", s["end"]).alias("_to"),
-                    F.xxhash64(s["name"], F.get("_n0", s["end"]), s["end"] - s["start"]).alias("_name"),
+                    F.least(F.get("_at", s["start"]), F.get("_at", s["end"])).alias("_low"),
+                    F.greatest(F.get("_at", s["start"]), F.get("_at", s["end"])).alias("_high"),
+                    F.xxhash64(s["name"], F.get("_n0", s["end"]), s["end"] - s["start"], F.col("_way")).alias("_name"),
                 ),
             )
         ).alias("_unit"),
-    ).select("_id", "_text_hash", "_unit.*")
+    ).select(
+        "_id", "_text_hash", F.col("_unit._low.i").alias("_from"), F.col("_unit._high.i").alias("_to"),
+        F.col("_unit._low.n").alias("_first"), F.col("_unit._high.n").alias("_last"), "_unit._name",
+    )
 
 
 def copied_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """_id, _text_hash, _from, _to: maximal runs of lines that are covered by copies of earlier units."""
+    """_id, _text_hash, _from, _to (line numbers): maximal runs of lines that are covered by copies of earlier units."""
     found = units(docs, min_chars)
     place = F.struct("_id", "_text_hash", "_from")
-    first = found.groupBy("_name").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
-    first = first.filter("_first != _last").select(F.col("_name").alias("_repeated"), "_first")
-    later = found.join(first, F.col("_name") == F.col("_repeated")).filter(place != F.col("_first"))
+    first = found.groupBy("_name").agg(F.min(place).alias("_least"), F.max(place).alias("_most"))
+    first = first.filter("_least != _most").select(F.col("_name").alias("_repeated"), "_least")
+    later = found.join(first, F.col("_name") == F.col("_repeated")).filter(place != F.col("_least"))
     # A document's own runs: as many rows as it has lines at most.
     own = Window.partitionBy("_id", "_text_hash").orderBy("_from", "_to")
     before = own.rowsBetween(Window.unboundedPreceding, -1)
-    marked = later.select("_id", "_text_hash", "_from", "_to").distinct()
+    marked = later.select("_id", "_text_hash", "_from", "_to", "_first", "_last").distinct()
     marked = marked.withColumn("_new", (F.col("_from") > F.coalesce(F.max("_to").over(before) + 1, F.lit(-1))).cast("int"))
     marked = marked.withColumn("_run", F.sum("_new").over(own))
-    return marked.groupBy("_id", "_text_hash", "_run").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to")).drop("_run")
+    return marked.groupBy("_id", "_text_hash", "_run").agg(F.min("_first").alias("_from"), F.max("_last").alias("_to")).drop("_run")
 
 
 def _deduped(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -144,7 +161,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     Documents follow each other by doc_id (null first), then by a hash of the text; rows that agree in both are one document
     and all keep the same lines. A null text stays null, with 0 lines; an empty text is one blank line. Blank lines never
-    count as copies, but those inside a deleted run go with it. Copies within a document count as well. No row
+    count as copies, but those between two deleted lines go with them. Copies within a document count as well. No row
     is dropped: a document whose every line is a later copy keeps an empty text. Other columns are ignored.
     """
     columns = {"_kept_text": "text", "_n_lines": "n_lines", "_n_removed": "n_removed_lines", "_n_runs": "n_runs"}

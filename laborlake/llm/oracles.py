@@ -47,20 +47,17 @@ WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 l AS (
   SELECT doc_id, generate_subscripts(ls, 1) AS n, unnest(ls) AS line FROM d),
 k AS (
-  SELECT *, sum(length(line)) OVER (PARTITION BY doc_id ORDER BY n) AS up_to,
-    row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i
-  FROM l WHERE trim(line) <> ''),
-u AS (
-  SELECT a.doc_id, a.i, a.n AS first_n, min(b.n) AS last_n, min(b.i) AS j
-  FROM k a JOIN k b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.up_to - a.up_to + length(a.line) >= 200
-  GROUP BY ALL),
-named AS (
-  SELECT u.doc_id, u.first_n, u.last_n, string_agg(k.line, chr(10) ORDER BY k.i) AS name
-  FROM u JOIN k ON k.doc_id = u.doc_id AND k.i BETWEEN u.i AND u.j GROUP BY ALL),
-later AS (
-  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, first_n) AS nth FROM named),
-gone AS (
-  SELECT DISTINCT doc_id, unnest(generate_series(first_n, last_n)) AS n FROM later WHERE nth > 1),
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM l WHERE trim(line) <> ''),
+same AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.i - b.i AS shift, b.i, b.n, length(b.line) AS chars
+  FROM k a JOIN k b ON a.line = b.line AND (a.doc_id, a.i) < (b.doc_id, b.i)),
+islands AS (
+  SELECT *, i - row_number() OVER (PARTITION BY x, y, shift ORDER BY i) AS island FROM same),
+runs AS (
+  SELECT DISTINCT y, min(i) AS a, max(i) AS b FROM islands GROUP BY x, y, shift, island HAVING sum(chars) >= 40),
+covered AS (SELECT DISTINCT y AS doc_id, unnest(generate_series(a, b)) AS i FROM runs),
+joined AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS part FROM covered JOIN k USING (doc_id, i)),
+gone AS (SELECT doc_id, unnest(generate_series(min(n), max(n))) AS n FROM joined GROUP BY doc_id, part),
 marked AS (
   SELECT l.doc_id, l.n, l.line, g.n IS NOT NULL AS removed,
     g.n IS NOT NULL AND lag(g.n) OVER (PARTITION BY l.doc_id ORDER BY l.n) IS NULL AS begins

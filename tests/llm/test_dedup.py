@@ -166,8 +166,9 @@ def test_components(spark):
     assert found == {i: 0 for i in range(1, 41)} | {101: 100, 102: 100}
 
 
-def dedup_lines(rows, least=200):
-    seen, out = set(), {}
+def dedup_lines(rows, least=40):
+    """Of every line, the longest run from there that an earlier place has as well; all of it goes if it is long enough."""
+    places, sequences, out = {}, [], {}
     for key in sorted(set(rows), key=lambda r: (r[0] is not None, r[0])):
         text = key[1]
         if text is None:
@@ -175,17 +176,21 @@ def dedup_lines(rows, least=200):
             continue
         lines = text.split("\n")
         full = [i for i, line in enumerate(lines) if line.strip(" ")]
-        gone = set()
-        for a in range(len(full)):
-            size, b = 0, a
-            while b < len(full) and size + len(lines[full[b]]) < least:
-                size += len(lines[full[b]])
-                b += 1
-            if b < len(full):
-                unit = tuple(lines[i] for i in full[a : b + 1])
-                if unit in seen:
-                    gone.update(range(full[a], full[b] + 1))
-                seen.add(unit)
+        names, gone = [lines[i] for i in full], set()
+        sequences.append(names)
+        for a, name in enumerate(names):
+            longest = 0
+            for d, j in places.get(name, ()):
+                n = 0
+                while a + n < len(names) and j + n < len(sequences[d]) and sequences[d][j + n] == names[a + n]:
+                    n += 1
+                longest = max(longest, n)
+            if sum(map(len, names[a : a + longest])) >= least:
+                gone.update(full[a : a + longest])
+            places.setdefault(name, []).append((len(sequences) - 1, a))
+        for a, b in zip(full, full[1:], strict=False):
+            if a in gone and b in gone:
+                gone.update(range(a, b))
         runs = sum(i - 1 not in gone for i in gone)
         out[key] = ("\n".join(line for i, line in enumerate(lines) if i not in gone), len(gone), runs)
     return out
@@ -193,7 +198,7 @@ def dedup_lines(rows, least=200):
 
 def test_lines(spark, save):
     rng = random.Random(4)
-    stock = ["".join(rng.choice("abc ") for _ in range(rng.choice([1, 30, 90, 199, 200, 250]))) for _ in range(15)]
+    stock = ["".join(rng.choice("abc ") for _ in range(rng.choice([1, 5, 13, 30, 39, 40, 90]))) for _ in range(15)]
     texts = ["\n".join(rng.choice(["", "  ", *stock, *stock]) for _ in range(rng.randint(0, 25))) for _ in range(80)]
     texts += [texts[3], "\n".join(["same line"] * 60), None, "", "x" * 500, "x" * 500 + "\n" + "x" * 500]
     folder = save(documents=as_documents(texts))
