@@ -1,7 +1,8 @@
 """Packing token pieces into sequences of equal length, shortest pack first over the histogram of lengths.
 
 A document's tokens are cut into full sequences and one rest. What is packed is the histogram of the rests: lengths
-are placed longest first, each count into open packing patterns with the least room that still fits, or into new ones.
+are placed longest first, each count into the open packing patterns that hold least so far, or into new ones where it does
+not fit even there.
 The histogram has at most as many entries as a sequence has tokens, whatever the number of documents. Patterns go
 back to documents by rank: the r-th rest of a length takes the r-th place that the patterns have for that length.
 Ranks are made of counts per length and salt, so that a length that many rests share is ranked by many tasks.
@@ -12,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from bisect import bisect_left, insort
+from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -74,17 +75,19 @@ class Encoder:
     The tokenizer splits text into pieces before it merges bytes, and a piece never reaches across a space between
     two other characters. So where no two white-space characters are adjacent, and none but spaces and line ends
     occur inside the text, the ids of a text are those of its words, each with the space or line end before it. Any
-    other text is encoded as a whole.
+    other text is encoded as a whole, and so is one that spells a token that the tokenizer cuts out beforehand.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.words = Words(self.tokenizer)
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *more = text.replace("\n", " \n").split(" ")
         if first and len(first.split()) == 1:
             try:
@@ -155,14 +158,14 @@ def shortest_pack_first(histogram: dict[int, int], sequence: int = SEQUENCE) ->
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
-            at = bisect_left(rooms, length)
-            if at == len(rooms):
+            # The shortest pack has the most room; where it is too full, all are.
+            if not rooms or rooms[-1] < length:
                 put((length,), left, sequence - length)
                 break
-            room = rooms[at]
+            room = rooms[-1]
             pattern, count = open_packs[room].pop()
             if not open_packs[room]:
-                del open_packs[room], rooms[at]
+                del open_packs[room], rooms[-1]
             taken = min(left, count)
             if count > taken:
                 put(pattern, count - taken, room)

@@ -88,7 +88,7 @@ def test_distances(spark):
     from laborlake.llm import quality_rules as qr
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text").collect()
-    short, words_of, classes = {}, Counter(), {}
+    common, words_of, classes = {}, Counter(), {}
 
     def plain(word):
         return "".join(c for c in word if c.isalpha() or c.isnumeric()).lower()
@@ -109,21 +109,24 @@ def test_distances(spark):
     for r in docs:
         words = WORD.findall(r.text)
         words_of[r.lang] += len(words)
-        short.setdefault(r.lang, Counter()).update(w for x in words if len(x) <= qr.SHORT and (w := plain(x)))
+        common.setdefault(r.lang, Counter()).update(w for x in words if (w := plain(x)))
         classes[r.lang] = classes.get(r.lang, 0) + kinds(r.text)
     got = {r.doc_id: r for r in op8_quality_rules(spark, "/root/testdata/sf0.001").collect()}
     for r in docs:
-        top = sorted(short[r.lang].items(), key=lambda x: (-x[1], x[0]))[: qr.COMMON]
-        if any(2000 * n < words_of[r.lang] for _, n in top):
-            continue
+        top = sorted(common[r.lang].items(), key=lambda x: (-x[1], x[0]))[: qr.COMMON]
         words = WORD.findall(r.text)
-        own = Counter(plain(w) for w in words if len(w) <= qr.SHORT)
+        own = Counter(plain(w) for w in words)
         p = np.array([own[w] for w, _ in top]) / len(words)
         q = np.array([n for _, n in top]) / words_of[r.lang]
-        want = js(np.append(p, 1 - p.sum()), np.append(q, 1 - q.sum()))
-        assert got[r.doc_id].word_distance == pytest.approx(want, abs=1e-9)
-        want = js(kinds(r.text) / kinds(r.text).sum(), classes[r.lang] / classes[r.lang].sum())
-        assert got[r.doc_id].class_distance == pytest.approx(want, abs=1e-9)
+        word_distance = js(np.append(p, 1 - p.sum()), np.append(q, 1 - q.sum()))
+        assert got[r.doc_id].word_distance == pytest.approx(word_distance, abs=1e-9)
+        class_distance = js(kinds(r.text) / kinds(r.text).sum(), classes[r.lang] / classes[r.lang].sum())
+        assert got[r.doc_id].class_distance == pytest.approx(class_distance, abs=1e-9)
+        far = class_distance > qr.MAX_CLASS_DISTANCE or word_distance > qr.MAX_WORD_DISTANCE + qr.CHANCE / math.sqrt(len(words))
+        windows = Counter(zip(words, words[1:], words[2:], strict=False))
+        covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)) if windows[w] > 1 for k in range(3)}
+        failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+        assert (got[r.doc_id].base_failed, got[r.doc_id].kept) == (failed, not failed and (words_of[r.lang] < qr.MIN_REFERENCE or not far))
 
 
 def test_long_and_rare_words_can_be_common(spark, save):
@@ -201,7 +204,6 @@ def tokens(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [[*e.ids, 0] for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -248,6 +250,38 @@ def test_patterns_hold_the_histogram(seed):
     assert held == histogram
 
 
+def test_a_length_goes_to_the_shortest_pack_that_is_open():
+    assert sorted(packing.shortest_pack_first({700: 1, 600: 1, 300: 1})) == [((600, 300), 1), ((700,), 1)]
+    assert sorted(packing.shortest_pack_first({600: 3, 300: 2, 100: 2})) == [((600, 100, 100), 1), ((600, 300), 2)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_patterns_are_those_of_one_length_at_a_time(seed):
+    """The same number of packs of each fill as with a heap of packs that takes every single length; those of a length that fit
+    nowhere open a pack each."""
+    import heapq
+
+    rng = random.Random(seed)
+    histogram = {n: rng.randint(1, 9) for n in rng.sample(range(1, 1024), 40)}
+    packs: list[int] = []
+    for length in sorted(histogram, reverse=True):
+        left = histogram[length]
+        while left and packs and packs[0] + length <= 1024:
+            heapq.heapreplace(packs, packs[0] + length)
+            left -= 1
+        for _ in range(left):
+            heapq.heappush(packs, length)
+    fills = Counter()
+    for pattern, count in packing.shortest_pack_first(histogram):
+        fills[sum(pattern)] += count
+    assert fills == Counter(packs)
+
+
+def test_a_token_that_the_text_spells(spark):
+    encoder = packing.Encoder(tokenizer_path())
+    assert np.frombuffer(encoder.encode("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_encoder_agrees_with_the_tokenizer():
     rng = random.Random(7)
     parts = [" ", "  ", "\n", "\t", "a", "The", "it's", "é", "ß", "12", "...", "###", " ", " ", "x", "\x1c", "日", "|", "<|endoftext|>"]
