@@ -23,8 +23,6 @@ MIN_WORDS = 50
 BROADCAST_LANGUAGES = 10_000
 MIN_REFERENCE = 1000
 COMMON = 24
-#: No word is too long to be a common one, and nothing here filters by this; the test of the distances takes its words by it.
-SHORT = 2**31 - 1
 #: Largest Jensen-Shannon distance (base 2, so 0 to 1) from the language that is kept. That of words has a share that
 #: falls with the root of their number, as a short text is far from any histogram by chance.
 MAX_CLASS_DISTANCE = 0.30
@@ -56,11 +54,8 @@ def repeated_windows(words: str, width: int = 3) -> Column:
     Windows are sorted by hash with their places; equal neighbours give the places of repeated windows, and sorted places
     the words that they cover. Sorting keeps this near linear for texts of any length.
     """
-    last = F.size(words) - width
-    starts = F.when(last >= 1, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    windows = F.transform(
-        starts, lambda i: F.struct(F.xxhash64(*[F.get(F.col(words), i + k) for k in range(width)]).alias("h"), i.alias("i"))
-    )
+    firsts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (width - 1), F.lit(0)))
+    hashes = F.transform(firsts, lambda w, i: F.xxhash64(w, *[F.get(F.col(words), i + k) for k in range(1, width)]))
 
     def places(ordered: Column) -> Column:
         def repeated(x: Column, i: Column) -> Column:
@@ -74,16 +69,16 @@ def repeated_windows(words: str, width: int = 3) -> Column:
         return F.aggregate(each, F.lit(0), lambda a, b: a + b)
 
     def count(found: Column) -> Column:
-        distinct = F.size(F.array_distinct(F.transform(found, lambda x: x["h"])))
-        at = F.transform(F.array(F.sort_array(found)), places)
-        return F.when(distinct < F.size(found), F.get(F.transform(at, covered), 0)).otherwise(0)
+        windows = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        at = F.transform(F.array(windows), places)
+        return F.when(F.size(F.array_distinct(found)) < F.size(found), F.get(F.transform(at, covered), 0)).otherwise(0)
 
     # An array of one, so that what is made of it is made once.
-    return F.get(F.transform(F.array(windows), count), 0)
+    return F.get(F.transform(F.array(hashes), count), 0)
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts, the class histogram (_h_...), and the words in `_words`, for each row of `docs`."""
+    """doc_id, lang, the base counts, the class histogram (_h_...), and the text in `_text`, for each row of `docs`."""
     rows = docs.select(
         "doc_id",
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
@@ -95,7 +90,7 @@ def measures(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id",
         "lang",
-        "_words",
+        "_text",
         F.size("_words").cast("long").alias("n_words"),
         lost.cast("long").alias("n_dup_lines"),
         repeated_windows("_words").cast("long").alias("n_repeat_words"),
@@ -144,18 +139,18 @@ def _shares(columns: list[str]) -> Column:
     return F.array(*[F.coalesce(F.try_divide(F.col(c), total), F.lit(0.0)) for c in columns])
 
 
-def _found(words: str, common: str, n_words: str) -> Column:
-    """Shares of the common words in an array of words: each is taken out of the joined text, and what is gone is counted."""
-    joined = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
-
-    def shares(spaced: Column) -> Column:
-        def share(word: Column) -> Column:
-            gone = F.replace(spaced, F.concat(F.lit(" "), word, F.lit(" ")), F.lit(""))
-            return (F.char_length(spaced) - F.char_length(gone)) / (F.char_length(word) + 2) / F.col(n_words)
+def _found(text: str, common: str, n_words: str) -> Column:
+    """Shares of the common words among all words of a text, by their places among the common ones, other words dropped."""
+    # Most words are longer than any common one, which is seen before any comparison.
+    longest = F.array_max(F.transform(common, F.octet_length))
+    plain = _words(_plain(F.col(text)))
+    left = F.get(F.transform(F.array(longest), lambda n: F.filter(plain, lambda w: (F.octet_length(w) <= n) & F.array_contains(F.col(common), w))), 0)
+    places = F.transform(left, lambda w: F.array_position(F.col(common), w))
 
-        return F.transform(common, share)
+    def shares(at: Column) -> Column:
+        return F.transform(common, lambda _, k: (F.size(at) - F.size(F.array_remove(at, k.cast("long") + 1))) / F.col(n_words))
 
-    return F.get(F.transform(F.array(_plain(joined)), shares), 0)
+    return F.get(F.transform(F.array(places), shares), 0)
 
 
 def _with_rest(shares: Column) -> Column:
@@ -181,8 +176,8 @@ def judge(docs: DataFrame) -> DataFrame:
     plain = docs.select("doc_id", "lang", "text")
     common = written(common_words(plain), "common")
     rows = _joined(measures(plain), common.drop("_times"))
-    rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_words", "_common", "n_words")))
-    rows = written(rows.drop("_words", "_common"), "measures")
+    rows = rows.withColumn("_found", F.when(F.col("n_words") > 0, _found("_text", "_common", "n_words")))
+    rows = written(rows.drop("_text", "_common"), "measures")
     names = [*CLASSES, "other"]
     sums = [F.sum(_pick(c)).alias(f"_r_{c}") for c in names]
     languages = rows.groupBy("lang").agg(F.sum("n_words").alias("_total"), *sums).join(common.drop("_common"), "lang", "left")
