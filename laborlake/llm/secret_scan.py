@@ -194,4 +194,4 @@ def masked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     whole = F.aggregate("_spans", none, step, lambda got: F.concat(F.array_join(got["parts"], ""), F.substr("text", got["at"] + 1, F.length("text"))))
-    return done.withColumn("text", F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))).select(docs.columns)
+    return done.withColumn("text", F.when(F.size("_spans") > 0, whole).otherwise(F.col("text"))).drop("_spans")
