@@ -449,3 +449,36 @@ def test_line_breaks_in_many_tasks_as_pandas_reads_them(spark, base, store, endi
     want = pd.read_csv(path, encoding="latin-1", dtype=str, keep_default_na=False)
     got = {r.pis: (r.razao_social, r.idade) for r in stored(spark, store).collect()}
     assert got == {p: (n.strip() if n else None, int(i)) for p, n, _, i in want.itertuples(index=False)}
+
+
+@pytest.fixture()
+def mounted(spark, tmp_path):
+    """A folder under a scheme that the engine's file systems know and Python does not."""
+    (tmp_path / "in").mkdir()
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.{tmp_path.name}.link./in", f"file:{tmp_path}/in")
+    return f"viewfs://{tmp_path.name}/in"
+
+
+def test_any_store_that_the_engine_opens(spark, mounted, tmp_path):
+    base = tmp_path / "in" / "source"
+    small(base, 2014, "AC2014ID.txt", ["120040;A;1"])
+    small(base, 2014, "RAIS_VINC_ID_X [1] +%20.txt", ['120040;"B\nB";2'])
+    put(job_link_file(base, 2015, "SP2015ID.txt"), [])
+    result = load(spark, f"{mounted}/source", f"{mounted}/store")
+    assert result.failed == {} and sorted(result.rows.values()) == [0, 1, 1]
+    assert pairs(spark, f"{mounted}/store") == [("A", 1), ("B\nB", 2)]
+    assert load(spark, f"{mounted}/source", f"{mounted}/store").found == 0
+    load(spark, f"{mounted}/source", f"{mounted}/store", force=True)
+    assert pairs(spark, f"{mounted}/store") == [("A", 1), ("B\nB", 2)]
+
+
+def test_a_header_costs_no_more_in_a_large_file(spark, tmp_path):
+    from laborlake.sources.headers import first_line
+
+    path = put(tmp_path / "large.txt", ["PIS;CPF", *["1;2"] * 3_000_000])
+    read = lambda: sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = read()
+    assert first_line(spark, str(path)) == b"PIS;CPF" and read() - before < 1 << 20
+    long = put(tmp_path / "wide.txt", [";".join(f"column {i}" for i in range(5000)), "1"])
+    assert len(first_line(spark, f"file:{long}")) > 1 << 15
