@@ -9,6 +9,8 @@ Only ids, sizes and checksums are shuffled, never texts. An id that many rows re
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +34,15 @@ def _range_of(rows: DataFrame, ranges: int) -> Column:
     """The key range of a row: 0 for no id; where several cuts fall on one id, its rows go on by checksum."""
     quantiles = [i / ranges for i in range(1, ranges)]
     cuts = rows.agg(F.percentile_approx("doc_id", quantiles, 20 * ranges).alias("cuts")).first().cuts or []
-    cuts = F.array(*[F.lit(c).cast("long") for c in cuts])
-    below = F.size(F.filter(cuts, lambda c: c < F.col("doc_id")))
-    equal = F.size(F.filter(cuts, lambda c: c == F.col("doc_id"))) + 1
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))]).cast("array<int>")
+    cuts = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>") if cuts else F.array().cast("array<long>")
+
+    def count(comes_before: Callable[[Column], Column]) -> Column:
+        """How many of the cuts, which ascend, come before: found by steps of halves."""
+        return F.aggregate(steps, F.lit(0), lambda n, s: F.when(comes_before(F.get(cuts, n + s - 1)), n + s).otherwise(n))
+
+    below = count(lambda c: c < F.col("doc_id"))
+    equal = count(lambda c: c <= F.col("doc_id")) - below + 1
     spread = F.floor(F.col("text_crc32") * equal / F.lit(2**32)).cast("int")
     return F.when(F.col("doc_id").isNull(), -1).otherwise(below + spread)
 
