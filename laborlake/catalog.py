@@ -24,7 +24,7 @@ from laborlake.plans.verify import verify
 from laborlake.session import new_folder
 from laborlake.sources import store as tables
 from laborlake.sources.files import JOB_LINK_FOLDER, classify, discover, filter_files, hadoop_fs, list_files
-from laborlake.sources.headers import describe_headers, with_headers
+from laborlake.sources.headers import describe_headers, own_session, with_headers
 from laborlake.streaming.arrivals import load_arrivals, load_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,7 +308,7 @@ def filter_files_query(spark, sf_dir):
 def ledger_entries(spark: SparkSession, sf_dir: str, removals: bool = False) -> DataFrame:
     """Every order as a ledger row; a customer's orders of a year are versions of one file's row."""
     deleted = "o_orderkey % 5 = 0" if removals else "false"
-    return tb.read_table(spark, sf_dir, "orders").selectExpr(
+    return tb.read_table(own_session(spark, ledger.SETTINGS), sf_dir, "orders").selectExpr(
         "IF(o_custkey % 3 = 0, 'estabelecimentos', 'vinculos') AS dataset",
         "year(o_orderdate) AS ano",
         "concat('F', o_custkey, '.txt') AS filename",

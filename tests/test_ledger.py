@@ -5,6 +5,7 @@ import pytest
 
 from laborlake.operators import ledger
 from laborlake.operators.ledger import Ledger
+from laborlake.sources.headers import own_session
 
 COLUMNS = "dataset string, ano int, filename string, rows bigint, size_bytes bigint"
 AC14 = ("vinculos", 2014, "AC2014ID.txt", 1000, 72000000)
@@ -208,3 +209,11 @@ def test_later_entries_are_not_replaced_by_adopted_ones(spark, table):
     table.mark_done(frame(spark, AC14))
     table.adopt(frame(spark, (*AC14[:3], 1, 1), AC15).selectExpr("*", "timestamp_seconds(1000) AS processed_at", "false AS deleted"))
     assert {(r.ano, r.rows) for r in table.current().collect()} == {(2014, 1000), (2015, 10)}
+
+
+def test_rows_of_one_entry_do_not_meet_in_one_task(spark, tmp_path):
+    table = Ledger(own_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}), str(tmp_path))
+    table.mark_done(frame(spark, AC14, AC15, ESTB))
+    plan = table.entries()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert table.count() == 3
