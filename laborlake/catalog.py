@@ -429,7 +429,7 @@ def load_shapes(spark: SparkSession, sf_dir: str) -> tuple[LoadResult, str]:
     text = f"""CASE WHEN l_orderkey % 17 = 0 THEN ''
         WHEN {IS_LONG} THEN concat({SHAPE_FIELDS}, IF(l_linenumber % 2 = 0, ';x', ';'))
         WHEN l_orderkey % 3 = 0 THEN substring_index({SHAPE_FIELDS}, ';', 2) ELSE {SHAPE_FIELDS} END"""
-    rows = tb.read_table(spark, sf_dir, "lineitem").select(
+    rows = tb.text_source(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").alias("ano"), F.lit("BR").alias("regiao"), F.expr(text).alias("line")
     )
     staged, store = new_folder(spark, "shapes"), new_folder(spark, "store-shapes")
@@ -462,7 +462,7 @@ def outcome(spark: SparkSession, store: str) -> DataFrame:
 def incremental_run(spark, sf_dir):
     """Years up to 1997 first, then all, then all again: every file is loaded exactly once, empty ones as well."""
     base, store = new_folder(spark, "source-growing"), new_folder(spark, "store-growing")
-    rows = tb.read_table(spark, sf_dir, "lineitem")
+    rows = tb.text_source(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
     tb.write_job_links(spark, rows.where(early), base, new=False)
     load(spark, base, store)
@@ -493,7 +493,7 @@ def force_run(spark, sf_dir):
 
 def failure_isolation(spark, sf_dir):
     """A file that is not there and one without a header fail, in a year whose other files load."""
-    rows = tb.read_table(spark, sf_dir, "lineitem").select(
+    rows = tb.text_source(spark, sf_dir, "lineitem").select(
         F.year("l_shipdate").alias("ano"), F.lit("BR").alias("regiao"), F.expr(SHAPE_FIELDS).alias("line")
     )
     staged, store = new_folder(spark, "broken"), new_folder(spark, "store-broken")
@@ -522,7 +522,7 @@ def stream_rows(spark, sf_dir):
 def incremental_stream(spark, sf_dir):
     """The same with files picked up by a stream; one is older than those seen and has an extension in odd case."""
     base, store = new_folder(spark, "source-stream"), new_folder(spark, "store-stream")
-    rows = tb.read_table(spark, sf_dir, "lineitem")
+    rows = tb.text_source(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
     tb.write_job_links(spark, rows.where(early), base, new=True)
     load_arrivals(spark, base, store)
