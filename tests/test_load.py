@@ -482,3 +482,12 @@ def test_a_header_costs_no_more_in_a_large_file(spark, tmp_path):
     assert first_line(spark, str(path)) == b"PIS;CPF" and read() - before < 1 << 20
     long = put(tmp_path / "wide.txt", [";".join(f"column {i}" for i in range(5000)), "1"])
     assert len(first_line(spark, f"file:{long}")) > 1 << 15
+
+
+def test_rows_are_shuffled_only_if_asked_to(spark, base, store, monkeypatch):
+    asked = []
+    monkeypatch.setattr(tables, "spread", lambda df: asked.append(True) or df)
+    small(base, 2020, "RAIS_VINC_ID_SUL.txt", ["430543;1;30", "420543;2;40", "430543;3;50"])
+    assert load(spark, str(base), store).total_rows == 3 and not asked
+    assert load(spark, str(base), store, force=True, shape="spread").total_rows == 3 and asked
+    assert pairs(spark, store) == [("1", 30), ("2", 40), ("3", 50)] and len(folders(store)) == 2
