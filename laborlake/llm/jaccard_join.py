@@ -246,7 +246,8 @@ def index_entries(docs: DataFrame) -> DataFrame:
 
 
 def allocate(entries: DataFrame) -> DataFrame:
-    """key, node, n, selected, support: entries of the keys by which some set must search."""
+    """key, node, n, selected, best, best_n, best_selected: entries of the keys by which some set must search, and the member
+    of each key with most shared segments."""
     highs = []
     low, top = band_bounds(1)[0], entries.agg(F.max("n")).first()[0] or 0
     while low <= top:
@@ -258,7 +259,8 @@ def allocate(entries: DataFrame) -> DataFrame:
     own = Window.partitionBy("node")
     searched = (F.col("code") == OWN) | ((F.col("code") >= DELETION) & (F.col("code") < INDEXED_DELETION))
     unit = F.when(F.col("code") == OWN, F.col("key")).when(searched, -F.col("code").cast("long"))
-    rows = entries.withColumn("unit", unit).withColumn("searched", searched)
+    # One shuffle, by node, serves all windows.
+    rows = entries.repartition("node").withColumn("unit", unit).withColumn("searched", searched)
     cost = F.sum(F.when(F.col("searched"), F.col("freq") - 1)).over(Window.partitionBy("node", "unit"))
     rows = rows.withColumn("cost", cost)
     rank = F.dense_rank().over(own.orderBy(F.col("searched").desc(), "cost", F.col("unit") < 0, "unit"))
@@ -271,22 +273,34 @@ def allocate(entries: DataFrame) -> DataFrame:
         }
     )
     rows = written(rows.select("key", "node", "n", "selected", "support"), "entries")
-    wanted = rows.groupBy("key").agg(F.max("selected").alias("any")).filter("any").select(F.col("key").alias("_key"))
-    return rows.join(wanted, F.col("key") == F.col("_key"), "left_semi")
+    best = rows.groupBy(F.col("key").alias("_key")).agg(F.max("selected").alias("any"), F.max(F.struct("support", "node", "n", "selected")).alias("top"))
+    best = best.filter("any").select("_key", F.col("top.node").alias("best"), F.col("top.n").alias("best_n"), F.col("top.selected").alias("best_selected"))
+    return rows.drop("support").join(best, F.col("key") == F.col("_key")).drop("_key")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar enough."""
-    spark = pairs.sparkSession
+def by_sketches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sketches differ little enough."""
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
         return pd.Series([differing_bits(x, y) <= m for x, y, m in zip(a, b, most, strict=True)], dtype=bool)
 
+    def of(side: str) -> DataFrame:
+        return sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+
+    joined = pairs.join(of("a"), "a").join(of("b"), "b")
+    # |x| + |y| - 2 both, where both >= t / (1 + t) (|x| + |y|).
+    most = F.floor((F.col("n_a") + F.col("n_b")) * (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)).cast("long")
+    return written(joined.filter(near("s_a", "s_b", most)).select("a", "b"), "near")
+
+
+def verify(left: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets are similar enough, of those that sketches have left."""
+
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
@@ -302,13 +316,6 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
                 found = shingle_sets(part["text"].tolist())
                 yield pd.DataFrame({"node": [set_hash(s) for s in found], "elements": [s.tobytes() for s in found]})
 
-    def of(side: str) -> DataFrame:
-        return sets.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
-
-    joined = pairs.join(of("a"), "a").join(of("b"), "b")
-    # |x| + |y| - 2 both, where both >= t / (1 + t) (|x| + |y|).
-    most = F.floor((F.col("n_a") + F.col("n_b")) * (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)).cast("long")
-    left = written(joined.filter(near("s_a", "s_b", most)).select("a", "b"), "near")
     nodes = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
     wanted = written(sets.join(nodes, "node", "left_semi").select("text_hash"), "wanted")
     few = wanted.count() <= BROADCAST
@@ -330,32 +337,36 @@ def _pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
     """
     spark = members.sparkSession
     counted = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.count_if("selected").alias("s"))
-    main = counted.groupBy("key").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("total"), F.sum("s").alias("chosen"))
+    main = counted.groupBy("key").agg(
+        F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("total"), F.sum("s").alias("chosen"), F.count(F.lit(1)).alias("parts")
+    )
     count = lambda n: F.ceil(n / BLOCK).cast("int")
-    main = main.select(
-        "key",
+    main = main.filter("parts > 1").select(
+        F.col("key").alias("_key"),
         F.col("main.component").alias("main"),
         # Blocks of those who search by the key come before those of the others.
         count(F.col("chosen")).alias("first"),
         count(F.col("total") - F.col("chosen")).alias("rest"),
         count(F.col("total") - F.col("main.c")).alias("crowds"),
     )
-    rows = members.join(main, "key").withColumn("outside", F.col("component") != F.col("main")).join(sets.select("node", "sketch"), "node")
-    columns = ["key", "node", "n", "selected", "component", "outside", "sketch"]
+    rows = members.join(main, F.col("key") == F.col("_key")).withColumn("outside", F.col("component") != F.col("main"))
+    rows = rows.join(sets.select(F.col("node").alias("_node"), "sketch"), F.col("node") == F.col("_node"))
     of = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "node"), F.greatest(F.col(n), F.lit(1))).cast("int")
     block = F.when(F.col("selected"), of(1, "first")).otherwise(F.col("first") + of(1, "rest"))
     visited = F.when(F.col("selected"), F.col("first") + F.col("rest")).otherwise(F.col("first"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    stay = rows.select(*columns, block.alias("block"), every(F.col("crowds")).alias("crowd"), F.lit(False).alias("visits"))
-    visit = rows.filter(F.col("outside") & (visited > 0)).select(*columns, every(visited).alias("block"), of(2, "crowds").alias("crowd"), F.lit(True).alias("visits"))
-
-    def compare(held: list[pd.DataFrame]) -> pd.DataFrame:
-        group = held[0] if len(held) == 1 else pd.concat(held)
-        node, n, chosen, part, outside, visits = (group[c].to_numpy() for c in ("node", "n", "selected", "component", "outside", "visits"))
+    up_to = lambda n, place: F.transform(F.sequence(F.lit(0), n - 1), place)
+    place = lambda block, crowd, visits: F.struct(block.alias("block"), crowd.alias("crowd"), F.lit(visits).alias("visits"))
+    stay = up_to(F.col("crowds"), lambda i: place(block, i, False))
+    visit = up_to(visited, lambda i: place(i, of(2, "crowds"), True))
+    nowhere = F.array().cast("array<struct<block:int,crowd:int,visits:boolean>>")
+    places = F.concat(stay, F.when(F.col("outside") & (visited > 0), visit).otherwise(nowhere))
+    columns = ["node", "n", "selected", "component", "outside", "visits", "sketch"]
+
+    def compare(held: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        node, n, chosen, part, outside, visits, sketches = held[0] if len(held) == 1 else map(np.concatenate, zip(*held, strict=True))
         inside, come = np.flatnonzero(~visits), np.flatnonzero(visits)
-        xs, ys = [], []
+        xs, ys = [node[:0]], [node[:0]]
         if len(inside) and len(come):
-            sketches = group["sketch"].tolist()
             size = min(map(len, sketches))
             bits = np.stack([_folded(np.frombuffer(s, np.uint8), size) for s in sketches])
             for v in come:
@@ -364,52 +375,56 @@ def _pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
                 # Two visitors meet in the blocks of both.
                 at = inside[fits & (~outside[inside] | (node[inside] > node[v]))]
                 if len(at):
-                    apart = np.bitwise_count(bits[at] ^ bits[v]).sum(axis=1)
-                    at = at[apart <= (n[at] + n[v]) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)]
+                    most = (n[at] + n[v]) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
+                    close = np.bitwise_count(bits[at] ^ bits[v]).sum(axis=1) <= most
+                    at, most = at[close], most[close]
+                    if len(sketches[v]) > size:
+                        # Sketches of the group's smallest size leave more than those of the pair's.
+                        at = at[[differing_bits(sketches[i], sketches[v]) <= m for i, m in zip(at, most, strict=True)]] if len(at) else at
                     xs.append(np.full(len(at), node[v]))
                     ys.append(node[at])
-        return pd.DataFrame({"x": np.concatenate(xs or [[]]).astype(np.int64), "y": np.concatenate(ys or [[]]).astype(np.int64)})
+        return np.concatenate(xs), np.concatenate(ys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held: list[list[np.ndarray]] = []
         at = None
         for batch in batches:
-            places = batch[["key", "block", "crowd"]].to_numpy()
-            edges = [0, *(np.flatnonzero((places[1:] != places[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            keys = batch[["key", "block", "crowd"]].to_numpy()
+            values = [batch[c].to_numpy() for c in columns]
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
             found = []
             for low, high in zip(edges[:-1], edges[1:], strict=True):
-                now = tuple(places[low]) if high > low else at
+                now = tuple(keys[low]) if high > low else at
                 if now != at and held:
                     found.append(compare(held))
                     held = []
                 at = now
-                held.append(batch.iloc[low:high])
+                held.append([x[low:high] for x in values])
             if found:
                 # A pair often meets in many groups.
-                yield pd.concat(found).drop_duplicates()
+                yield as_rows(found).drop_duplicates()
         if held:
-            yield compare(held)
+            yield as_rows([compare(held)])
 
-    place = ["key", "block", "crowd"]
-    dealt = stay.unionByName(visit).repartition(tasks(spark), *place).sortWithinPartitions(*place)
+    def as_rows(found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate(x).astype(np.int64) for c, x in zip("xy", zip(*found, strict=True), strict=True)})
+
+    at = ["key", "block", "crowd"]
+    dealt = rows.select("key", "node", "n", "selected", "component", "outside", "sketch", F.explode(places).alias("place"))
+    dealt = dealt.select("key", "place.*", *[c for c in columns if c != "visits"]).repartition(tasks(spark), *at).sortWithinPartitions(*at)
     return dealt.mapInPandas(run, "x long, y long")
 
 
 def link_sets(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """node, component for each node that is not the smallest of its component."""
     entries = written(allocate(written(index_entries(docs), "index")), "selected")
-    best = entries.groupBy("key").agg(F.max(F.struct("support", "node", "n", "selected")).alias("best"))
-    stars = entries.join(best, "key").filter((F.col("node") != F.col("best.node")) & (F.col("selected") | F.col("best.selected")))
-    stars = stars.filter(F.least("n", "best.n") * DENOMINATOR >= F.greatest("n", "best.n") * NUMERATOR)
-    first = written(_ordered(stars.select(F.col("node").alias("x"), F.col("best.node").alias("y"))), "stars")
-    links = verify(first, sets, docs)
-    found = written(components(links), "components")
-
-    known = entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    groups = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    known = written(known.join(groups.filter("lo != hi").select("key"), "key", "left_semi"), "across")
-    pairs = _pairs_across(known.select("key", "node", "n", "selected", "component"), sets)
-    second = _ordered(pairs).join(first, ["a", "b"], "left_anti")
+    stars = entries.filter((F.col("node") != F.col("best")) & (F.col("selected") | F.col("best_selected")))
+    stars = stars.filter(F.least("n", "best_n") * DENOMINATOR >= F.greatest("n", "best_n") * NUMERATOR)
+    first = written(_ordered(stars.select(F.col("node").alias("x"), F.col("best").alias("y"))), "stars")
+    found = components(verify(by_sketches(first, sets), sets, docs))
+
+    known = entries.select("key", "node", "n", "selected").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    second = _ordered(_pairs_across(known, sets)).join(first, ["a", "b"], "left_anti")
     more = verify(written(second, "pairs"), sets, docs)
     return components(more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
@@ -431,7 +446,7 @@ def group_documents(docs: DataFrame) -> DataFrame:
     found = link_sets(docs, sets)
     placed = sets.select("node", "first_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = placed.groupBy("component").agg(F.min("first_id").alias("name"))
-    named_sets = written(placed.join(names, "component").select(F.col("node").alias("_node"), "name"), "names")
+    named_sets = placed.join(names, "component").select(F.col("node").alias("_node"), "name")
     out = rows.join(named_sets, F.col("node") == F.col("_node"), "left")
     doc_id = F.col("_row").cast("long")
     return out.select(

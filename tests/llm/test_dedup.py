@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from laborlake.llm import components as connected
 from laborlake.llm import jaccard_join as jj
 from laborlake.llm import suffix_dedup as sd
 from laborlake.llm.components import components
@@ -166,6 +167,56 @@ def test_components(spark):
     assert found == {i: 0 for i in range(1, 41)} | {101: 100, 102: 100}
 
 
+def counted_writes(monkeypatch):
+    """Labels of the tables that the join writes from now on."""
+    labels = []
+    for module in (jj, connected):
+        write = module.written
+        monkeypatch.setattr(module, "written", lambda df, label, write=write: (labels.append(label), write(df, label))[1])
+    return labels
+
+
+def test_components_stop_with_stars(spark, monkeypatch):
+    """Links that are stars after a round need no second one to see that nothing changes."""
+    labels = counted_writes(monkeypatch)
+    links = [(9, i) for i in range(10, 60)] + [(70, 71), (72, 71), (71, 70), (80, 80)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {i: 9 for i in range(10, 60)} | {71: 70, 72: 70}
+    assert labels == ["links"]
+
+
+def test_components_without_links(spark):
+    assert components(spark.createDataFrame([(3, 3)], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components_of_random_links(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 7) for i in range(400, 500)]
+    least = {x: x for link in links for x in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(least[a], least[b])
+            changed |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {x: m for x, m in least.items() if x != m}
+
+
+def test_groups_are_found_in_few_steps(spark, save, monkeypatch):
+    """Each step is a shuffle over all partitions, however few rows are left; pairs across components have had their sketches
+    compared when they become rows."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    texts = [" ".join([*base[:at], f"n{at}", *base[at + 1 :]]) for at in range(0, 120, 3)] + [" ".join(base)] * 3
+    labels = counted_writes(monkeypatch)
+    check_groups(spark, save(documents=as_documents(texts)))
+    assert labels.count("near") == 1
+    assert len(labels) <= 18
+
+
 def dedup_lines(rows, least=40):
     """Of every line, the longest run from there that an earlier place has as well; all of it goes if it is long enough."""
     places, sequences, out = {}, [], {}
