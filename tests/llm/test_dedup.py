@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from laborlake.llm import components as connected
@@ -73,6 +75,39 @@ def test_long_texts_are_sampled_in_pieces(monkeypatch):
     assert windows[0] == windows[1] and len(windows[0]) == len(text) - LENGTH + 1
 
 
+def test_sampling_many_bytes_takes_little_memory():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes() for _ in range(2000)]
+    texts.append(rng.integers(97, 123, 2_000_000, dtype=np.uint8).tobytes())
+    sd.sampled_suffixes(texts[:1])
+    tracemalloc.start()
+    sd.sampled_suffixes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_a_batch_of_many_windows_is_sorted_in_parts(monkeypatch):
+    """Parts end where a gram does, whatever the batches, and find what one sort of all finds."""
+    rng = random.Random(5)
+    sorted_together = []
+    equal = sd.equal_windows
+    monkeypatch.setattr(sd, "equal_windows", lambda blocks: (sorted_together.append(int(blocks["windows"].sum())), equal(blocks))[1])
+    stock = ["".join(rng.choice("abcd") for _ in range(LENGTH + 49)).encode() for _ in range(60)]
+    rows = [(x[:16], gram, i, 10 * gram + i, 7, 30, 50, x) for gram, x in enumerate(stock) for i in range(rng.choice([1, 2, 3]))]
+    batch = pd.DataFrame(rows, columns=[c.split()[0] for c in sd.CUT.split(", ")])
+
+    def spans(size):
+        monkeypatch.setattr(sd, "SORTED", size)
+        sorted_together.clear()
+        return {tuple(r) for found in sd._merge_edges(iter(sd._sort_bucket(1)(iter([batch])))) for r in found.itertuples(index=False)}
+
+    whole = spans(10**6)
+    assert sorted_together == [50 * len(rows)] and whole
+    assert spans(500) == whole
+    assert max(sorted_together) <= 1500
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
