@@ -50,7 +50,7 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     for i in range(len(texts)):
         n = int(starts[i + 1] - starts[i])
         if n >= WIDTH:
-            out.append(np.unique(full[full_starts[i] : full_starts[i + 1]]))
+            out.append(textscan.distinct(full[full_starts[i] : full_starts[i + 1]]))
         elif n:
             whole, _ = textscan.windows(words[starts[i] : starts[i + 1]], np.array([0, n]), n)
             out.append(whole ^ np.uint64(n))
@@ -144,7 +144,7 @@ def _text(docs: DataFrame) -> DataFrame:
 
 
 def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    for low, high in textscan.slices(batch["text"].str.len().to_numpy(), 1 << 21):
+    for low, high in textscan.text_slices(batch["text"], 1 << 21):
         yield batch.iloc[low:high]
 
 

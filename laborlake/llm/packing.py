@@ -22,12 +22,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from laborlake.llm import textscan
 from laborlake.llm.common import tasks, written
 
 SEQUENCE = 1024
 END = 0
 #: Words whose ids a task remembers at most; beyond it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, salt int"
 
 #: Words of which the tokenizer makes a line end, letters and a run of signs, whatever stands around them.
@@ -111,7 +112,7 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) ->
         encoder = _encoder(tokenizer)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
-            for low, high in _slices(batch["text"], 1 << 22):
+            for low, high in textscan.text_slices(batch["text"], 1 << 22):
                 rows = []
                 part = batch.iloc[low:high]
                 for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
@@ -129,17 +130,6 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) ->
     return rows.mapInPandas(cut, PIECES)
 
 
-def _slices(texts: pd.Series, size: int) -> Iterator[tuple[int, int]]:
-    """Consecutive rows with about `size` characters together."""
-    ends = texts.str.len().cumsum().to_numpy()
-    low = 0
-    while low < len(ends):
-        base = ends[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, base + size, "right")))
-        yield low, high
-        low = high
-
-
 def shortest_pack_first(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
     """Packing patterns (lengths in order, longest first) and how many sequences follow each."""
     open_packs: dict[int, list[tuple[tuple[int, ...], int]]] = {}

@@ -29,6 +29,8 @@ from laborlake.llm.common import tasks, written
 BUCKETS = 1 << 18
 #: Buckets that are shuffled as one array.
 SLICE = 1 << 13
+#: Characters whose n-grams are looked at together; a task holds about 40 bytes for each of them.
+PIECE = 1 << 19
 #: Bound on the labelled rows that are used.
 LABELLED = 50_000
 #: Documents added to both models in each bucket.
@@ -99,7 +101,7 @@ def count_models(docs: DataFrame, labelled: DataFrame) -> tuple[np.ndarray, np.n
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         raw, target = np.zeros(2 * BUCKETS, np.int64), np.zeros(2 * BUCKETS, np.int64)
         for batch in batches:
-            for low, high in textscan.slices(batch["text"].str.len().to_numpy(), 1 << 22):
+            for low, high in textscan.text_slices(batch["text"], PIECE):
                 part = batch.iloc[low:high]
                 first, second, owner = ngram_buckets(part["text"].tolist())
                 good = part["good"].to_numpy()[owner]
@@ -148,8 +150,7 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def _score(weights: np.ndarray, texts: list[str]) -> np.ndarray:
     out = np.zeros(len(texts))
-    lengths = np.array([len(t) for t in texts])
-    for low, high in textscan.slices(lengths, 1 << 22):
+    for low, high in textscan.text_slices(texts, PIECE):
         first, second, owner = ngram_buckets(texts[low:high])
         one, other = weights[first], weights[second]
         lesser = np.where(np.abs(one) < np.abs(other), one, other)

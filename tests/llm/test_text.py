@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from laborlake.llm import decontaminate as dc
+from laborlake.llm import jaccard_join as jj
 from laborlake.llm import packing, textscan
 from laborlake.llm import quality_classifier as qc
 from laborlake.llm.queries import op7_decontamination, op8_quality_rules, op9_quality_classifier, op10_packing, tokenizer_path
@@ -177,6 +181,19 @@ def test_the_largest_keys_stay(spark, odd):
     assert len(kept) + len(gone) == len(rows) and (not gone or min(kept) > max(gone))
 
 
+def test_scoring_many_texts_takes_little_memory():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 300).tolist())) for _ in range(4000)]
+    weights = rng.normal(size=2 * qc.BUCKETS)
+    want = [float(qc._score(weights, [t])[0]) for t in texts[::500]]
+    tracemalloc.start()
+    got = qc._score(weights, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[::500].tolist() == want
+    assert peak < 100e6
+
+
 def test_kth_key(spark):
     rng = random.Random(1)
     keys = [rng.choice([5, -7, rng.randint(-(10**9), 10**9)]) for _ in range(3000)]
@@ -185,6 +202,30 @@ def test_kth_key(spark):
         assert qc.kth_key(frame, k) == sorted(keys, reverse=True)[k - 1]
 
 
+@pytest.mark.parametrize("parts", [jj._parts, lambda batch: textscan.text_slices(batch["text"], 1000)])
+def test_batches_are_freed_as_soon_as_they_are_done(parts):
+    """No cycle keeps a batch's texts until Python looks for such."""
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for n in range(8):
+            batch = pd.DataFrame({"text": [f"{n} {i} ".ljust(2000, "x") for i in range(1000)]})
+            assert len(list(parts(batch)))
+            del batch
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert held < 2e6
+
+
+def test_distinct():
+    x = np.random.default_rng(2).integers(0, 50, 400).astype(np.uint64)
+    for n in (0, 1, 2, 400):
+        assert textscan.distinct(x[:n]).tolist() == sorted(set(x[:n].tolist()))
+
+
 def test_word_hashes(monkeypatch):
     monkeypatch.setattr(textscan, "PIECE", 64)
     rng = random.Random(2)
