@@ -37,50 +37,64 @@ def describe_headers(lines: DataFrame) -> DataFrame:
     return lines.withColumn("sep", delimiter(text)).withColumn("headers", header_names(text))
 
 
-def first_line(spark: SparkSession, path: str) -> bytes:
-    """The first line of a file on any store that the engine opens, read piece by piece until it ends."""
+def first_piece(spark: SparkSession, path: str) -> bytes:
+    """The start of a file on any store that the engine opens, read piece by piece until its first line ends."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
     try:
-        line = b""
+        piece = b""
         while more := stream.readNBytes(PIECE):
-            line += more
+            piece += more
             if b"\n" in more:
                 break
-        return line.partition(b"\n")[0]
+        return piece
     finally:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> bytes:
+    return first_piece(spark, path).partition(b"\n")[0]
+
+
+def has_odd_line(piece: bytes) -> bool:
+    """Whether a whole line after the first one has an odd number of quotes, as lines have that a quoted line break ends."""
+    return any(line.count(b'"') % 2 for line in piece.split(b"\n")[1:-1])
+
+
 def read_headers(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(path, number, error) of each file that is not empty, and (number, line) of the few different first lines.
+    """(path, number, odd, error) of each file that is not empty, and (number, line) of the few different first lines.
 
     Threads of the driver open one file after the other through the engine's own file systems, so whatever it can scan
     has a header, and what is read does not depend on how large a file is. A file that can't be read does not stop the
-    others. A name and a number stay of each file; lines are kept once, however many files share them.
+    others. A name and a number stay of each file; lines are kept once, however many files share them. ``odd`` tells whether
+    a line that was read along has an odd number of quotes.
     """
     spark = files.sparkSession
 
-    def look(path: str) -> tuple[str, bytes | None, str | None]:
+    def look(path: str) -> tuple[str, bytes | None, bool, str | None]:
         try:
-            return path, first_line(spark, path), None
+            piece = first_piece(spark, path)
+            return path, piece.partition(b"\n")[0], has_odd_line(piece), None
         except Py4JJavaError as error:
-            return path, None, str(error.java_exception.toString())
+            return path, None, False, str(error.java_exception.toString())
 
     numbers: dict[bytes, int] = {}
-    rows: list[tuple[str, int | None, str | None]] = []
+    rows: list[tuple[str, int | None, bool, str | None]] = []
     paths = (r.path for r in files.where("size_bytes > 0").select("path").toLocalIterator())
     with ThreadPoolExecutor(READERS) as pool:
         while some := list(islice(paths, FILES_AT_ONCE)):
-            for path, line, error in pool.map(look, some):
-                rows.append((path, None if line is None else numbers.setdefault(line, len(numbers)), error))
+            for path, line, odd, error in pool.map(look, some):
+                rows.append((path, None if line is None else numbers.setdefault(line, len(numbers)), odd, error))
     lines = spark.createDataFrame([(n, bytearray(line)) for line, n in numbers.items()], "number int, raw binary")
-    return spark.createDataFrame(rows, "path string, number int, error string"), lines.select("number", F.decode("raw", ENCODING).alias("line"))
+    return spark.createDataFrame(rows, "path string, number int, odd boolean, error string"), lines.select("number", F.decode("raw", ENCODING).alias("line"))
 
 
-def with_headers(files: DataFrame) -> DataFrame:
-    """Files plus ``line``, ``error``, ``sep`` and ``headers``; an empty or unreadable file has no header names."""
+def with_headers(files: DataFrame, odd: bool = False) -> DataFrame:
+    """Files plus ``line``, ``error``, ``sep`` and ``headers``, and ``odd`` if asked for; an empty or unreadable file has no
+    header names."""
     found, lines = read_headers(files)
     described = files.join(found, "path", "left").join(describe_headers(lines), "number", "left").drop("number")
     none = F.array().cast("array<string>")
-    return described.withColumns({"sep": F.coalesce("sep", F.lit(",")), "headers": F.coalesce("headers", none)}).select(*files.columns, "line", "error", "sep", "headers")
+    return described.withColumns({"sep": F.coalesce("sep", F.lit(",")), "headers": F.coalesce("headers", none)}).select(
+        *files.columns, "line", "error", "sep", "headers", *(["odd"] if odd else [])
+    )

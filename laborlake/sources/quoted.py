@@ -21,15 +21,16 @@ WHOLE, END, BETWEEN, START = range(4)
 
 
 def lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path, start (of the byte range), line: all lines, in the order of the file within a task."""
+    """path, start (of the byte range), value, line: all lines, as bytes and as text, in the order of the file within a task."""
     text = spark.read.option("lineSep", "\n").text([escape_glob(p) for p in paths])
     line = F.decode(F.col("value").cast("binary"), ENCODING).alias("line")
-    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), line)
+    return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value", line)
 
 
 def ranges_of(lines: DataFrame) -> DataFrame:
     """path, start, inside, cut: whether a byte range starts inside quotes, and whether a record goes on over either end."""
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    # A quote is one byte, and no byte of another character.
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     odd = lines.groupBy("path", "start").agg((F.sum(quotes) % 2).alias("odd"))
     upto = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     after = F.sum("odd").over(upto) % 2 == 1
@@ -107,7 +108,7 @@ def records_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     lines = lines_of(spark, paths)
     ranges = ranges_of(lines)
     # A row for each byte range of a batch, whose size is bounded: 32,768 rows for 4 TiB in ranges of 128 MiB.
-    of = lambda some: lines.join(F.broadcast(some), ["path", "start"])
+    of = lambda some: lines.drop("value").join(F.broadcast(some), ["path", "start"])
     whole = _assembled(of(ranges.select("path", "start", "inside"))).where(F.col("part") == WHOLE)
     found = whole.where(~F.col("first")).select("path", "record", F.lit(False).alias("open"))
     pieces = _assembled(of(ranges.where("cut").select("path", "start", "inside"))).where(F.col("part") != WHOLE)

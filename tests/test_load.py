@@ -204,6 +204,33 @@ def test_quoted_line_breaks_are_noticed(spark, base, store):
     assert {r.pis: r.nome_trabalhador for r in stored(spark, store).collect()} == {"A": "X\nY", "B": "Z", "C": "W"}
 
 
+def count_writes(monkeypatch):
+    write, calls = tables.write, []
+    monkeypatch.setattr(tables, "write", lambda *a: (calls.append(1), write(*a)))
+    return calls
+
+
+def test_files_with_line_breaks_are_written_once(spark, base, store, monkeypatch):
+    calls = count_writes(monkeypatch)
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), ['"PIS","Nome Trabalhador"', '"A","X', 'Y"', '"B","JOSÉ"', '"C","Ã', 'É"'])
+    assert load(spark, str(base), store).total_rows == 3 and len(calls) == 1
+    assert {r.pis: r.nome_trabalhador for r in stored(spark, store).collect()} == {"A": "X\nY", "B": "JOSÉ", "C": "Ã\nÉ"}
+
+
+def test_line_breaks_far_from_the_start_are_noticed(spark, base, store, monkeypatch):
+    calls = count_writes(monkeypatch)
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), ['"PIS","Nome Trabalhador"', *['"A","JOSÉ"'] * 3000, '"B","X', 'Y"'])
+    assert load(spark, str(base), store).total_rows == 3001 and len(calls) == 2
+    assert [r.nome_trabalhador for r in stored(spark, store).where("pis = 'B'").collect()] == ["X\nY"]
+
+
+def test_odd_quotes_alone_are_no_line_breaks(spark, base, store, monkeypatch):
+    calls = count_writes(monkeypatch)
+    put(job_link_file(base, 2014, "AC2014ID.txt"), ["PIS;Razão Social", 'A;BAR 5" LTDA', "B;X", 'C;BAR 7" LTDA'])
+    assert load(spark, str(base), store).total_rows == 3 and len(calls) == 1
+    assert {r.pis: r.razao_social for r in stored(spark, store).collect()} == {"A": 'BAR 5" LTDA', "B": "X", "C": 'BAR 7" LTDA'}
+
+
 def test_quotes_that_never_close_fail_their_file(spark, base, store):
     head = '"PIS","Nome Trabalhador"'
     put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), [head, '"A', '"B","Z"', '"C","Y"'])
