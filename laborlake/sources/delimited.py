@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from laborlake.sources.files import escape_glob
-from laborlake.sources.headers import ENCODING, decoded_uri
+from laborlake.sources.headers import COMPRESSED, ENCODING, decoded_uri
 from laborlake.sources.quoted import records_of
 
 BROKEN = "_broken"
@@ -73,18 +73,24 @@ def scan(
     ``quoted_breaks`` reads files with line breaks inside quotes; a row that it marks as cut has quotes that never close.
     ``plain_names`` promises that no file name needs percent-encoding, which saves decoding it per row.
     """
+    compressed = any(p.endswith(COMPRESSED) for p in paths)
     if quoted_breaks:
         records = records_of(spark, paths)
         parsed = F.from_csv("record", layout.struct.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), layout.options(True))
         rows = records.select(parsed.alias("row"), "path", "open").select("row.*", "path", "open")
-        return marked(rows, layout, plain_names, path="path", cut="open")
+        return marked(rows, layout, plain_names, compressed, path="path", cut="open")
     df = spark.read.schema(layout.struct).options(**layout.options()).csv([escape_glob(p) for p in paths])
-    return marked(df, layout, plain_names)
+    return marked(df, layout, plain_names, compressed)
 
 
-def marked(df: DataFrame, layout: Layout, plain_names: bool, path: str = "input_file_name()", cut: str | None = None) -> DataFrame:
+def marked(
+    df: DataFrame, layout: Layout, plain_names: bool, compressed: bool = True, path: str = "input_file_name()", cut: str | None = None
+) -> DataFrame:
+    """``compressed`` tells whether some files may be, which go by the names of the files in them."""
     # The scan's metadata column would carry the same name, but copies every row once more to add it.
     name = f"substring_index({path}, '/', -1)"
+    if compressed:
+        name = f"IF(endswith({name}, '{COMPRESSED}'), left({name}, length({name}) - {len(COMPRESSED)}), {name})"
     return df.selectExpr(
         *[f"_c{i}" for i in range(len(layout.headers))],
         f"{name if plain_names else decoded_uri(name)} AS {FILE}",

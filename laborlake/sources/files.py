@@ -17,7 +17,7 @@ from laborlake.sources.headers import decoded_uri, own_session
 ESTABLISHMENT_FOLDER = "RAIS Estabelecimentos"
 JOB_LINK_FOLDER = "RAIS Vínculos"
 YEAR_FOLDER = r"(?i:RAIS\s+(\d{4}))"
-EXTENSION = r"\.(?i:txt|comt)"
+EXTENSION = r"\.(?i:txt|comt)(?:\.gz)?"
 ESTABLISHMENT_FILE = r"(?i:Estb(\d{4})ID)" + EXTENSION
 STATE_FILE = r"(?i:([A-Z]{2})\d{4}ID)" + EXTENSION
 REGION_FILE = r"(?i:RAIS_VINC_ID_)[^/]+" + EXTENSION
@@ -103,7 +103,8 @@ def classify(listing: DataFrame, base: str) -> DataFrame:
     """Source files among (path, size_bytes), with what their paths say; other paths are left out.
 
     Establishment files sit directly in their folder and carry the year in their name. Job-link files may
-    sit at any depth below a year folder, whose year counts even if the name has another one.
+    sit at any depth below a year folder, whose year counts even if the name has another one. A compressed file goes by the
+    name of the file in it.
     """
     root = base.rstrip("/") + "/"
     relative = F.substring(F.col("path"), len(root) + 1, 2**31 - 1)
@@ -122,7 +123,7 @@ def classify(listing: DataFrame, base: str) -> DataFrame:
             .otherwise(F.regexp_extract(r, f"^{below_year}", 1))
             .cast("int")
             .alias("ano"),
-            F.regexp_extract(r, "([^/]+)$", 1).alias("filename"),
+            F.regexp_extract(r, r"([^/]+?)(?:\.gz)?$", 1).alias("filename"),
             "path",
             "size_bytes",
             F.when(~is_establishment & (state != ""), state).alias("uf_hint"),

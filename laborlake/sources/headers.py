@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from laborlake.functions.headers import delimiter, header_names
 
 ENCODING = "ISO-8859-1"
+#: What the names of compressed files end in, which the engine's readers and `first_piece` undo.
+COMPRESSED = ".gz"
 #: Bytes read at a time until the first line ends.
 PIECE = 1 << 13
 #: Files open at a time, and files whose names wait for that.
@@ -42,6 +44,8 @@ def first_piece(spark: SparkSession, path: str) -> bytes:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
     try:
+        if path.endswith(COMPRESSED):
+            stream = spark._jvm.java.util.zip.GZIPInputStream(stream)
         piece = b""
         while more := stream.readNBytes(PIECE):
             piece += more

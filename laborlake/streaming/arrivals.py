@@ -19,7 +19,7 @@ from laborlake.sources.delimited import FILE, Layout, marked, rows_of
 from laborlake.sources.files import classify, escape_glob, hadoop_fs, list_files, qualify
 
 #: Source files by extension, in any case.
-ANY_SOURCE = "*.{[tT][xX][tT],[cC][oO][mM][tT]}"
+ANY_SOURCE = "*.{[tT][xX][tT],[cC][oO][mM][tT],[tT][xX][tT].gz,[cC][oO][mM][tT].gz}"
 #: No file is too old to be picked up: copies of archives keep the dates of the originals.
 NEVER = "1000000d"
 

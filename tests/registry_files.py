@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 from pathlib import Path
 
 HISTORIC = ["Município", "PIS", "Nome Trabalhador", "Data de Nascimento", "Data Admissão Declarada", "Idade",
@@ -18,7 +19,8 @@ NEW_ROW = ["430543", "22222222222", "PESSOA TESTE", "31/05/1965", "02/06/2024",
 
 def put(path: Path, lines: list[str]) -> Path:
     path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text("".join(f"{line}\n" for line in lines), encoding="latin-1")
+    text = "".join(f"{line}\n" for line in lines).encode("latin-1")
+    path.write_bytes(gzip.compress(text) if path.suffix == ".gz" else text)
     return path
 
 

@@ -49,6 +49,16 @@ def test_unusual_places_and_names(spark, tmp_path):
     ]
 
 
+def test_compressed_files_go_by_the_names_of_the_files_in_them(spark, tmp_path):
+    put(job_link_file(tmp_path, 2014, "sp2014id.TXT.gz"), [";".join(HISTORIC), "1;2"])
+    put(job_link_file(tmp_path, 2014, "RAIS_VINC_ID_SUL.comt.gz"), [quote(NEW), '"a', 'b"'])
+    put(job_link_file(tmp_path, 2014, "layout.gz"), ["x"])
+    files = discover(spark, str(tmp_path))
+    assert [(f.ano, f.filename, f.uf_hint) for f in files.collect()] == [(2014, "RAIS_VINC_ID_SUL.comt", None), (2014, "sp2014id.TXT", "SP")]
+    rows = {r.filename: (r.sep, r.headers, r.odd) for r in with_headers(files, odd=True).collect()}
+    assert rows == {"sp2014id.TXT": (";", HISTORIC, False), "RAIS_VINC_ID_SUL.comt": (",", NEW, True)}
+
+
 def test_missing_folders_are_no_error(spark, tmp_path):
     assert discover(spark, str(tmp_path)).columns == ["dataset", "ano", "filename", "path", "size_bytes", "uf_hint"]
     assert discover(spark, str(tmp_path / "nowhere")).count() == 0

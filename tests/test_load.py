@@ -7,7 +7,7 @@ from registry_files import HISTORIC, HISTORIC_ROW, NEW, NEW_ROW, job_link_file,
 
 from laborlake.model import DATASETS
 from laborlake.operators.ledger import Ledger
-from laborlake.plans.load import Source, load, named_in
+from laborlake.plans.load import Source, load, named_in, write_session
 from laborlake.sources import store as tables
 
 LINKS = DATASETS["vinculos"]
@@ -231,6 +231,33 @@ def test_odd_quotes_alone_are_no_line_breaks(spark, base, store, monkeypatch):
     assert {r.pis: r.razao_social for r in stored(spark, store).collect()} == {"A": 'BAR 5" LTDA', "B": "X", "C": 'BAR 7" LTDA'}
 
 
+def test_compressed_files_load_as_others_do(spark, base, store):
+    put(job_link_file(base, 2014, "AC2014ID.txt"), [";".join(HISTORIC), ";".join(HISTORIC_ROW)])
+    put(job_link_file(base, 2014, "SP2014ID.txt.gz"), [";".join(HISTORIC), ";".join(HISTORIC_ROW), ";".join([*HISTORIC_ROW, "x"])])
+    put(job_link_file(base, 2024, "RAIS_VINC_ID_X [1].txt.gz"), ['"PIS","Nome Trabalhador"', '"A","X', 'Y"', '"B","JOSÉ"'])
+    bad = put(job_link_file(base, 2024, "RAIS_VINC_ID_BAD.txt.gz"), ["PIS;Município", *[f"{i};120040" for i in range(50_000)]])
+    bad.write_bytes(bad.read_bytes()[:60_000])
+    result = load(spark, str(base), store)
+    assert [s.filename for s in result.failed] == ["RAIS_VINC_ID_BAD.txt"]
+    assert {s.filename: n for s, n in result.rows.items()} == {"AC2014ID.txt": 1, "SP2014ID.txt": 1, "RAIS_VINC_ID_X [1].txt": 2}
+    assert {s.filename: n for s, n in result.long_rows.items()} == {"SP2014ID.txt": 1}
+    rows = stored(spark, store, lineage=True).collect()
+    assert sorted((r.arquivo, r.nome_trabalhador) for r in rows) == [
+        ("AC2014ID.txt", "PESSOA TESTE"), ("RAIS_VINC_ID_X [1].txt", "JOSÉ"), ("RAIS_VINC_ID_X [1].txt", "X\nY"), ("SP2014ID.txt", "PESSOA TESTE"),
+    ]
+    bad.unlink()
+    assert load(spark, str(base), store).found == 0
+    put(job_link_file(base, 2014, "SP2014ID.txt"), [";".join(HISTORIC), ";".join(HISTORIC_ROW)])
+    with pytest.raises(ValueError, match="two files"):
+        load(spark, str(base), store, force=True)
+
+
+def test_a_task_takes_as_much_text_of_compressed_files(spark):
+    plain, packed = (write_session(spark, sources_at(f"/data/AC2014ID.txt{end}")) for end in ("", ".gz"))
+    most = [int(own.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b")) for own in (plain, packed)]
+    assert most[0] == 4 * most[1]
+
+
 def test_quotes_that_never_close_fail_their_file(spark, base, store):
     head = '"PIS","Nome Trabalhador"'
     put(job_link_file(base, 2024, "RAIS_VINC_ID_SUL.txt"), [head, '"A', '"B","Z"', '"C","Y"'])

@@ -32,6 +32,15 @@ def test_files_load_once_as_they_arrive(spark, tmp_path):
     assert Ledger(spark, store).count() == 3
 
 
+@pytest.mark.parametrize("take", [load_arrivals, lambda *a: load_stream(*a).awaitTermination()])
+def test_compressed_files_are_picked_up(spark, tmp_path, take):
+    base, store = tmp_path / "source", str(tmp_path / "store")
+    add(base, 2014, "AC2014ID.tXt.gz", "A")
+    take(spark, str(base), store)
+    take(spark, str(base), store)
+    assert [(r.pis, r.arquivo) for r in tables.read(spark, store, LINKS, lineage=True).collect()] == [("A", "AC2014ID.tXt")]
+
+
 def test_a_second_look_starts_no_batch(spark, tmp_path):
     base, store = tmp_path / "source", str(tmp_path / "store")
     add(base, 2014, "AC2014ID.txt", "A")

@@ -1,6 +1,8 @@
 """How source text is made from the sales tables, on rows of its own."""
 
+import gzip
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -11,6 +13,15 @@ LINES = """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber i
     l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"""
 
 
+#: Name, type and value of the columns by a row's number.
+FLAT = [
+    *((c, "bigint", "id") for c in ("l_orderkey", "l_partkey", "l_suppkey")), ("l_linenumber", "int", "1 + id % 5"),
+    *((c, "double", "id % 50") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+    ("l_returnflag", "string", "substring('ANR', 1 + id % 3, 1)"), ("l_linestatus", "string", "'O'"),
+    ("l_shipdate", "timestamp_ntz", "DATE '1996-03-01'"),
+]
+
+
 def rows(keys, year, supplier, flag):
     return [(k, k, supplier, 1 + k % 5, 3.0, 10.5, 0.0, 0.0, flag, "O", datetime(year, 3, 1)) for k in keys]
 
@@ -41,6 +52,41 @@ def test_a_tree_holds_every_row_once(spark, sf_dir):
     assert lines.count() == tb.read_table(spark, sf_dir, "lineitem").count()
 
 
+def files_below(base):
+    return [p for p in Path(base).rglob("*.txt*") if not p.name.startswith(".")]
+
+
+def test_trees_that_queries_load_are_compressed(spark, sf_dir, monkeypatch):
+    many = {"lineitem": spark.range(30_000).selectExpr(*[f"CAST({x} AS {t}) AS {c}" for c, t, x in FLAT])}
+    monkeypatch.setattr(tb, "read_table", lambda spark, sf_dir, name: many[name])
+    plain, packed = files_below(tb.job_link_tree(spark, sf_dir, "mixed")), files_below(catalog.tree("mixed")(spark, f"{sf_dir}/"))
+    assert {p.suffix for p in plain} == {".txt"} and {p.name for p in packed} == {f"{p.name}.gz" for p in plain}
+    assert 2 * sum(p.stat().st_size for p in packed) < sum(p.stat().st_size for p in plain)
+    lines = lambda files: sorted(line for p in files for line in (gzip.open if p.suffix == ".gz" else open)(p, "rb"))
+    assert lines(plain) == lines(packed)
+
+
+def test_files_of_one_task_have_names_of_their_own(spark, sf_dir, monkeypatch):
+    monkeypatch.setitem(tb.COMPRESSION, "maxRecordsPerFile", 7)
+    files = files_below(tb.job_link_tree(spark, sf_dir, "mixed", compressed=True))
+    rows = [len(gzip.open(p).read().splitlines()) - 1 for p in files]
+    assert max(rows) == 7 and sum(rows) == tb.read_table(spark, sf_dir, "lineitem").count()
+
+
+@pytest.mark.parametrize("query", ["ingest_historic", "stream_rows"])
+def test_queries_load_compressed_files(spark, sf_dir, monkeypatch, query):
+    seen, write = [], tb.write_lines
+    monkeypatch.setattr(tb, "write_lines", lambda lines, head, folder, compressed=False: (seen.append(compressed), write(lines, head, folder, compressed)))
+    found = getattr(catalog, query)(spark, sf_dir)
+    assert seen and all(seen)
+    years = {1995: 9, 1996: 72, 1997: 20, 1998: 10}
+    if query not in ("ingest_historic", "stream_rows"):
+        years |= {1996: 2} if query == "force_run" else {}
+        assert {r.ano: r.stored_rows for r in found.collect() if r.ano < 2003} == years
+    else:
+        assert {r.ano: r["count"] for r in found.groupBy("ano").count().collect()} == years
+
+
 def test_both_layouts_are_cleaned_by_short_methods(spark, sf_dir):
     found = catalog.canonicalize_mixed(spark, sf_dir)
     assert "*(" not in found._jdf.queryExecution().executedPlan().toString()
