@@ -466,9 +466,9 @@ def incremental_run(spark, sf_dir):
     base, store = new_folder(spark, "source-growing"), new_folder(spark, "store-growing")
     rows = tb.text_source(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
-    tb.write_job_links(spark, rows.where(early), base, new=False)
+    tb.write_job_links(spark, rows.where(early), base, new=False, compressed=True)
     load(spark, base, store)
-    tb.write_job_links(spark, rows.where(~early), base, new=False)
+    tb.write_job_links(spark, rows.where(~early), base, new=False, compressed=True)
     tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/SP2003ID.txt", [])
     tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/AC2003ID.txt", [tb.header_line(SHAPE_HEADER, False)])
     load(spark, base, store)
