@@ -532,9 +532,9 @@ def incremental_stream(spark, sf_dir):
     base, store = new_folder(spark, "source-stream"), new_folder(spark, "store-stream")
     rows = tb.text_source(spark, sf_dir, "lineitem")
     early = F.year("l_shipdate") <= 1997
-    tb.write_job_links(spark, rows.where(early), base, new=True)
+    tb.write_job_links(spark, rows.where(early), base, new=True, compressed=True)
     load_arrivals(spark, base, store)
-    tb.write_job_links(spark, rows.where(~early), base, new=True)
+    tb.write_job_links(spark, rows.where(~early), base, new=True, compressed=True)
     lines = [tb.header_line(SHAPE_HEADER, False), "A;120040;1;0005,9", "B;120040;2;0005,9"]
     tb.put_text(spark, f"{base}/{JOB_LINK_FOLDER}/RAIS 2003/AC2003ID.tXt", lines, age_days=400)
     load_arrivals(spark, base, store)

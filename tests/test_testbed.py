@@ -73,7 +73,7 @@ def test_files_of_one_task_have_names_of_their_own(spark, sf_dir, monkeypatch):
     assert max(rows) == 7 and sum(rows) == tb.read_table(spark, sf_dir, "lineitem").count()
 
 
-@pytest.mark.parametrize("query", ["ingest_historic", "stream_rows", "incremental_run", "force_run"])
+@pytest.mark.parametrize("query", ["ingest_historic", "stream_rows", "incremental_run", "force_run", "incremental_stream"])
 def test_queries_load_compressed_files(spark, sf_dir, monkeypatch, query):
     seen, write = [], tb.write_lines
     monkeypatch.setattr(tb, "write_lines", lambda lines, head, folder, compressed=False: (seen.append(compressed), write(lines, head, folder, compressed)))
